@@ -49,10 +49,10 @@ def ten(direction: str) -> str:
 
 
 def last_state(until: str) -> str:
-    return f"""with l as (from order_lineitems select customer_id, order_datetime as at
+    return f"""with l as (from order_lineitems select customer_id, order_datetime as seen
           qualify row_number() over (partition by customer_id order by order_datetime desc, order_item_id desc) = 1)
         from l join customer_addresses_dim using (customer_id) select customer_id, arg_max(state_code, valid_from_timestamp) as state_code
-        where at >= valid_from_timestamp and at <= {until} group by customer_id having arg_max(state_code, valid_from_timestamp) = 'CA'"""
+        where seen >= valid_from_timestamp and seen <= {until} group by customer_id having arg_max(state_code, valid_from_timestamp) = 'CA'"""
 
 
 Q = span("1998-09-01", "1999-02-01")

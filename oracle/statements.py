@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle import micro, retail, tpch
+from oracle import micro, retail, tpcds_baskets, tpcds_star, tpch
 
 
 def all_sql() -> dict[str, str]:
-    return {**tpch.SQL, **micro.SQL, **retail.SQL}
+    return {**tpch.SQL, **micro.SQL, **retail.SQL, **tpcds_star.SQL, **tpcds_baskets.SQL}

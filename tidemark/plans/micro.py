@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import exact_mean, exact_total, ordered, total, when
 from tidemark.plans.tpch import Tables, join
 from tidemark.sources.layout import Layout, write_table
+from tidemark.sources.shared import new_folder
 
 REVENUE = "l_extendedprice * (1 - l_discount)"
 
@@ -23,16 +24,23 @@ def x01_full(t: Tables, line: int = 7):
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_commitdate")
 
 
-def x02(t: Tables, table: str = "part_by_key"):
+def insert_select(t: Tables, table: str, layout: Layout):
+    """Writes part into a new table below the shared folder and reads it back."""
+    spark = t["part"].sparkSession
+    path = new_folder(spark, table)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    write_table(t["part"], name, layout, path=path)
+    return spark.table(name)
+
+
+def x02(t: Tables):
     """Insert-select into a table bucketed by the source's own key."""
-    write_table(t["part"], table, Layout(buckets=8, bucket_by=("p_partkey",)))
-    return t["part"].sparkSession.table(table)
+    return insert_select(t, "part_by_key", Layout(buckets=8, bucket_by=("p_partkey",)))
 
 
-def x03(t: Tables, table: str = "part_by_shape"):
+def x03(t: Tables):
     """Insert-select into a table bucketed by three other columns."""
-    write_table(t["part"], table, Layout(buckets=8, bucket_by=("p_size", "p_brand", "p_container")))
-    return t["part"].sparkSession.table(table)
+    return insert_select(t, "part_by_shape", Layout(buckets=8, bucket_by=("p_size", "p_brand", "p_container")))
 
 
 def x04(t: Tables):

@@ -61,12 +61,13 @@ def _writer(df: DataFrame, layout: Layout, mode: str):
     return w
 
 
-def write_table(df: DataFrame, table: str, layout: Layout = Layout(), mode: str = "overwrite") -> None:
+def write_table(df: DataFrame, table: str, layout: Layout = Layout(), mode: str = "overwrite", path: str | None = None) -> None:
     """Create-table-as-select (overwrite) or insert-select (append)."""
     if mode == "append" and df.sparkSession.catalog.tableExists(table):
         df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
-    else:
-        _writer(df, layout, mode).saveAsTable(table)
+        return
+    writer = _writer(df, layout, mode)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def write_files(df: DataFrame, path: str, layout: Layout = Layout(), mode: str = "overwrite") -> None:
