@@ -122,7 +122,7 @@ SQL = {
         where s_gmt_offset = -5 and d_year = 1998 group by s_store_name, s_store_id {top('s_store_name', 's_store_id', limit=100)}""",
     "q61": f"""with f as (from {SSDI} join store on s_store_sk = ss_store_sk join ds_customer on c_customer_sk = ss_customer_sk
           join customer_address on ca_address_sk = c_current_addr_sk
-          where ca_gmt_offset = -7 and s_gmt_offset = -7 and i_category = 'Jewelry' and d_year = 1998 and d_moy = 11),
+          where ca_gmt_offset = -7 and s_gmt_offset = -7 and i_category = 'Jewelry' and d_year = 1998),
         p as (from f join promotion on p_promo_sk = ss_promo_sk select {S('ss_ext_sales_price')} as promotions
           where 'Y' in (p_channel_dmail, p_channel_email, p_channel_tv)),
         a as (from f select {S('ss_ext_sales_price')} as total)

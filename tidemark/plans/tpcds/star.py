@@ -152,13 +152,13 @@ def q43(t: Tables, offset: int = -5, year: int = 1998):
     return ordered(out, "s_store_name", "s_store_id", *out.columns[2:], limit=100)
 
 
-def q61(t: Tables, category: str = "Jewelry", offset: int = -7, year: int = 1998, month: int = 11):
+def q61(t: Tables, category: str = "Jewelry", offset: int = -7, days: str = "d_year = 1998"):
     """Promotional and all sales are conditional sums of one pass."""
     stores = t["store"].filter(f"s_gmt_offset = {offset}").select("s_store_sk")
     items = t["item"].filter(F.col("i_category") == category).select("i_item_sk")
     here = t["customer_address"].filter(f"ca_gmt_offset = {offset}").select("ca_address_sk")
     people = join(t["customer"], here, "c_current_addr_sk = ca_address_sk", "left_semi").select("c_customer_sk")
-    facts = join(join(sold(t, "store_sales", f"d_year = {year} and d_moy = {month}"), items, "ss_item_sk = i_item_sk"), stores, "ss_store_sk = s_store_sk")
+    facts = join(join(sold(t, "store_sales", days), items, "ss_item_sk = i_item_sk"), stores, "ss_store_sk = s_store_sk")
     facts = join(join(facts, people, "ss_customer_sk = c_customer_sk"), F.broadcast(t["promotion"]), "ss_promo_sk = p_promo_sk", "left")
     promoted = "p_channel_dmail = 'Y' or p_channel_email = 'Y' or p_channel_tv = 'Y'"
     out = facts.agg(total(when(promoted, "ss_ext_sales_price")).alias("promotions"), total("ss_ext_sales_price").alias("total"))
