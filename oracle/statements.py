@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle import micro, retail, tpcds_baskets, tpcds_returns, tpcds_star, tpch
+from oracle import micro, retail, tpcds_baskets, tpcds_channels, tpcds_returns, tpcds_star, tpch
 
 
 def all_sql() -> dict[str, str]:
-    return {**tpch.SQL, **micro.SQL, **retail.SQL, **tpcds_star.SQL, **tpcds_baskets.SQL, **tpcds_returns.SQL}
+    return {**tpch.SQL, **micro.SQL, **retail.SQL, **tpcds_star.SQL, **tpcds_baskets.SQL, **tpcds_returns.SQL, **tpcds_channels.SQL}

@@ -85,7 +85,7 @@ def kept78(fact: str, p: str, cust: str, order: str, back: str, q: str, r_order:
 def back83(fact: str, p: str) -> str:
     return f"""{p} as (from {fact} join item on i_item_sk = {p}_item_sk join date_dim on d_date_sk = {p}_returned_date_sk
       select i_item_id as item_id, cast(sum({p}_return_quantity) as bigint) as {p}_item_qty
-      where d_week_seq in (from date_dim select d_week_seq where d_date in ('1998-06-30', '1998-09-27', '1998-11-17')) group by 1)"""
+      where d_week_seq in (from date_dim select d_week_seq where d_year = 1998 and d_dom = 15) group by 1)"""
 
 
 W83 = "(sr_item_qty + cr_item_qty + wr_item_qty)"
@@ -184,6 +184,6 @@ SQL = {
         from x p join x q on (q.i_item_sk, q.s_store_name, q.s_zip) = (p.i_item_sk, p.s_store_name, p.s_zip) and q.cnt <= p.cnt
         select p.i_product_name, p.s_store_name, p.s_zip, {', '.join(f'p.{a}_{k}' for a in 'bc' for k in ('street_number', 'street_name', 'city', 'zip'))},
           p.syear, p.cnt, p.s1, p.s2, p.s3, q.s1 as s1_2, q.s2 as s2_2, q.s3 as s3_2, q.syear as syear_2, q.cnt as cnt_2
-        where p.syear = 1997 and q.syear = 1998""",
+        where p.syear = 1999 and q.syear = 2000""",
 }
 SQL = {f"tpcds_{k}": with_tables(v) for k, v in SQL.items()}

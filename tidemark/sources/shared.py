@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -30,3 +30,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def use_checkpoints(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """The frame written once to the shared folder, so that later plans read it
+    from there: its lineage ends and a lost executor costs nothing."""
+    use_checkpoints(df.sparkSession)
+    return df.checkpoint()
