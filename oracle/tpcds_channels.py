@@ -31,7 +31,7 @@ P6 = "c_customer_id, c_first_name, c_last_name, c_preferred_cust_flag, c_birth_c
 
 
 def quarter(n: str, q: int) -> str:
-    return f"(from {FD} join customer_address on ca_address_sk = ak select ca_county, sum(x) as v where ch = '{n}' and d_year = 1998 and d_qoy = {q} group by 1)"
+    return f"(from {FD} join customer_address on ca_address_sk = ak select ca_county, sum(x) as v where ch = '{n}' and d_year = 1999 and d_qoy = {q} group by 1)"
 
 
 def everywhere(key: str, chosen: str, month: int, order: str) -> str:
@@ -136,7 +136,7 @@ SQL = {
         select {P6} where a.ch = 'store' and c.ch = 'catalog' {top(*P6.split(', '), limit=200)}""",
     "q31": f"""with {ALL} from {quarter('store', 1)} s1 join {quarter('store', 2)} s2 using (ca_county) join {quarter('store', 3)} s3 using (ca_county)
           join {quarter('web', 1)} w1 using (ca_county) join {quarter('web', 2)} w2 using (ca_county) join {quarter('web', 3)} w3 using (ca_county)
-        select ca_county, 1998 as d_year, {rate('w2.v', 'w1.v')} as web_q1_q2_increase, {rate('s2.v', 's1.v')} as store_q1_q2_increase,
+        select ca_county, 1999 as d_year, {rate('w2.v', 'w1.v')} as web_q1_q2_increase, {rate('s2.v', 's1.v')} as store_q1_q2_increase,
           {rate('w3.v', 'w2.v')} as web_q2_q3_increase, {rate('s3.v', 's2.v')} as store_q2_q3_increase
         where web_q1_q2_increase > store_q1_q2_increase and web_q2_q3_increase > store_q2_q3_increase""",
     "q33": everywhere("i_manufact_id", "i_category = 'Electronics'", 5, top("total_sales", "i_manufact_id", limit=100)),

@@ -100,7 +100,7 @@ def q04(t: Tables, year: int = 1998, quantities=(10, 29)):
     return ordered(join(copies, t["customer"], "customer_sk = c_customer_sk").select(*cols), *cols, limit=200)
 
 
-def q31(t: Tables, year: int = 1998):
+def q31(t: Tables, year: int = 1999):
     """Counties where web sales grew faster than store sales, quarter to quarter."""
     rows = channels(t, "ext_sales_price", names=("store", "web"))
     rows = join(rows, dates(t, f"d_year = {year} and d_qoy <= 3", "d_qoy"), "date_sk = d_date_sk")
