@@ -12,6 +12,7 @@ BASE_COLUMNS = {name: [c.split()[0] for c in ddl.split(", ")] for name, ddl in S
 TABLES = {f"h_{k}" if k in STORED else k: v for k, v in star.TPCH.items()}
 TABLES |= star.TPCDS
 TABLES |= star.RETAIL
+TABLES |= star.MONITOR
 
 
 def with_tables(sql: str, extra: dict[str, str] | None = None) -> str:

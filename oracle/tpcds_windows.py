@@ -39,7 +39,7 @@ def near(body: str, keys: str, order: str) -> str:
       from o select * exclude (gap) {order}"""
 
 
-P44 = "(from store_sales select ss_item_sk as k, {A} as p where ss_store_sk = 4 group by 1 having {A} > (from store_sales select cast(0.9 as double) * {A} where ss_store_sk = 4 and ss_addr_sk is null))".replace(
+P44 = "(from store_sales select ss_item_sk as k, {A} as p where ss_store_sk = 7 group by 1 having {A} > (from store_sales select cast(0.9 as double) * {A} where ss_store_sk = 7 and ss_addr_sk is null))".replace(
     "{A}", A("ss_net_profit"))
 R = "over (partition by item_sk order by d_date)"
 

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import micro, retail, tpcds, tpch
-from tidemark.sources.tables import retail_tables, tpcds_tables, tpch_tables
+from tidemark.plans import micro, retail, runs, tpcds, tpch
+from tidemark.sources.tables import monitor_tables, retail_tables, tpcds_tables, tpch_tables
 
 
 def bind(query: Callable, tables: Callable) -> Callable[[SparkSession, str], DataFrame]:
@@ -24,4 +24,5 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out |= {n: bind(q, tpch_tables) for n, q in micro.QUERIES.items()}
     out |= {n: bind(q, retail_tables) for n, q in retail.QUERIES.items()}
     out |= {n: bind(q, tpcds_tables) for n, q in tpcds.QUERIES.items()}
+    out |= {n: bind(q, monitor_tables) for n, q in runs.QUERIES.items()}
     return out

@@ -111,7 +111,7 @@ def q57(t: Tables, year: int = 1998):
     return _neighbours(facts, ["i_category", "i_brand", "cc_name"], year, "cs_sales_price", "cc_name")
 
 
-def q44(t: Tables, store: int = 4, factor: float = 0.9, n: int = 10):
+def q44(t: Tables, store: int = 7, factor: float = 0.9, n: int = 10):
     """Best and worst items by average profit, side by side by rank. The rank
     filter lets every task keep its first rows only."""
     here = t["store_sales"].filter(F.col("ss_store_sk") == store)

@@ -503,3 +503,167 @@ RETAIL = {
         times=("version", "1 + c_custkey % 5"),
     ),
 }
+
+# --- Benchmark runs and telemetry ------------------------------------------------
+
+MONITOR = {
+    # One row per executed action of a run.
+    "test_result": Derived(
+        "events",
+        (
+            {
+                "tr_id": "cast(101 + event_id % 6 as int)",
+                "s_id": "cast(user_id % 24 as int)",
+                # The key-distributed twin of a randomly distributed scenario.
+                "adj_s_id": "cast((user_id % 24 + 1) % 24 as int)",
+                "action_type": "case when event_id % 5 = 0 then 'Loading' else 'Execution' end",
+                "action_target": "case when event_id % 40 = 7 then 'QUERY_STREAM' else 'query_' || lpad(cast(event_id % 22 + 1 as string), 2, '0') end",
+                "stream": "cast(event_id % 3 as int)",
+                "status": "case when event_id % 97 = 3 then 'ERROR' when event_id % 61 = 5 then 'SKIP' else 'SUCCESS' end",
+                "start_time": "ts",
+                "duration": "cast(floor(value * 10) as bigint) + event_id % 7",
+            },
+        ),
+    ),
+    "test_baseline": Derived(
+        "events",
+        (
+            {
+                "storage_version": "case when event_id % 2 = 0 then 'S1' else 'S2' end",
+                "engine_version": "case when event_id % 2 = 0 then 'E1' else 'E2' end",
+                "s_id": "cast(user_id % 24 as int)",
+                "adj_s_id": "cast((user_id % 24 + 1) % 24 as int)",
+                "action_type": "case when event_id % 5 = 0 then 'Loading' else 'Execution' end",
+                "action_target": "'query_' || lpad(cast(event_id % 22 + 1 as string), 2, '0')",
+                "stream": "cast(event_id % 3 as int)",
+                "status": "case when event_id % 53 = 5 then 'SKIP' else 'SUCCESS' end",
+                "duration": "cast(floor(value * 9) as bigint) + event_id % 11",
+            },
+        ),
+        where="user_id % 24 <> 23",
+    ),
+    "scenario": Derived("range:24", ({"s_id": "cast(id as int)", "wl_id": "cast(id as int)"},)),
+    "workload": Derived(
+        "range:24",
+        (
+            {
+                "wl_id": "cast(id as int)",
+                "wl_name": "'WL_' || lpad(cast(id as string), 2, '0')",
+                "wl_category": pick("id", ["TPCH", "TPCDS", "RETAIL"]),
+                "wl_disrandomly": "id % 2 = 1",
+                "wl_orientation": pick("id", ["ROW", "COLUMN", "PARQUET"]),
+                "wl_compression_type": pick(idiv("id", 3), ["NONE", "SNAPPY", "GZIP"]),
+                "wl_partitions": "cast(id % 4 as int)",
+                "wl_concurrency": "cast(case when id % 3 = 0 then 4 else 1 end as int)",
+            },
+        ),
+    ),
+    # A parameter tried over a range of runs.
+    "parameters": Derived("range:6", ({"param_value": pick(idiv("id", 2), ["SEG4", "SEG8", "SEG12"]), "run_id": "cast(101 + id as int)", "param_name": pick(idiv("id", 4), ["SEG_NUM", "MEMORY"])},)),
+    # A session runs for 50 samples and holds two timed queries.
+    "run_spans": Derived(
+        "events",
+        (
+            {
+                "wl_name": "'WL_' || lpad(cast(user_id % 24 as string), 2, '0') || case when user_id % 3 = 0 then '_CONCURRENT' else '' end",
+                "action_type": "case when event_id % 125 = 0 then 'Loading' else 'Execution' end",
+                "action_target": "'query_' || lpad(cast(event_id % 22 + 1 as string), 2, '0')",
+                "stream": "cast(event_id % 3 as int)",
+                "con_id": idiv("event_id", 50),
+                "start_time": "ts",
+                "end_time": "ts + @secs(600 + (event_id * 37) % 5000)",
+            },
+        ),
+        where="event_id % 25 = 0",
+    ),
+    "worker_samples": Derived(
+        "events",
+        (
+            {
+                "run_id": "cast(1 + event_id % 3 as int)",
+                "hostname": "'w' || cast(1 + user_id % 8 as string)",
+                "timeslot": "cast(floor(date_diff_s / 60) as bigint)",
+                "real_time": "ts",
+                "con_id": idiv("event_id", 50),
+                "seg_id": "'seg' || cast(event_id % 4 as string)",
+                "slice": "'slice' || cast(event_id % 3 as string)",
+                "rss": "cast(cast(floor(value * 10) as bigint) * 0.01 as decimal(8,2))",
+                "pmem": "cast((event_id * 7 + user_id) % 200 * 0.1 as decimal(4,1))",
+                "pcpu": "cast((event_id * 13 + user_id) % 900 * 0.1 as decimal(4,1))",
+            },
+        ),
+    ),
+    "master_samples": Derived(
+        "events",
+        (
+            {
+                "run_id": "cast(1 + event_id % 3 as int)",
+                "hostname": "'mst1'",
+                "timeslot": "cast(floor(date_diff_s / 60) as bigint)",
+                "real_time": "ts",
+                "con_id": idiv("event_id", 50),
+                "rss": "cast(cast(floor(value * 7) as bigint) * 0.01 as decimal(8,2))",
+                "pmem": "cast((event_id * 3 + user_id) % 100 * 0.1 as decimal(4,1))",
+                "pcpu": "cast((event_id * 11 + user_id) % 300 * 0.1 as decimal(4,1))",
+            },
+        ),
+        where="event_id % 2 = 0",
+    ),
+    # Process list lines in three layouts, and lines that are none of them.
+    "process_lines": Derived(
+        "events",
+        (
+            {
+                "hostname": "'w' || cast(1 + user_id % 8 as string)",
+                "timeslot": "event_id",
+                "line": "cast(1000 + event_id as string) || '  ' || cast((event_id * 13) % 90 as string) || '.5 650000 ' || "
+                "case when event_id % 31 = 4 then 'n/a' else cast(10000 + event_id * 3 as string) end || ' 0.' || cast(event_id % 10 as string) || "
+                "' S postgres: port 40000, user db 127.0.0.1(' || cast(user_id as string) || ') con' || cast(" + idiv("event_id", 50) + " as string) || ' ' || "
+                "case event_id % 5 when 0 then 'seg1 idle' when 1 then 'seg0 cmd6 MPPEXEC INSERT' when 2 then 'seg2 cmd2 slice1 MPPEXEC SELECT' "
+                "when 3 then 'writer process' else 'seg3 cmd4 slice2 MPPEXEC' end",
+            },
+        ),
+    ),
+    # Activity snapshots: a running query shows once in every snapshot.
+    "activity": Derived(
+        "events",
+        ({"sess_id": "user_id", "query_no": idiv("event_id", 400), "user_name": "event_type", "snapshot": "ts"},),
+    ),
+    "log_lines": Derived(
+        "events",
+        (
+            {
+                "host": "'w' || cast(1 + user_id % 8 as string)",
+                "logged": "ts",
+                "message": "case event_type when 'error' then case when event_id % 2 = 0 then 'ERROR: relation missing' else 'fatal: connection lost' end "
+                "when 'signup' then case when event_id % 4 = 0 then 'WARNING: disk slow, will fail over' else 'session opened' end "
+                "when 'purchase' then case when event_id % 16 = 1 then 'PANIC: exception in writer' else 'commit' end else 'statement done' end",
+            },
+        ),
+    ),
+    # Gauges of a host: an idle share, memory, and byte rates.
+    "gauges": Derived(
+        "events",
+        (
+            {
+                "host": "'w' || cast(1 + user_id % 8 as string)",
+                "slot": idiv("event_id", 8),
+                "cpu_idle": "cast((event_id * 17 + user_id) % 1000 * 0.1 as double)",
+                "mem_total": "cast(67108864 as double)",
+                "mem_cached": "cast(8000000 + (event_id * 101) % 4000000 as double)",
+                # Free memory falls as the run goes on.
+                "mem_free": "cast(30000000 - (event_id % 10000) * 400 - (user_id * 997) % 1000000 as double)",
+                "bytes_written": "cast((event_id * 7919) % 400000000 as double)",
+                "bytes_read": "cast((event_id * 104729) % 300000000 as double)",
+                "bytes_out": "cast((event_id * 1299709) % 150000000 as double)",
+                "bytes_in": "cast((event_id * 15485863) % 120000000 as double)",
+                "disk_used": "cast((event_id * 3 + user_id) % 101 as int)",
+                "disk_path": "'/data' || cast(event_id % 4 as string)",
+            },
+        ),
+    ),
+}
+for _name in ("worker_samples", "master_samples"):
+    _d = MONITOR[_name]
+    _keep = {c: c for c in ("event_id", "ts", "user_id", "value")}
+    MONITOR[_name] = Derived(_d.base, ({**_keep, "date_diff_s": "@epoch(ts)"}, *_d.stages), _d.where)

@@ -79,3 +79,7 @@ def tpcds_tables(spark: SparkSession, folder: str) -> DerivedTables:
 
 def retail_tables(spark: SparkSession, folder: str) -> DerivedTables:
     return DerivedTables(StoredTables(spark, folder), star.RETAIL, spark)
+
+
+def monitor_tables(spark: SparkSession, folder: str) -> DerivedTables:
+    return DerivedTables(StoredTables(spark, folder), star.MONITOR, spark)
