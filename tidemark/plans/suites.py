@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import micro, retail, runs, tpcds, tpch
+from tidemark.plans import micro, retail, runs, telemetry, tpcds, tpch
 from tidemark.sources.tables import monitor_tables, retail_tables, tpcds_tables, tpch_tables
 
 
@@ -25,4 +25,5 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out |= {n: bind(q, retail_tables) for n, q in retail.QUERIES.items()}
     out |= {n: bind(q, tpcds_tables) for n, q in tpcds.QUERIES.items()}
     out |= {n: bind(q, monitor_tables) for n, q in runs.QUERIES.items()}
+    out |= {n: bind(q, monitor_tables) for n, q in telemetry.QUERIES.items()}
     return out
