@@ -11,27 +11,19 @@ def _bin(ts: str | Column, seconds: int) -> Column:
 
 
 def interval_join(points: DataFrame, spans: DataFrame, keys: list[str], at: str, start: str, end: str,
-                  bin_seconds: int, closed: bool = False, how: str = "inner") -> DataFrame:
+                  bin_seconds: int, closed: bool = False) -> DataFrame:
     """Each point with every span of the same keys that holds it.
 
     Time is cut into bins which become a join key: a span is repeated for the
     bins it touches, a point lies in one. So points meet only the spans near
     them, also where one key holds most rows, and no pair is found twice. Choose
-    bins about as long as a usual span. `closed` takes in a span's end; `how`
-    may be 'inner' or 'right' (spans without points are kept, once).
+    bins about as long as a usual span. `closed` takes in a span's end.
     """
     inside = (F.col(at) >= F.col(start)) & ((F.col(at) <= F.col(end)) if closed else (F.col(at) < F.col(end)))
-    binned = points.withColumn("_bin", _bin(at, bin_seconds))
-    named = spans.withColumn("_span", F.xxhash64(*spans.columns)) if how == "right" else spans
-    spread = named.withColumn("_bin", F.explode(F.sequence(_bin(start, bin_seconds), F.greatest(_bin(start, bin_seconds), _bin(end, bin_seconds)))))
-    p = binned.select([F.col(c).alias(f"_p_{c}") if c in keys else F.col(c) for c in binned.columns if c != "_bin"] + [F.col("_bin").alias("_p_bin")])
+    touched = F.sequence(_bin(start, bin_seconds), F.greatest(_bin(start, bin_seconds), _bin(end, bin_seconds)))
+    spread = spans.withColumn("_bin", F.explode(touched))
+    own = points.select([F.col(c).alias(f"_p_{c}") if c in keys else F.col(c) for c in points.columns] + [_bin(at, bin_seconds).alias("_p_bin")])
     on = F.col("_p_bin") == F.col("_bin")
     for k in keys:
         on = on & (F.col(f"_p_{k}") == F.col(k))
-    hits = p.join(spread, on & inside, "inner").drop("_p_bin", "_bin", *[f"_p_{k}" for k in keys])
-    if how == "inner":
-        return hits
-    # Unmatched spans, with nulls for the point's columns.
-    missing = spans.join(hits.select(*[F.col(c).alias(f"_h_{c}") for c in spans.columns]).distinct(),
-                         [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in spans.columns], "left_anti")
-    return hits.drop("_span").unionByName(missing, allowMissingColumns=True)
+    return own.join(spread, on & inside).drop("_p_bin", "_bin", *[f"_p_{k}" for k in keys])
