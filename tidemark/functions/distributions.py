@@ -20,12 +20,12 @@ class Draws:
     def __init__(self, seed: int, *keys: str | Column):
         self.seed, self.keys = seed, keys
 
-    def uniform(self, name: str, n: int = 0) -> Column:
+    def uniform(self, name: str, n: Column | None = None) -> Column:
         """Uniform in [0, 1), from the upper 53 bits of the hash."""
-        h = F.xxhash64(F.lit(self.seed), F.lit(f"{name}#{n}"), *self.keys)
+        h = F.xxhash64(F.lit(self.seed), F.lit(name), F.lit(0) if n is None else n, *self.keys)
         return F.shiftrightunsigned(h, 11).cast("double") * F.lit(2.0**-53)
 
-    def normal(self, name: str, mean: float | Column = 0.0, std: float | Column = 1.0, n: int = 0) -> Column:
+    def normal(self, name: str, mean: float | Column = 0.0, std: float | Column = 1.0, n: Column | None = None) -> Column:
         """Normal draw from two uniforms."""
         u = F.lit(1.0) - self.uniform(f"{name}.r", n)  # in (0, 1]: the logarithm is finite
         angle = self.uniform(f"{name}.a", n) * F.lit(2.0 * math.pi)
@@ -33,13 +33,11 @@ class Draws:
         return _col(mean) + z * _col(std)
 
     def _bounded(self, draw, accept, fallback: Column) -> Column:
-        """First accepted of ten draws. Later draws are evaluated only where the
-        earlier ones fail, which is rare."""
-        tries = []
-        for n in range(REDRAWS):
-            value = draw(n)
-            tries.append(F.when(accept(value), value))
-        return F.coalesce(*tries, fallback)
+        """First accepted of ten draws. The other nine are evaluated only where
+        the first fails, which is rare."""
+        first = F.filter(F.array(draw(F.lit(0))), accept)
+        others = F.filter(F.transform(F.sequence(F.lit(1), F.lit(REDRAWS - 1)), draw), accept)
+        return F.coalesce(F.try_element_at(first, F.lit(1)), F.try_element_at(others, F.lit(1)), fallback)
 
     def bell(self, name: str, low, high, k: float = 4, bound: bool = True) -> Column:
         """Whole number, normal around the middle of a range with a deviation of
@@ -47,9 +45,12 @@ class Draws:
         low, high = _col(low), _col(high)
         half = (high - low) / 2.0
         middle = low + half
-        value = lambda n: F.rint(self.normal(name, middle, half / float(k), n)).cast("bigint")
+
+        def value(n: Column | None = None) -> Column:
+            return F.rint(self.normal(name, middle, half / float(k), n)).cast("bigint")
+
         if not bound:
-            return value(0)
+            return value()
         return self._bounded(value, lambda v: v.between(low, high), F.rint(middle).cast("bigint"))
 
     def two_bells(self, name: str, low1, high1, low2, high2, k: float = 4, bound: bool = True) -> Column:
@@ -63,12 +64,12 @@ class Draws:
         low, high = _col(low), _col(high)
         std = (high - low) / 2.0 / float(k)
 
-        def value(n: int) -> Column:
+        def value(n: Column | None = None) -> Column:
             x = self.normal(name, low, std, n)
             return F.rint(F.when(x < low, F.abs(x) + low).otherwise(x)).cast("bigint")
 
         if not bound:
-            return value(0)
+            return value()
         return self._bounded(value, lambda v: v <= high, F.rint(low).cast("bigint"))
 
     def power(self, name: str, low: int, high: int, n: int) -> Column:

@@ -207,7 +207,7 @@ def draws_of(rows: DataFrame, key: str, seed: int = 7) -> DataFrame:
 # name: least, greatest, mean, tolerated error of the mean
 BOUNDS = {
     "normal": (-50.0, 150.0, 50.0, 1.0), "bell": (1.0, 100.0, 50.5, 1.0), "bell_3": (1.0, 50.0, 25.5, 1.0), "two_bells": (1.0, 300.0, 150.5, 5.0),
-    "half_bell": (1.0, 10.0, 2.4, 0.4), "power": (1.0, 25.0, 2.0, 0.4), "whole": (1.0, 6.0, 3.5, 0.1), "flag": (0.0, 1.0, 0.25, 0.03),
+    "half_bell": (1.0, 10.0, 2.0, 0.4), "power": (1.0, 25.0, 2.0, 0.4), "whole": (1.0, 6.0, 3.5, 0.1), "flag": (0.0, 1.0, 0.25, 0.03),
 }
 
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.sources.load import RAW, Delimited, PIPE, accepted, enforce_limit, rejected
+from tidemark.sources.load import RAW, Delimited, PIPE, accepted, enforce_limit, judged, rejected
 
 
 def file_stream(spark: SparkSession, folder: str, schema: str, files_per_batch: int = 100, name_filter: str | None = None) -> DataFrame:
@@ -21,8 +21,7 @@ def file_stream(spark: SparkSession, folder: str, schema: str, files_per_batch:
 
 
 def delimited_stream(spark: SparkSession, folder: str, schema: str, fmt: Delimited = PIPE, files_per_batch: int = 100) -> DataFrame:
-    rows = spark.readStream.schema(f"{schema}, {RAW} string").options(**fmt.options()).option("maxFilesPerTrigger", files_per_batch).csv(folder)
-    return rows.withColumn("_file", F.col("_metadata.file_path"))
+    return judged(spark.readStream.schema(f"{schema}, {RAW} string").options(**fmt.options()).option("maxFilesPerTrigger", files_per_batch).csv(folder))
 
 
 def run_to_end(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
