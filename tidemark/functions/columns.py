@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+LOW_BITS = 20
+
 
 def col(c: str | Column) -> Column:
     return F.expr(c) if isinstance(c, str) else c
 
 
 def exact(c: str | Column, scale: int = 4) -> Column:
-    """Money as DECIMAL, so that a sum does not depend on the order of rows."""
+    """Money as DECIMAL."""
     return col(c).cast(f"decimal(18,{scale})")
 
 
@@ -20,7 +22,18 @@ def total(c: str | Column) -> Column:
 
 
 def exact_total(c: str | Column, scale: int = 4) -> Column:
-    return F.sum(exact(c, scale)).cast("double")
+    """Sum of a double column of money, exact to `scale` digits, as double.
+
+    Sums of doubles depend on the order of rows. Here each value becomes whole
+    units of its last digit, and the upper and lower bits of the units are summed
+    apart: neither sum overflows, both stay in primitive longs, and casting every
+    row to DECIMAL, which goes through text, is avoided.
+    """
+    units = F.rint(col(c) * F.lit(10.0**scale)).cast("bigint")
+    upper = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(38,0)")
+    lower = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(38,0)")
+    whole = upper * F.lit(1 << LOW_BITS).cast("decimal(8,0)") + lower
+    return whole.cast("double") / F.lit(10.0**scale)
 
 
 def mean(c: str | Column) -> Column:
@@ -29,7 +42,7 @@ def mean(c: str | Column) -> Column:
 
 
 def exact_mean(c: str | Column, scale: int = 2) -> Column:
-    return mean(exact(c, scale))
+    return F.try_divide(exact_total(c, scale), F.count(col(c)))
 
 
 def ratio(a: str | Column, b: str | Column) -> Column:

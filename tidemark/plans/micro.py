@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import exact_mean, exact_total, ordered, total, when
+from tidemark.functions.columns import exact_mean, exact_total, ordered
 from tidemark.plans.tpch import Tables, join
 from tidemark.sources.layout import Layout, write_table
 from tidemark.sources.shared import new_folder
@@ -76,8 +76,8 @@ def x10(t: Tables):
 def x11(t: Tables):
     """Join of unrelated keys. Lines are summed per key first, so that a hot
     supplier is one row in the join."""
-    per_key = t["lineitem"].groupBy("l_suppkey").agg(F.sum(F.expr("cast(l_quantity as decimal(18,2))")).alias("q"))
-    return join(per_key, t["part"].select("p_partkey"), "l_suppkey = p_partkey").agg(total("q").alias("total_quantity"))
+    per_key = t["lineitem"].groupBy("l_suppkey").agg(exact_total("l_quantity", 2).alias("q"))
+    return join(per_key, t["part"].select("p_partkey"), "l_suppkey = p_partkey").agg(exact_total("q", 2).alias("total_quantity"))
 
 
 def x12(t: Tables):

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.columns import (
-    col, exact, exact_mean, exact_total, mean, ordered, ratio, total, when,
+    col, exact, exact_mean, exact_total, ordered, total, when,
 )
 
 Tables = Mapping[str, DataFrame]
@@ -117,11 +117,10 @@ def q08(t: Tables, nation: str = "NATION_5", region: str = "AFRICA", kind: str =
     orders = join(t["orders"].filter(f"o_orderdate between date '{start}' and date '{end}'"), buyers, "o_custkey = c_custkey")
     sellers = join(t["supplier"], F.broadcast(t["nation"]), "s_nationkey = n_nationkey").select("s_suppkey", "n_name")
     lines = join(join(t["lineitem"], parts, "l_partkey = p_partkey"), orders, "l_orderkey = o_orderkey")
-    volume = exact(REVENUE)
     out = (
         join(lines, sellers, "l_suppkey = s_suppkey")
         .groupBy(F.year("o_orderdate").alias("o_year"))
-        .agg(ratio(F.sum(F.when(F.col("n_name") == nation, volume).otherwise(F.lit(0))), F.sum(volume)).alias("mkt_share"))
+        .agg(F.try_divide(exact_total(F.when(F.col("n_name") == nation, col(REVENUE)).otherwise(F.lit(0.0))), exact_total(REVENUE)).alias("mkt_share"))
     )
     return ordered(out, "o_year")
 
@@ -131,8 +130,8 @@ def q09(t: Tables, word: str = "blue") -> DataFrame:
     sellers = join(t["supplier"], F.broadcast(t["nation"]), "s_nationkey = n_nationkey").select("s_suppkey", F.col("n_name").alias("nation"))
     lines = join(join(t["lineitem"], parts, "l_partkey = p_partkey"), t["partsupp"], "l_partkey = ps_partkey and l_suppkey = ps_suppkey")
     dated = join(join(lines, sellers, "l_suppkey = s_suppkey"), t["orders"], "l_orderkey = o_orderkey")
-    amount = exact(REVENUE) - exact(col("ps_supplycost") * F.col("l_quantity").cast("decimal(5,0)"))
-    out = dated.groupBy("nation", F.year("o_orderdate").alias("o_year")).agg(total(amount).alias("sum_profit"))
+    amount = f"{REVENUE} - cast(ps_supplycost as double) * l_quantity"
+    out = dated.groupBy("nation", F.year("o_orderdate").alias("o_year")).agg(exact_total(amount).alias("sum_profit"))
     return ordered(out, "nation", "-o_year")
 
 
@@ -181,8 +180,8 @@ def q13(t: Tables, pattern: str = "%express%deposits%") -> DataFrame:
 def q14(t: Tables, start: str = "1997-04-01") -> DataFrame:
     month = t["lineitem"].filter(f"l_shipdate >= date '{start}' and l_shipdate < add_months(date '{start}', 1)")
     sold = join(month, t["part"], "l_partkey = p_partkey")
-    promo = F.when(F.col("p_type").startswith("PROMO"), exact(REVENUE)).otherwise(F.lit(0))
-    return sold.agg(F.try_divide(100.0 * total(promo), exact_total(REVENUE)).alias("promo_revenue"))
+    promo = F.when(F.col("p_type").startswith("PROMO"), col(REVENUE)).otherwise(F.lit(0.0))
+    return sold.agg(F.try_divide(100.0 * exact_total(promo), exact_total(REVENUE)).alias("promo_revenue"))
 
 
 def q15(t: Tables, start: str = "1997-04-01") -> DataFrame:
