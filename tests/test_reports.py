@@ -59,7 +59,7 @@ def test_report_with_twin_and_summary(spark):
 
 
 def test_process_lines(spark):
-    head = "1034 1.0 656480 16676 0.4 S postgres: port 40001, user db 127.0.0.1(51217) con64 "
+    head = "1034 1.0 656480 16676 0.4 S server: port 40001, user db 127.0.0.1(51217) con64 "
     lines = [head + "seg1 idle", head + "seg0 cmd6 MPPEXEC INSERT", head + "seg2 cmd2 slice1 MPPEXEC SELECT", head.replace("16676", "none") + "seg1 idle",
              head + "writer process", head + "seg1 cmd6 MPPEXEC"]
     got = telemetry.parse_process_lines(spark.createDataFrame([(x,) for x in lines], "line string")).collect()

@@ -39,14 +39,14 @@ def _scenarios(t: Tables, concurrent: bool) -> DataFrame:
 
 def single_stream(rows: DataFrame, t: Tables, group: Sequence[str], errors: bool) -> DataFrame:
     """State and mean duration per action of the single-stream scenarios."""
-    mine = rows.join(F.broadcast(_scenarios(t, False)), "s_id", "left_semi")
+    mine = rows.join(_scenarios(t, False), "s_id", "left_semi")
     return mine.groupBy(*group, *KEYS, "action_type", "action_target").agg(_state(errors).alias("status"), _mean_duration(errors).alias("duration"))
 
 
 def concurrent(rows: DataFrame, t: Tables, group: Sequence[str], errors: bool) -> DataFrame:
     """Concurrent scenarios as one action each: the mean per stream and query,
     summed per stream, averaged over the streams."""
-    mine = rows.filter("action_type = 'Execution'").join(F.broadcast(_scenarios(t, True)), "s_id", "left_semi")
+    mine = rows.filter("action_type = 'Execution'").join(_scenarios(t, True), "s_id", "left_semi")
     keys = [*group, *KEYS]
     queries = mine.groupBy(*keys, "stream", "action_target").agg(_state(errors).alias("status"), _mean_duration(errors).alias("duration"))
     streams = queries.groupBy(*keys, "stream").agg(_state(errors).alias("status"), F.sum("duration").alias("duration"))
@@ -69,7 +69,7 @@ def baseline(t: Tables, storage: str, engine: str) -> DataFrame:
 def with_settings(rows: DataFrame, t: Tables) -> DataFrame:
     """The workload's settings; a concurrent workload's name says so."""
     work = t["workload"].withColumn("wl_name", F.expr("case when wl_concurrency > 1 then wl_name || '_CONCURRENT' else wl_name end"))
-    return rows.join(F.broadcast(t["scenario"].join(work, "wl_id")), "s_id")
+    return rows.join(t["scenario"].join(work, "wl_id"), "s_id")
 
 
 def classify(actual: str, base: str, actual_status: str, base_status: str) -> Column:
@@ -193,8 +193,8 @@ def tuning(t: Tables, names: Sequence[str], column: str, within: Column | None =
     """
     params = t["parameters"] if within is None else t["parameters"].filter(within)
     spans = params.groupBy(F.col(column).alias("param")).agg(F.min("run_id").alias("lo"), F.max("run_id").alias("hi"))
-    all_runs = t["test_result"].select("tr_id").distinct()
-    runs = F.broadcast(all_runs.join(F.broadcast(spans), F.col("tr_id").between(F.col("lo"), F.col("hi"))).select("tr_id", "param"))
+    # A span becomes one row per run, so that results meet it on the run's number.
+    runs = spans.select("param", F.explode(F.sequence("lo", "hi")).alias("tr_id"))
     low, high = (params.agg(f("run_id")).first()[0] for f in (F.min, F.max))
     rows = results(t, low, high).join(runs, "tr_id")
     out = rows.groupBy("s_id", "action_type", "action_target").pivot("param", list(names)).agg(F.max("duration"))

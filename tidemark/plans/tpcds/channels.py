@@ -278,7 +278,7 @@ def q05a(t: Tables):
 def q80(t: Tables, start: str = "1998-08-23", days: int = 30, price: float = 50.0, totals: bool = False):
     """As 05, for dear items outside TV promotions, each sale with its own return."""
     items = t["item"].filter(F.col("i_current_price") > price).select("i_item_sk")
-    promos = F.broadcast(t["promotion"].filter("p_channel_tv = 'N'").select("p_promo_sk"))
+    promos = t["promotion"].filter("p_channel_tv = 'N'").select("p_promo_sk")
     rows = None
     for name, (key, _, _) in OUTLETS.items():
         table, p, _, _, order = SALES[name]

@@ -159,7 +159,7 @@ def q61(t: Tables, category: str = "Jewelry", offset: int = -7, days: str = "d_y
     here = t["customer_address"].filter(f"ca_gmt_offset = {offset}").select("ca_address_sk")
     people = join(t["customer"], here, "c_current_addr_sk = ca_address_sk", "left_semi").select("c_customer_sk")
     facts = join(join(sold(t, "store_sales", days), items, "ss_item_sk = i_item_sk"), stores, "ss_store_sk = s_store_sk")
-    facts = join(join(facts, people, "ss_customer_sk = c_customer_sk"), F.broadcast(t["promotion"]), "ss_promo_sk = p_promo_sk", "left")
+    facts = join(join(facts, people, "ss_customer_sk = c_customer_sk"), t["promotion"], "ss_promo_sk = p_promo_sk", "left")
     promoted = "p_channel_dmail = 'Y' or p_channel_email = 'Y' or p_channel_tv = 'Y'"
     out = facts.agg(total(when(promoted, "ss_ext_sales_price")).alias("promotions"), total("ss_ext_sales_price").alias("total"))
     return out.withColumn("share", ratio("promotions", "total") * 100)

@@ -121,7 +121,7 @@ def q44(t: Tables, store: int = 7, factor: float = 0.9, n: int = 10):
 
     def ranked(order, name: str):
         top = per.withColumn("rnk", F.rank().over(W.orderBy(order))).filter(F.col("rnk") <= n)
-        return join(items, F.broadcast(top), "i_item_sk = ss_item_sk").select("rnk", F.col("i_product_name").alias(name))
+        return join(items, top, "i_item_sk = ss_item_sk").select("rnk", F.col("i_product_name").alias(name))
 
     out = ranked(F.asc("profit"), "best_performing").join(ranked(F.desc("profit"), "worst_performing"), "rnk")
     return ordered(out, "rnk", "best_performing", "worst_performing", limit=100)

@@ -618,7 +618,7 @@ MONITOR = {
                 "timeslot": "event_id",
                 "line": "cast(1000 + event_id as string) || '  ' || cast((event_id * 13) % 90 as string) || '.5 650000 ' || "
                 "case when event_id % 31 = 4 then 'n/a' else cast(10000 + event_id * 3 as string) end || ' 0.' || cast(event_id % 10 as string) || "
-                "' S postgres: port 40000, user db 127.0.0.1(' || cast(user_id as string) || ') con' || cast(" + idiv("event_id", 50) + " as string) || ' ' || "
+                "' S server: port 40000, user db 127.0.0.1(' || cast(user_id as string) || ') con' || cast(" + idiv("event_id", 50) + " as string) || ' ' || "
                 "case event_id % 5 when 0 then 'seg1 idle' when 1 then 'seg0 cmd6 MPPEXEC INSERT' when 2 then 'seg2 cmd2 slice1 MPPEXEC SELECT' "
                 "when 3 then 'writer process' else 'seg3 cmd4 slice2 MPPEXEC' end",
             },
