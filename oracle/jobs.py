@@ -30,6 +30,9 @@ SQL = {
     "layout_colocated": f"from lineitem join orders on o_orderkey = l_orderkey select o_orderpriority, count(*) as n, {XS('l_quantity', 2)} as quantity group by 1",
     "layout_random": "from part select p_size, count(*) as n group by 1",
     "layout_history": "(from events select event_type, count(*) as n group by 1) union all select 'left', 0",
+    "layout_view": f"""with r as (from lineitem select l_suppkey as s_suppkey, {XS('l_extendedprice * (1 - l_discount)')} as v
+          where l_shipdate >= '1997-04-01' and l_shipdate < date '1997-04-01' + 90 group by 1)
+        from r join supplier using (s_suppkey) select s_nationkey, count(*) as suppliers, max(v) as best group by 1""",
     "check_difference": """(from orders select o_custkey, o_orderkey, o_totalprice, '+' as side, 1::bigint as copies where o_orderkey % 1000 = 7)
         union all (from orders select o_custkey, o_orderkey, o_totalprice + 1, '-', 1 where o_orderkey % 1000 = 7)
         union all (from orders select o_custkey, o_orderkey, o_totalprice, '-', 1 where o_orderkey % 2000 = 11)""",

@@ -1,4 +1,4 @@
-from oracle.prelude import S, X, XA, XS, with_tables
+from oracle.prelude import XA, XS, with_tables
 
 R = "l_extendedprice * (1 - l_discount)"
 PART = "from h_part select p_partkey, p_name, p_brand, p_size, p_retailprice, p_mfgr, p_container, p_comment, p_type"

@@ -1,4 +1,4 @@
-from oracle.prelude import A, S, top, with_tables
+from oracle.prelude import A, top, with_tables
 
 INV = "inventory join date_dim on d_date_sk = inv_date_sk join item on i_item_sk = inv_item_sk"
 

@@ -1,4 +1,4 @@
-from oracle.prelude import A, S, top, with_tables
+from oracle.prelude import A, top, with_tables
 
 
 def share(fact: str, p: str, limit: int | None) -> str:

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from tidemark.sources.shared import new_folder
 from tidemark.streaming import loads, windows
 

@@ -11,7 +11,7 @@ from tidemark.plans import retail_star, tpch
 from tidemark.sources import layout, load
 from tidemark.sources.schemas import STORED
 from tidemark.sources.shared import new_folder
-from tidemark.sources.tables import StoredTables, tpch_tables
+from tidemark.sources.tables import StoredTables, create_views, tpch_tables
 from tidemark.streaming import loads, windows
 
 # --- Loads and layouts -----------------------------------------------------------------
@@ -122,6 +122,13 @@ def layout_history(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(f"{name}_history").groupBy("event_type").agg(F.count("*").alias("n")).unionByName(left)
 
 
+def layout_view(spark: SparkSession, sf: str) -> DataFrame:
+    """A view over line items, joined to suppliers in SQL."""
+    t = tpch_tables(spark, sf)
+    create_views({"revenue": tpch.revenue_by_supplier(t), "revenue_supplier": t["supplier"]})
+    return spark.sql("select s_nationkey, count(*) as suppliers, max(total_revenue) as best from revenue_supplier join revenue on supplier_no = s_suppkey group by s_nationkey")
+
+
 # --- Checks -------------------------------------------------------------------------------
 
 

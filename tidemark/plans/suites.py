@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,9 +11,21 @@ from tidemark.plans import jobs, micro, retail, runs, telemetry, tpcds, tpch
 from tidemark.sources.tables import monitor_tables, retail_tables, tpcds_tables, tpch_tables
 
 
+_opened: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def opened(tables: Callable, spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
+    """A suite's tables, opened once per session and folder: their files are
+    listed once, as for a table of the catalog."""
+    mine = _opened.setdefault(spark, {})
+    if (tables, folder) not in mine:
+        mine[tables, folder] = tables(spark, folder)
+    return mine[tables, folder]
+
+
 def bind(query: Callable, tables: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return query(tables(spark, folder))
+        return query(opened(tables, spark, folder))
 
     run.__name__, run.__doc__ = query.__name__, query.__doc__
     return run

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import mean, ordered, total
 from tidemark.plans.tpcds.common import (
-    Tables, channel, channels, dates, join, sold,
+    Tables, channels, dates, join, sold,
 )
 
 

@@ -16,6 +16,7 @@ SALES = {
     "catalog": ("catalog_sales", "cs", "cs_bill_customer_sk", "cs_bill_addr_sk", "cs_order_number"),
     "web": ("web_sales", "ws", "ws_bill_customer_sk", "ws_bill_addr_sk", "ws_order_number"),
 }
+SOLD = {table: f"{p}_sold_date_sk" for table, p, *_ in SALES.values()}
 # Per channel: returns table, prefix, order number, amount.
 RETURNS = {
     "store": ("store_returns", "sr", "sr_ticket_number", "sr_return_amt"),
@@ -40,10 +41,8 @@ def days_from(start: str, days: int) -> str:
 
 def sold(t: Tables, table: str, when: str | Column, *columns: str, key: str | None = None) -> DataFrame:
     """A fact joined to the days of its date key."""
-    fact = t[table]
-    prefix = fact.columns[0].split("_")[0]
-    key = key or f"{prefix}_sold_date_sk"
-    return join(fact, dates(t, when, *columns), f"{key} = d_date_sk")
+    key = key or SOLD[table]
+    return join(t[table], dates(t, when, *columns), f"{key} = d_date_sk")
 
 
 def channel(t: Tables, name: str, *measures: str) -> DataFrame:

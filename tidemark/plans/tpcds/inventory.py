@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W, functions as F
+from pyspark.sql import functions as F
 
-from tidemark.functions.columns import mean, ordered, ratio
+from tidemark.functions.columns import mean, ordered
 from tidemark.plans.tpcds.common import Tables, dates, days_from, join, sold
 
 

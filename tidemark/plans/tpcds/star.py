@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import mean, ordered, ratio, total, when
 from tidemark.plans.tpcds.common import (
-    Tables, any_of, by_day, dates, days_from, join, latency, sold,
+    Tables, any_of, by_day, dates, join, latency, sold,
 )
 
 

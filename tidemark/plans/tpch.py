@@ -184,11 +184,16 @@ def q14(t: Tables, start: str = "1997-04-01") -> DataFrame:
     return sold.agg(F.try_divide(100.0 * exact_total(promo), exact_total(REVENUE)).alias("promo_revenue"))
 
 
-def q15(t: Tables, start: str = "1997-04-01") -> DataFrame:
+def revenue_by_supplier(t: Tables, start: str = "1997-04-01") -> DataFrame:
+    """The revenue view: each supplier's revenue of ninety days."""
     window = t["lineitem"].filter(f"l_shipdate >= date '{start}' and l_shipdate < date_add(date '{start}', 90)")
-    revenue = window.groupBy("l_suppkey").agg(exact_total(REVENUE).alias("total_revenue"))
+    return window.groupBy(F.col("l_suppkey").alias("supplier_no")).agg(exact_total(REVENUE).alias("total_revenue"))
+
+
+def q15(t: Tables, start: str = "1997-04-01") -> DataFrame:
+    revenue = revenue_by_supplier(t, start)
     best = revenue.filter(F.col("total_revenue") == revenue.agg(F.max("total_revenue")).scalar())
-    out = join(t["supplier"], best, "s_suppkey = l_suppkey").select("s_suppkey", "s_name", "s_address", "s_phone", "total_revenue")
+    out = join(t["supplier"], best, "s_suppkey = supplier_no").select("s_suppkey", "s_name", "s_address", "s_phone", "total_revenue")
     return ordered(out, "s_suppkey")
 
 

@@ -68,7 +68,7 @@ def build(spark: SparkSession, base: DataFrame | None, d: Derived) -> DataFrame:
         if d.keep:
             df = df.withColumns({k: F.expr(to_spark(v)) for k, v in stage.items()})
         else:
-            df = df.select(*[F.expr(to_spark(v)).alias(k) for k, v in stage.items()])
+            df = df.selectExpr(*[f"{to_spark(v)} as {k}" for k, v in stage.items()])
     return df
 
 

@@ -37,6 +37,12 @@ class StoredTables(Mapping):
         return len(self.schemas)
 
 
+def create_views(tables: Mapping, *names: str, prefix: str = "") -> None:
+    """Temporary views of some tables, or of all, for use in SQL text."""
+    for name in names or tuple(tables):
+        tables[name].createOrReplaceTempView(prefix + name)
+
+
 class DerivedTables(Mapping):
     """Stored tables plus one suite's derived ones, which shadow them by name."""
 
