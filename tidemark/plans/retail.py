@@ -161,12 +161,11 @@ def r592(t: Tables, n: int = 10):
 def r594(t: Tables, state: str = "CA", open_ended: bool = False):
     """Customers whose last order shipped to a state.
 
-    The last line of each customer is found by aggregation and only it is joined
+    The last order of each customer is found by aggregation and only it is joined
     to the address versions. A version without an end matches nothing, unless
     `open_ended` lets it run on.
     """
-    last = t["order_lineitems"].groupBy("customer_id").agg(
-        F.max(F.struct("order_datetime", "order_item_id")).alias("m")).select("customer_id", F.col("m.order_datetime").alias("at"))
+    last = t["order_lineitems"].groupBy("customer_id").agg(F.max("order_datetime").alias("at"))
     until = "coalesce(valid_to_timestamp, timestamp_ntz '9999-12-31')" if open_ended else "valid_to_timestamp"
     versions = t["customer_addresses_dim"].select(F.col("customer_id").alias("k"), "state_code", "valid_from_timestamp", F.expr(until).alias("until"))
     placed = join(last, versions, "customer_id = k and at between valid_from_timestamp and until")
