@@ -22,9 +22,10 @@ def parse_process_lines(lines: DataFrame) -> DataFrame:
 
     Lines of other processes, or with a memory size that is no number, are dropped.
     """
-    w = F.split(F.trim("line"), r"\s+")
+    # As a generated column, which conditions are not pushed below: a line is split once.
+    words = F.explode(F.array(F.split(F.trim("line"), r"\s+"))).alias("w")
     at = lambda i: F.try_element_at("w", F.lit(i + 1))
-    rows = lines.withColumn("w", w).filter((F.size("w") >= 15) & at(12).startswith("con") & at(13).startswith("seg"))
+    rows = lines.select("*", words).filter((F.size("w") >= 15) & at(12).startswith("con") & at(13).startswith("seg"))
     idle, sliced = at(14) == "idle", F.coalesce(at(15).contains("slice"), F.lit(False))
     rows = rows.select(
         *[c for c in lines.columns if c != "line"], at(0).cast("string").alias("pid"), F.substring(at(12), 4, 20).alias("con_id"), at(13).alias("seg_id"),
