@@ -19,7 +19,7 @@ PEOPLE = "(from nation select count(*)) * (from customer select count(*) where c
 SQL = {
     "load_delimited": LOADED,
     "load_csv": TOTALS,
-    "load_rejects": "from lineitem select count_if(l_orderkey % 500 <> 0) as good, count_if(l_orderkey % 500 = 0) as bad",
+    "load_rejects": "from lineitem select count(*) filter (l_orderkey % 500 <> 0) as good, count(*) filter (l_orderkey % 500 = 0) as bad",
     "load_nulls": f"""from orders select if(o_orderkey % 3 = 0, null, o_orderpriority) as o_orderpriority, count(*) as n, {XS('o_totalprice', 2)} as price group by 1""",
     "layout_slices": """from lineitem select cast(date_diff('day', date '1995-01-01', l_shipdate) * 14 // (date '2001-12-31' - date '1995-01-01' + 1) as int) as slice,
         count(*) as n, min(l_shipdate) as first_ship, max(l_shipdate) as last_ship group by 1""",

@@ -80,7 +80,7 @@ SQL = {
     "q97": """with s as (from store_sales join date_dim on d_date_sk = ss_sold_date_sk select distinct ss_customer_sk as c, ss_item_sk as i where d_year = 1998),
         k as (from catalog_sales join date_dim on d_date_sk = cs_sold_date_sk select distinct cs_bill_customer_sk as c, cs_item_sk as i where d_year = 1998)
         from s full join k on (s.c, s.i) = (k.c, k.i)
-        select count_if(k.c is null) as store_only, count_if(s.c is null) as catalog_only, count_if(s.c is not null and k.c is not null) as store_and_catalog""",
+        select count(*) filter (k.c is null) as store_only, count(*) filter (s.c is null) as catalog_only, count(*) filter (s.c is not null and k.c is not null) as store_and_catalog""",
     "q08": f"""with z as ((from customer_address select left(ca_zip, 5) as zip where (cast(zip as int) - 10000) % 74 = 0 and cast(zip as int) < 17400)
           intersect (from ds_customer join customer_address on ca_address_sk = c_current_addr_sk select left(ca_zip, 5)
             where c_preferred_cust_flag = 'Y' group by 1 having count(*) > 2))

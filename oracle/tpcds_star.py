@@ -24,8 +24,8 @@ ZIPS = "('10000', '10370', '11110', '12220', '13330', '14440', '15550', '16660',
 
 def days_between(a: str, b: str) -> str:
     gap = f"{a} - {b}"
-    return f"""count_if({gap} <= 30) as days_30, count_if({gap} between 31 and 60) as days_31_60, count_if({gap} between 61 and 90) as days_61_90,
-        count_if({gap} between 91 and 120) as days_91_120, count_if({gap} > 120) as days_over_120"""
+    return f"""count(*) filter ({gap} <= 30) as days_30, count(*) filter ({gap} between 31 and 60) as days_31_60, count(*) filter ({gap} between 61 and 90) as days_61_90,
+        count(*) filter ({gap} between 91 and 120) as days_91_120, count(*) filter ({gap} > 120) as days_over_120"""
 
 
 def shipping(fact: str, p: str, outlet: str, on: str, name: str) -> str:
