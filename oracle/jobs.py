@@ -58,6 +58,7 @@ SQL = {
           where cast(substr(c_name, 10, 9) as int) % 10 = 0)
         from f, l select i * m + j + 1 as customer_id, first_name, last_name, gender""",
     "star_addresses": f"select n as customers, n as one_open, n as linked, n as in_range from (select {PEOPLE} as n)",
+    "star_days": "from range(date '2006-01-01', date '2011-01-01', interval 1 month) as r(m) select strftime(m, '%Y-%m') as month, true as near",
     "star_emails": f"select n as mails, n as customers, n as well_formed from (select {PEOPLE} as n)",
 }
 SQL = {k: with_tables(v) for k, v in SQL.items()}

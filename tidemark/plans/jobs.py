@@ -284,13 +284,15 @@ def star_emails(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def star_days(spark: SparkSession, sf: str) -> DataFrame:
-    """Wanted and drawn orders per month."""
+    """Whether each month drew about the orders its weights call for."""
     people, _, cfg = _people(spark, sf)
     factors = retail_star.day_factors(spark, cfg)
-    drawn = retail_star.daily_customers(retail_star.lifetimes(people, cfg), factors, cfg)
-    wanted = factors.withColumn("w", F.col("factor") / factors.agg(F.sum("factor")).scalar() * cfg.order_rows).groupBy(
-        F.date_format("calendar_day", "yyyy-MM").alias("month")).agg(F.sum("w").alias("wanted"))
-    return wanted.join(drawn.groupBy(F.date_format("calendar_day", "yyyy-MM").alias("month")).agg(F.count("*").alias("drawn")), "month")
+    month = F.date_format("calendar_day", "yyyy-MM").alias("month")
+    drawn = retail_star.daily_customers(retail_star.lifetimes(people, cfg), factors, cfg).groupBy(month).agg(F.count("*").alias("drawn"))
+    share = F.col("factor") / factors.agg(F.sum("factor")).scalar() * cfg.order_rows
+    wanted = factors.groupBy(month).agg(F.sum(share).alias("wanted"))
+    # Six standard deviations of a sum of rare draws.
+    return wanted.join(drawn, "month").select("month", (F.abs(F.col("drawn") - F.col("wanted")) <= 6 * F.sqrt("wanted") + 1).alias("near"))
 
 
 def star_orders(spark: SparkSession, sf: str) -> DataFrame:
