@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Semi and anti joins on facts profit from a bloom filter on the scan.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # HotSpot leaves methods over 8000 bytes uncompiled. A stage whose generated code is
+    # that long runs faster as separate operators.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.cbo.enabled": "true",
     "spark.sql.cbo.joinReorder.enabled": "true",
 }
