@@ -32,12 +32,14 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     wide[:, :RUN].flat[:n] = values
     need = _bits(wide)
     selector = np.full((runs, RUN), ESCAPE, np.int8)
-    # from the widest to the narrowest, so that the last that fits has the most integers
+    # bits of the widest of the next `count` integers, for growing counts; the last layout that fits has the most integers
+    widest, have = need, 1
     for s in range(len(LAYOUTS) - 1, -1, -1):
         count, width = LAYOUTS[s]
-        over = np.zeros((runs, wide.shape[1] + 1), np.int32)
-        np.cumsum(need > width, axis=1, out=over[:, 1:])
-        selector[over[:, count:count + RUN] == over[:, :RUN]] = s
+        if count > have:
+            end = widest.shape[1] - (count - have)
+            widest, have = np.maximum(widest[:, :end], widest[:, count - have:]), count
+        np.copyto(selector, np.int8(s), where=widest[:, :RUN] <= width)
     lengths = np.full(runs, RUN)
     lengths[-1] = n - (runs - 1) * RUN
     at, active = np.zeros(runs, np.int64), np.arange(runs)
@@ -50,21 +52,22 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at[active] += COUNTS[own]
         active = active[at[active] < lengths[active]]
     run, place, chosen = np.concatenate(picked_run), np.concatenate(picked_at), np.concatenate(picked)
-    order = np.lexsort((place, run))
+    order = np.argsort(run * RUN + place)
     run, place, chosen = run[order], place[order], chosen[order]
     size = 1 + (chosen == ESCAPE)
     start = np.cumsum(size) - size
     words = np.zeros(int(size.sum()), np.uint64)
+    flat, origin = wide.ravel(), run * wide.shape[1] + place
     for s, (count, width) in enumerate(LAYOUTS):
         own = np.flatnonzero(chosen == s)
         if len(own):
             word = np.full(len(own), s << 60, np.uint64)
             for j in range(count):
-                word |= wide[run[own], place[own] + j] << np.uint64(j * width)
+                word |= flat[origin[own] + j] << np.uint64(j * width)
             words[start[own]] = word
     own = np.flatnonzero(chosen == ESCAPE)
     words[start[own]] = np.uint64(ESCAPE << 60)
-    words[start[own] + 1] = wide[run[own], place[own]]
+    words[start[own] + 1] = flat[origin[own]]
     first = np.zeros(runs + 1, np.uint32)
     first[1:] = np.cumsum(np.bincount(run, size, runs))
     return words, first

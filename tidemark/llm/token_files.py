@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import struct
 import sys
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import repeat
@@ -114,10 +115,32 @@ def word_ids(path: str) -> WordIds:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        _worker[path] = WordIds(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        _worker[path] = WordIds(lambda texts: encode_words(tokenizer, texts))
     return _worker[path]
 
 
+#: Bytes as the vocabulary's characters: visible ones stand for themselves, the others for 256 and up.
+_SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARACTERS = {b: b for b in _SEEN} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SEEN)}
+
+
+def encode_words(tokenizer, words: list[str]) -> list[list[int]]:
+    """Ids of each word. A word of letters that the normalizer leaves as it is, is one
+    piece, which goes to the tokenizer's model at once; others take the whole way."""
+    out: list = [None] * len(words)
+    model, rest = tokenizer.model, []
+    for i, w in enumerate(words):
+        if w.isascii() and w.isalpha() and w.islower():
+            out[i] = [t.id for t in model.tokenize(w)]
+        elif w.isalpha() and w == w.lower() and unicodedata.is_normalized("NFC", w):
+            out[i] = [t.id for t in model.tokenize(w.encode().decode("latin-1").translate(BYTE_CHARACTERS))]
+        else:
+            rest.append(i)
+    for i, e in zip(rest, tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
+        out[i] = e.ids
+    return out
+
+
 def block_of(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> bytes:
     words, first = simple8b.encode(ids.astype(np.uint64))
     nulls = np.array([d is None for d in doc_ids], np.uint8)
