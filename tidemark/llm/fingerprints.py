@@ -102,22 +102,24 @@ def with_next(docs: DataFrame, *columns: str) -> DataFrame:
     if ids are spread evenly. A block's first row is also sent to the block above, whose
     last row it follows.
     """
-    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("o"))
-    low, high, n = ids.agg(F.min(F.when(F.col("o") > LEAST_ID, F.col("o"))), F.max("o"), F.count("*")).first()
+    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("__order"))
+    low, high, n = ids.agg(F.min(F.when(F.col("__order") > LEAST_ID, F.col("__order"))), F.max("__order"), F.count("*")).first()
     low, high = (low, high) if low is not None else (0, 0)
     width = max(1, -(-(high - low + 1) // max(1, min(BLOCKS, -(-n // BLOCK_ROWS)))))
-    block = F.when(F.col("o") == LEAST_ID, F.lit(-1)).otherwise(F.floor((F.col("o").cast("decimal(20,0)") - low) / F.lit(width).cast("decimal(20,0)"))).cast("long")
+    block = F.when(F.col("__order") == LEAST_ID, F.lit(-1)).otherwise(F.floor((F.col("__order").cast("decimal(20,0)") - low) / F.lit(width).cast("decimal(20,0)"))).cast("long")
     # One row per block: at most BLOCKS + 1.
-    heads = ids.groupBy(block.alias("block")).agg(F.max("o").alias("head"))
+    heads = ids.groupBy(block.alias("block")).agg(F.max("__order").alias("head"))
     below = F.lag("head").over(Window.orderBy("block"))
     tails = heads.select(F.coalesce(below, F.max("head").over(Window.partitionBy())).alias("tail"), F.col("block").alias("above"))
-    placed = docs.withColumn("o", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID))).join(F.broadcast(tails), F.col("o") == F.col("tail"), "left")
-    own = F.struct(block.alias("block"), F.lit(0).alias("copy"))
-    also = F.struct(F.col("above").alias("block"), F.lit(1).alias("copy"))
-    copied = placed.withColumn("e", F.explode(F.when(F.col("above").isNull(), F.array(own)).otherwise(F.array(own, also)))).select(*docs.columns, "o", "e.*")
-    order = Window.partitionBy("block").orderBy("copy", F.desc("o"), *columns)
+    tails = tails.select(F.col("tail").alias("__tail"), F.col("above").alias("__above"))
+    placed = docs.withColumn("__order", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)))
+    own = F.struct(block.alias("__block"), F.lit(0).alias("__copy"))
+    also = F.struct(F.col("__above").alias("__block"), F.lit(1).alias("__copy"))
+    copied = placed.join(F.broadcast(tails), F.col("__order") == F.col("__tail"), "left").withColumn(
+        "__e", F.explode(F.when(F.col("__above").isNull(), F.array(own)).otherwise(F.array(own, also)))).select(*docs.columns, "__order", "__e.*")
+    order = Window.partitionBy("__block").orderBy("__copy", F.desc("__order"), *columns)
     following = copied.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
-    return following.filter("copy = 0").drop("copy", "block", "o")
+    return following.filter("__copy = 0").drop("__copy", "__block", "__order")
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

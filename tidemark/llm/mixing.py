@@ -33,6 +33,7 @@ CELLS = 4096
 #: Rows of the plan (sources x orders of size) that may be sent to every task.
 BROADCAST_ROWS = 1_000_000
 LEAST_ID = -(1 << 63)
+ADDED = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
 CUT = {"last_key": "double", "last_id": "long", "more_key": "double", "more_id": "long"}
 
 
@@ -104,15 +105,15 @@ def _by_source(left: DataFrame, right: DataFrame, how: str = "inner", *also: str
     return left.join(renamed, [F.col(k).eqNullSafe(F.col(f"{k}_r")) for k in keys], how).drop(*[f"{k}_r" for k in keys])
 
 
-def _key(seed: int) -> Column:
+def _key(seed: int, chance: Column) -> Column:
     u = _draw(F.col("doc_id"), seed)
-    chance = F.nullif(F.col("chance"), F.lit(0.0))
+    chance = F.nullif(chance, F.lit(0.0))
     return (u / (1 - u)) / (chance / (1 - chance))
 
 
 def _ranked(sized: DataFrame, split: DataFrame, seed: int) -> DataFrame:
     few = split.filter("chance > 0").select("source", "order", "chance", "wanted")
-    joined = _by_source(sized, few, "inner", "order").select("source", "doc_id", "size", "wanted", _key(seed).alias("key"))
+    joined = _by_source(sized, few, "inner", "order").select("source", "doc_id", "size", "wanted", _key(seed, F.col("chance")).alias("key"))
     place = F.col("key") / (1 + F.col("key")) * CELLS
     return joined.withColumn("cell", F.least(F.floor(place), F.lit(CELLS - 1))).withColumn(
         "fine", F.least(F.floor((place - F.col("cell")) * CELLS), F.lit(CELLS - 1)))
@@ -162,7 +163,7 @@ def _id() -> Column:
 
 def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = 7) -> DataFrame:
     """`docs` with mix_size, mix_source_size, mix_target and mix_copies, the number of
-    times the mix takes each row. All columns of `docs` stay.
+    times the mix takes each row. All other columns of `docs` stay.
 
     Sizes are words. A null or empty text has size 0 and is never taken; so have rows
     of a source without words. A null source is a source of its own, the last. Rows
@@ -175,20 +176,24 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MO
     sizes = stored(docs.select(id_type, F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size")), f"{folder}/sizes")
     wanted = stored(targets(sizes, weights, share, most), f"{folder}/targets")
     by_order = stored(plan(sizes, wanted, seed, most), f"{folder}/plan")
-    return _decided(docs.withColumn("mix_size", size_of(F.col("text"))), wanted, by_order, seed)
+    return _decided(docs, wanted, by_order, seed)
 
 
 def _decided(docs: DataFrame, wanted: DataFrame, by_order: DataFrame, seed: int) -> DataFrame:
     own = docs.columns
-    empty = wanted.select(F.col("source").alias("mix_of"), F.lit(0).alias("mix_order"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
-                          F.lit(0).cast("long").alias("whole"), F.lit(0.0).alias("chance"), *[F.lit(None).cast(t).alias(c) for c, t in CUT.items()])
-    full = empty.union(by_order.select("source", "order", "source_size", "target", "whole", "chance", *CUT))
+    empty = wanted.select("source", F.lit(0).alias("order"), "source_size", "target", F.lit(0).cast("long").alias("whole"), F.lit(0.0).alias("chance"),
+                          *[F.lit(None).cast(t).alias(c) for c, t in CUT.items()])
+    full = empty.union(by_order.select(*empty.columns))
+    full = full.select(*[F.col(c).alias(f"__mix_{c}") for c in full.columns])
     few = full.count() <= BROADCAST_ROWS
-    tagged = docs.withColumn("mix_o", _order(F.col("mix_size")))
-    joined = tagged.join(F.broadcast(full) if few else full, tagged["source"].cast("string").eqNullSafe(F.col("mix_of")) & (F.col("mix_o") == F.col("mix_order")))
-    key = _key(seed)
-    more = (F.col("chance") > 0) & ((key < F.col("last_key")) | ((key == F.col("last_key")) & (_id() <= F.col("last_id"))) | ((key == F.col("more_key")) & (_id() == F.col("more_id"))))
-    return joined.select(*[docs[c] for c in own], "mix_source_size", "mix_target", (F.col("whole") + F.coalesce(more, F.lit(False)).cast("long")).alias("mix_copies"))
+    tagged = docs.withColumn("__mix_size", size_of(F.col("text"))).withColumn("__mix_o", _order(F.col("__mix_size")))
+    joined = tagged.join(F.broadcast(full) if few else full, F.col("source").cast("string").eqNullSafe(F.col("__mix_source")) & (F.col("__mix_o") == F.col("__mix_order")))
+    mix = lambda c: F.col(f"__mix_{c}")
+    key, own_id = _key(seed, mix("chance")), _id()
+    more = (mix("chance") > 0) & ((key < mix("last_key")) | ((key == mix("last_key")) & (own_id <= mix("last_id"))) | ((key == mix("more_key")) & (own_id == mix("more_id"))))
+    copies = mix("whole") + F.coalesce(more, F.lit(False)).cast("long")
+    kept = [F.col(f"`{c}`") for c in own if c not in ADDED]
+    return joined.select(*kept, mix("size").alias("mix_size"), mix("source_size").alias("mix_source_size"), mix("target").alias("mix_target"), copies.alias("mix_copies"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, fingerprints, mixing, near_dups, sharding, token_files, url_filter, warc
+import corpus_pipeline
+from tidemark.llm import decontaminate, fingerprints, language, mixing, near_dups, personal, sharding, token_files, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": token_files.op1_token_files,
@@ -14,9 +15,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": mixing.op3_mixing,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_sharding": sharding.op5_sharding,
+    "op6_language": language.op6_language,
+    "op7_personal": personal.op7_personal,
     "op8_warc": warc.op8_warc,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op4_url_filter": url_filter.SQL, "op8_warc": warc.SQL}
