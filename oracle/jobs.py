@@ -5,14 +5,13 @@ TOTALS = f"""from lineitem select l_returnflag, count(*) as n, {XS('l_extendedpr
 LOADED = f"({TOTALS}) union all (from lineitem select 'rejected', count(*), null, null where l_orderkey % 500 = 0)"
 NAMES = ["normal", "bell", "bell_3", "two_bells", "half_bell", "power", "whole", "flag"]
 STATES = "['TN', 'GA', 'TX', 'OH', 'KY', 'NM', 'VA', 'CA']"
-DONE = "(from events select max(ts) - interval 10 minutes)"
 
 
 def windows(minutes: int, slide: int) -> str:
     n = minutes // slide
     return f"""from (from events, (select unnest(range({n})) as k) select *, time_bucket(interval {slide} minutes, ts, timestamp '1970-01-01') - to_minutes(k * {slide}) as s)
       select s as window_start, s + interval {minutes} minutes as window_end, concat('w', user_id % 8) as host, max(value) as peak, {XS('value', 2)} as total, count(*) as samples
-      group by 1, 2, 3 having s + interval {minutes} minutes <= {DONE}"""
+      group by 1, 2, 3"""
 
 
 PEOPLE = "(from nation select count(*)) * (from customer select count(*) where cast(substr(c_name, 10, 9) as int) % 10 = 0)"
@@ -29,7 +28,8 @@ SQL = {
         where o_orderdate between '1998-03-15' and '1998-05-10' group by 1""",
     "layout_colocated": f"from lineitem join orders on o_orderkey = l_orderkey select o_orderpriority, count(*) as n, {XS('l_quantity', 2)} as quantity group by 1",
     "layout_random": "from part select p_size, count(*) as n group by 1",
-    "layout_history": "(from events select event_type, count(*) as n group by 1) union all select 'left', 0",
+    "layout_history": """from (from events select cast(event_id % 4 as int) as run_id, unnest(case when event_id % 4 = 1 then ['first', 'second'] when event_id % 4 = 2 then ['first'] else ['left'] end) as batch_id)
+        select run_id, batch_id, count(*) as n group by all""",
     "layout_view": f"""with r as (from lineitem select l_suppkey as s_suppkey, {XS('l_extendedprice * (1 - l_discount)')} as v
           where l_shipdate >= '1997-04-01' and l_shipdate < date '1997-04-01' + 90 group by 1)
         from r join supplier using (s_suppkey) select s_nationkey, count(*) as suppliers, max(v) as best group by 1""",
@@ -44,10 +44,9 @@ SQL = {
     "stream_load": LOADED,
     "stream_tumbling": windows(5, 5),
     "stream_sliding": windows(60, 30),
-    "stream_spans": f"""with g as (from events select user_id, ts, if(ts - lag(ts) over w < interval 1 hour, 0, 1) as fresh window w as (partition by user_id order by ts)),
+    "stream_spans": """with g as (from events select user_id, ts, if(ts - lag(ts) over w < interval 1 hour, 0, 1) as fresh window w as (partition by user_id order by ts)),
         n as (from g select user_id, ts, sum(fresh) over (partition by user_id order by ts rows unbounded preceding) as no)
-        from n select user_id, min(ts) as started, max(ts) as last_seen, max(ts) + interval 1 hour as ended, count(*) as snapshots group by user_id, no
-        having max(ts) + interval 1 hour <= {DONE}""",
+        from n select user_id, min(ts) as started, max(ts) as last_seen, max(ts) + interval 1 hour as ended, count(*) as snapshots group by user_id, no""",
     "draws_bounds": f"from orders, (select unnest({NAMES}) as name) select name, count(*) as draws, count(*) as inside, true as centred group by name",
     "star_products": """with f as (from part select p_type || ' ' || string_split(p_name, ' ')[-1] as cat, concat(p_name, ' ', p_partkey) as product_name, cast(p_retailprice as decimal(15,2)) as price),
         c as (from (from f select distinct cat) select cat, row_number() over (order by cat) as category_id)

@@ -58,6 +58,14 @@ def test_spread_rank_equals_rank(spark):
     assert key(got) == key(want)
 
 
+def test_spread_rank_keeps_nulls_and_spreads_outliers(spark):
+    rows = spark.createDataFrame([("a", 2.0), ("a", None), (None, 1.0), (None, None), ("a", 1.0), ("a", None)], "g string, v double")
+    got = sorted(((r.g, r.v, r.r) for r in spread_rank(rows, "v", "r", ["g"]).collect()), key=str)
+    assert got == sorted([("a", 1.0, 1), ("a", 2.0, 2), ("a", None, 3), ("a", None, 3), (None, 1.0, 1), (None, None, 2)], key=str)
+    many = spark.range(20000).select(F.lit("a").alias("g"), F.when(F.col("id") == 0, 1e12).otherwise(F.col("id").cast("double")).alias("v"))
+    assert spread_rank(many, "v", "r", ["g"]).filter("r = if(v = 1e12, 20000, v)").count() == 20000
+
+
 def test_difference_counts_copies(spark):
     a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (3, "z")], "k int, v string")
     b = spark.createDataFrame([(1, "x"), (2, None), (4, "z"), (4, "z")], "k int, v string")

@@ -91,15 +91,37 @@ def test_slices_cover_and_clamp(spark):
     assert days.agg(F.min("s"), F.max("s")).first()[:] == (0, 6)
 
 
-def test_history_move_can_be_repeated(spark):
-    layout.write_table(spark.range(10), "h_now")
-    layout.write_table(spark.range(0).withColumn("batch_id", F.lit("")), "h_then")
-    layout.move_to_history(spark, "h_now", "h_then")
-    layout.move_to_history(spark, "h_now", "h_then")
-    assert (spark.table("h_now").count(), spark.table("h_then").count()) == (0, 10)
-    layout.write_table(spark.range(10, 15), "h_now", mode="append")
-    layout.move_to_history(spark, "h_now", "h_then")
-    assert spark.table("h_then").count() == 15
+def test_history_move_loses_and_doubles_nothing(spark):
+    """Equal rows moved twice are kept twice; a rerun of a batch adds none; other runs stay."""
+    rows = spark.range(10).withColumn("run_id", (F.col("id") % 2).cast("int"))
+    how = layout.Layout(partition_by=("run_id",))
+    layout.write_table(rows, "h_now", how)
+    layout.move_to_history(spark, "h_now", "h_then", "run_id", 1, 1, "a")
+    assert (spark.table("h_now").count(), spark.table("h_then").count()) == (5, 5)
+    layout.write_table(rows.filter("run_id = 1"), "h_now", how, mode="append")
+    layout.move_to_history(spark, "h_now", "h_then", "run_id", 1, 1, "b")
+    assert (spark.table("h_now").count(), spark.table("h_then").count()) == (5, 10)
+    layout.write_table(rows.filter("run_id = 1"), "h_now", how, mode="append")  # as after a failure before the source was emptied
+    layout.move_to_history(spark, "h_now", "h_then", "run_id", 1, 1, "b")
+    assert (spark.table("h_now").count(), spark.table("h_then").count()) == (5, 10)
+    layout.move_to_history(spark, "h_now", "h_then", "run_id", 5, 9, "c")
+    assert spark.table("h_then").count() == 10
+
+
+def test_history_of_a_table_with_a_path(spark):
+    rows = spark.range(8).withColumn("run_id", F.lit(3))
+    layout.write_table(rows, "h_out", layout.Layout(partition_by=("run_id",)), path=new_folder(spark, "h_out"))
+    layout.move_to_history(spark, "h_out", "h_out_then", "run_id", 3, 3, "a")
+    assert (spark.table("h_out").count(), spark.table("h_out_then").count()) == (0, 8)
+
+
+def test_append_keeps_the_layout(spark):
+    rows = spark.range(2000).withColumn("k", F.col("id") % 3)
+    for name, how in (("a_parts", layout.Layout(partition_by=("k",))), ("a_buckets", layout.Layout(bucket_by=("id",), buckets=4))):
+        layout.write_table(rows, name, how)
+        first = len(spark.table(name).inputFiles())
+        layout.write_table(rows.repartition(40), name, mode="append")
+        assert len(spark.table(name).inputFiles()) <= 2 * first and spark.table(name).count() == 4000
 
 
 def test_shared_folder_comes_from_the_session(spark):

@@ -37,16 +37,19 @@ def test_sliding_windows_count_twice(spark):
     assert sorted((r.window_start - T0).seconds // 60 for r in spark.read.parquet(target).collect()) == [0, 30]
 
 
-def test_a_repeated_batch_replaces_itself(spark):
+def test_a_restart_adds_nothing_and_another_stream_adds_its_rows(spark):
     source, target = new_folder(spark, "in"), new_folder(spark, "out")
     for m in (1, 2, 3):
         put(spark, source, [m])
     stream = loads.file_stream(spark, source, SCHEMA, files_per_batch=1)
-    loads.append_batches(stream, target, new_folder(spark, "cp"))
-    loads.append_batches(stream, target, new_folder(spark, "cp2"))  # a fresh checkpoint replays the batch ids
-    got = [(r.rows, r.running) for r in loads.running_counts(spark, target).orderBy("batch").collect()]
-    assert got == [(1, 1), (1, 2), (1, 3)]
-    assert spark.read.parquet(f"{target}/rows").count() == 3
+    first = new_folder(spark, "cp")
+    for _ in range(2):
+        loads.append_batches(stream, target, first)
+        got = [(r.rows, r.running) for r in loads.running_counts(spark, target).orderBy("batch").collect()]
+        assert got == [(1, 1), (1, 2), (1, 3)]
+    loads.append_batches(stream, target, new_folder(spark, "cp2"))  # another stream, whose batch ids start again
+    assert spark.read.parquet(f"{target}/rows").count() == 6
+    assert sorted(r.running for r in loads.running_counts(spark, target).collect()) == [1, 2, 3, 4, 5, 6]
 
 
 def test_a_stream_over_its_limit_stops(spark):
@@ -68,3 +71,11 @@ def test_sessions_close_after_a_gap(spark):
     windows.to_files(windows.activity_spans(loads.file_stream(spark, source, SCHEMA), "ts", "host", "1 hour"), target, new_folder(spark, "cp"))
     got = sorted(((r.started - T0).seconds // 60, (r.last_seen - T0).seconds // 60, r.snapshots) for r in spark.read.parquet(target).collect())
     assert got == [(0, 50, 3), (200, 210, 2)]
+
+
+def test_a_closed_input_leaves_no_window_open(spark):
+    source, target = new_folder(spark, "in"), new_folder(spark, "out")
+    put(spark, source, [0, 20, 500])
+    windows.close_input(spark.read.schema(SCHEMA).parquet(source), "ts", source)
+    windows.to_files(windows.telemetry_windows(loads.file_stream(spark, source, SCHEMA), "ts", "host", "value"), target, new_folder(spark, "cp"))
+    assert sorted((r.window_start - T0).seconds // 60 for r in spark.read.parquet(target).collect()) == [0, 20, 500]

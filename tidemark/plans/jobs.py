@@ -112,14 +112,16 @@ def layout_random(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def layout_history(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows moved to a history table, leaving the source empty."""
-    path = new_folder(spark, "events")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
-    layout.write_table(StoredTables(spark, sf)["events"], name)
-    layout.write_table(StoredTables(spark, sf)["events"].limit(0).withColumn("batch_id", F.lit("")), f"{name}_history", path=new_folder(spark, "history"))
-    layout.move_to_history(spark, name, f"{name}_history")
-    left = spark.table(name).agg(F.lit("left").alias("event_type"), F.count("*").alias("n"))
-    return spark.table(f"{name}_history").groupBy("event_type").agg(F.count("*").alias("n")).unionByName(left)
+    """Events of two of four runs moved to history, loaded and moved again."""
+    name = new_folder(spark, "events").rsplit("/", 1)[1].replace("-", "_")
+    how = layout.Layout(partition_by=("run_id",))
+    rows = StoredTables(spark, sf)["events"].withColumn("run_id", (F.col("event_id") % 4).cast("int"))
+    layout.write_table(rows, name, how)
+    layout.move_to_history(spark, name, f"{name}_history", "run_id", 1, 2, "first")
+    layout.write_table(rows.filter("run_id = 1"), name, how, mode="append")
+    layout.move_to_history(spark, name, f"{name}_history", "run_id", 1, 1, "second")
+    left = spark.table(name).groupBy("run_id").agg(F.lit("left").alias("batch_id"), F.count("*").alias("n"))
+    return spark.table(f"{name}_history").groupBy("run_id", "batch_id").agg(F.count("*").alias("n")).unionByName(left)
 
 
 def layout_view(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,7 +174,10 @@ def stream_load(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    rows = loads.file_stream(spark, sf, EVENTS, name_filter="events.parquet")
+    events, folder = StoredTables(spark, sf)["events"], new_folder(spark, "event-files")
+    events.write.parquet(folder)
+    windows.close_input(events, "ts", folder)
+    rows = loads.file_stream(spark, folder, EVENTS)
     return rows.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("host", F.concat(F.lit("w"), (F.col("user_id") % 8).cast("string")))
 
 

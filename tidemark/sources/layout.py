@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -36,20 +36,34 @@ class Layout:
     options: dict = field(default_factory=dict)
 
 
+def _arranged(df: DataFrame, layout: Layout) -> DataFrame:
+    if layout.random_files:
+        return df.repartition(layout.random_files)
+    if layout.bucket_by:
+        # One shuffle to the table's own distribution gives one file per bucket.
+        return df.repartition(layout.buckets, *layout.bucket_by)
+    if layout.partition_by:
+        # Rebalance gathers each folder's rows but splits a folder that is too big for one task.
+        return df.hint("rebalance", *layout.partition_by)
+    return df
+
+
+def _layout_of(spark: SparkSession, table: str, layout: Layout) -> Layout:
+    """`layout` with the partitioning and bucketing that the stored table has."""
+    columns = spark.catalog.listColumns(table)
+    parts = tuple(c.name for c in columns if c.isPartition)
+    bucketed = tuple(c.name for c in columns if c.isBucket)
+    described = {r.col_name: r.data_type for r in spark.sql(f"describe extended {table}").collect()}
+    buckets = int(described.get("Num Buckets", "0") or 0)
+    return replace(layout, partition_by=parts, bucket_by=bucketed if buckets > 0 else (), buckets=max(buckets, 0))
+
+
 def _writer(df: DataFrame, layout: Layout, mode: str):
     kind = FORMATS[layout.orientation.upper()]
     codec = CODECS[layout.codec.upper()]
     if kind == "orc":
         codec = ORC_CODECS.get(codec, codec)
-    if layout.random_files:
-        df = df.repartition(layout.random_files)
-    elif layout.bucket_by:
-        # One shuffle to the table's own distribution gives one file per bucket.
-        df = df.repartition(layout.buckets, *layout.bucket_by)
-    elif layout.partition_by:
-        # Rebalance gathers each folder's rows but splits a folder that is too big for one task.
-        df = df.hint("rebalance", *layout.partition_by)
-    w = df.write.mode(mode).format(kind).option("compression", codec).options(**layout.options)
+    w = _arranged(df, layout).write.mode(mode).format(kind).option("compression", codec).options(**layout.options)
     if kind == "parquet":
         w = w.option("parquet.block.size", layout.row_group).option("parquet.page.size", layout.page)
     if layout.partition_by:
@@ -64,7 +78,9 @@ def _writer(df: DataFrame, layout: Layout, mode: str):
 def write_table(df: DataFrame, table: str, layout: Layout = Layout(), mode: str = "overwrite", path: str | None = None) -> None:
     """Create-table-as-select (overwrite) or insert-select (append)."""
     if mode == "append" and df.sparkSession.catalog.tableExists(table):
-        df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
+        # Appended rows are laid out as the table's own are.
+        spark = df.sparkSession
+        _arranged(df.select(*spark.table(table).columns), _layout_of(spark, table, layout)).write.insertInto(table)
         return
     writer = _writer(df, layout, mode)
     (writer.option("path", path) if path else writer).saveAsTable(table)
@@ -110,18 +126,32 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFr
     return spark.createDataFrame(rows, schema)
 
 
-def move_to_history(spark: SparkSession, table: str, history: str) -> None:
-    """Append all rows to the history table, then empty the source.
+def move_to_history(spark: SparkSession, table: str, history: str, run: str, first: int, last: int, batch_id: str) -> None:
+    """Moves the rows of runs `first` to `last` into the history table.
 
-    The batch column makes a rerun after a failure safe: rows are appended under
-    the id of the source's snapshot, and a batch already present is not added again.
+    `table` is partitioned by the column `run`; rows of one run no longer change. The
+    history is partitioned by batch_id and run. The caller names the batch: a rerun under
+    the same name, after a failure at any point, replaces what the first try has written;
+    another name adds rows, also if they are equal to those of an earlier batch. Of the
+    source only the moved runs' partitions are emptied, so other runs may be loaded
+    meanwhile.
     """
-    current = spark.table(table)
-    batch = current.agg(F.sum(F.xxhash64(*current.columns) % 1000003).alias("b"), F.count("*").alias("n")).first()
-    if batch["n"] == 0:
+    rows = spark.table(table).filter(F.col(run).between(first, last))
+    runs = [r[0] for r in rows.select(run).distinct().collect()]  # partitions, not rows
+    if not runs:
         return
-    key = f"{batch['b']}-{batch['n']}"
-    done = spark.catalog.tableExists(history) and not spark.table(history).filter(F.col("batch_id") == key).isEmpty()
-    if not done:
-        write_table(current.withColumn("batch_id", F.lit(key)), history, mode="append" if spark.catalog.tableExists(history) else "overwrite")
-    spark.sql(f"truncate table {table}")
+    moved = rows.withColumn("batch_id", F.lit(batch_id))
+    if spark.catalog.tableExists(history):
+        own = [c for c in spark.table(history).columns if c not in ("batch_id", run)]
+        view = f"{table.replace('.', '_')}_moved"
+        moved.select(*own, run).hint("rebalance", run).createOrReplaceTempView(view)
+        spark.sql(f"insert overwrite table {history} partition (batch_id = '{batch_id}', {run}) select * from {view}")
+        spark.catalog.dropTempView(view)
+    else:
+        columns = [c for c in rows.columns if c != run] + ["batch_id", run]
+        write_table(moved.select(*columns), history, Layout(partition_by=("batch_id", run)))
+    none = f"{table.replace('.', '_')}_no_rows"
+    spark.createDataFrame([], spark.table(table).drop(run).schema).createOrReplaceTempView(none)
+    for value in runs:
+        spark.sql(f"insert overwrite table {table} partition ({run} = {value}) select * from {none}")
+    spark.catalog.dropTempView(none)

@@ -1,11 +1,14 @@
 """Continuous loads on Structured Streaming.
 
-A batch is written to a folder named after its id and replaces what an earlier,
-failed try of the same batch left there, so every row lands exactly once.
+A batch is written to a folder named after its stream and its id, and replaces what an
+earlier, failed try of the same batch left there, so every row lands exactly once. A
+stream is known by its checkpoint: a new checkpoint is another stream, whose batches stand
+beside those of the first.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -30,13 +33,18 @@ def run_to_end(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], ch
     query.awaitTermination()
 
 
+def _place(target: str, kind: str, checkpoint: str, batch_id: int) -> str:
+    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    return f"{target}/{kind}/stream={stream}/batch={batch_id}"
+
+
 def append_batches(stream: DataFrame, target: str, checkpoint: str) -> None:
     """Appends every batch and keeps its row count beside it."""
     def on_batch(rows: DataFrame, batch_id: int) -> None:
-        out = f"{target}/rows/batch={batch_id}"
+        out = _place(target, "rows", checkpoint, batch_id)
         rows.write.mode("overwrite").parquet(out)
         counted = rows.sparkSession.read.parquet(out).agg(F.count("*").alias("rows"))
-        counted.write.mode("overwrite").parquet(f"{target}/counts/batch={batch_id}")
+        counted.write.mode("overwrite").parquet(_place(target, "counts", checkpoint, batch_id))
 
     run_to_end(stream, on_batch, checkpoint)
 
@@ -46,7 +54,7 @@ def running_counts(spark: SparkSession, target: str) -> DataFrame:
     from pyspark.sql import Window as W
 
     counts = spark.read.parquet(f"{target}/counts")
-    return counts.withColumn("running", F.sum("rows").over(W.orderBy("batch").rowsBetween(W.unboundedPreceding, W.currentRow)))
+    return counts.withColumn("running", F.sum("rows").over(W.orderBy("stream", "batch").rowsBetween(W.unboundedPreceding, W.currentRow)))
 
 
 def load_batches(stream: DataFrame, target: str, checkpoint: str, limit_percent: float | None = None) -> None:
@@ -55,7 +63,7 @@ def load_batches(stream: DataFrame, target: str, checkpoint: str, limit_percent:
     def on_batch(rows: DataFrame, batch_id: int) -> None:
         if limit_percent is not None:
             enforce_limit(rows, limit_percent=limit_percent)
-        accepted(rows).write.mode("overwrite").parquet(f"{target}/rows/batch={batch_id}")
-        rejected(rows).write.mode("overwrite").parquet(f"{target}/rejects/batch={batch_id}")
+        accepted(rows).write.mode("overwrite").parquet(_place(target, "rows", checkpoint, batch_id))
+        rejected(rows).write.mode("overwrite").parquet(_place(target, "rejects", checkpoint, batch_id))
 
     run_to_end(stream, on_batch, checkpoint)

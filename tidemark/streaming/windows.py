@@ -1,7 +1,8 @@
 """Windowed telemetry and query spans as streams.
 
 Samples up to ten minutes late count; later ones are dropped. Results appear
-once the watermark has passed them, so state stays bounded.
+once the watermark has passed them, so state stays bounded. A run over a bounded input
+ends with `close_input`, whose marker lets the watermark pass everything before it.
 """
 
 from __future__ import annotations
@@ -29,6 +30,14 @@ def activity_spans(snapshots: DataFrame, ts: str, session: str, gap: str = "1 ho
     return out.select(session, F.col("w.start").alias("started"), "last_seen", F.col("w.end").alias("ended"), "snapshots")
 
 
+def close_input(rows: DataFrame, ts: str, folder: str, after: str = "1 year") -> None:
+    """Adds a file with an end marker to a bounded input: one row, null but for a time
+    well after all others. Read in a batch of its own, after the rest, it closes every
+    window of the input; its own stays open and is never written."""
+    end = rows.agg(F.max(ts).alias(ts)).select(*[(F.expr(f"{ts} + interval {after}") if c == ts else F.lit(None)).cast(rows.schema[c].dataType).alias(c) for c in rows.columns])
+    end.filter(F.col(ts).isNotNull()).coalesce(1).write.mode("append").parquet(folder)
+
+
 def to_files(stream: DataFrame, target: str, checkpoint: str) -> None:
     """Writes finished results to files, exactly once, and returns when the input is used up."""
     query = stream.writeStream.format("parquet").outputMode("append").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
