@@ -109,9 +109,9 @@ SQL = {
     "summary": summary("true"),
     "summary_without_outlier": summary("action_target <> 'query_05'"),
     "promote": """from test_result select 'S3' as storage_version, 'E3' as engine_version, s_id, adj_s_id, action_type, action_target, stream, status, duration
-        where tr_id in (104, 105) and status = 'SUCCESS'""",
+        where tr_id in (104, 105)""",
     "by_scenario": f"""from {res(103, 103)} r select action_type, action_target,
-        {', '.join(f"{hundred(f'coalesce(max(h) filter (s_id = {s}), 0)')} as p{i}" for i, s in enumerate((1, 2, 4, 5), 1))} group by 1, 2""",
+        {', '.join(f"{hundred(f'coalesce(max(h) filter (s_id = {s}), 0)')} as p{i}" for i, s in enumerate(range(24), 1))} group by 1, 2""",
     "tuning_by_name": tune(["SEG_NUM", "MEMORY"], "param_name", "true", (101, 106)),
     "tuning_by_value": tune(["SEG4", "SEG8"], "param_value", "param_name = 'SEG_NUM'", (101, 104)),
     "report_lines": f"""with {D103} from d select format('Test Suite Name|{{}}|Test Case Name|{{}}.{{}}|Test Detail|Actual run time is: {{}} ms, Baseline time is: {{}} ms, Comparison is: {{}} ({{}} ms)|Test Status|{{}}',

@@ -6,10 +6,10 @@ DBL = "cast(rss as double) as rss, cast(pmem as double) as pmem, cast(pcpu as do
 
 def extra(where: str = "true") -> dict[str, str]:
     return {
-        "seg": f"from worker_samples select hostname, timeslot, min(real_time) as begintime, con_id, seg_id, {SUMS} where {where} group by hostname, timeslot, con_id, seg_id",
-        "mst": f"from master_samples select hostname, timeslot, min(real_time) as begintime, con_id, {SUMS} where {where} group by hostname, timeslot, con_id",
-        "node": f"""(from seg select hostname, 'QE' as role, timeslot, begintime, {SUMS}, count(*) as segnum group by hostname, timeslot, begintime)
-          union (from mst select hostname, 'QD', timeslot, begintime, {SUMS}, count(*) group by hostname, timeslot, begintime)""",
+        "seg": f"from worker_samples select run_id, hostname, timeslot, min(real_time) as begintime, con_id, seg_id, {SUMS} where {where} group by run_id, hostname, timeslot, con_id, seg_id",
+        "mst": f"from master_samples select run_id, hostname, timeslot, min(real_time) as begintime, con_id, {SUMS} where {where} group by run_id, hostname, timeslot, con_id",
+        "node": f"""(from seg select run_id, hostname, 'QE' as role, timeslot, begintime, {SUMS}, count(*) as segnum group by run_id, hostname, timeslot, begintime)
+          union all (from mst select run_id, hostname, 'QD', timeslot, begintime, {SUMS}, count(*) group by run_id, hostname, timeslot, begintime)""",
         "que": """from run_spans select wl_name, if(action_type = 'Loading', concat(action_type, '_', action_target), action_target) as query_name, stream, con_id, start_time, end_time""",
         "win": """from run_spans select wl_name, case when contains(wl_name, '_CONCURRENT') then 'CONCURRENT' when action_type = 'Loading' then 'Loading' else action_target end as query_name,
           min(start_time) as start_time, max(end_time) as end_time {only} group by 1, 2""",
@@ -69,25 +69,26 @@ SQL = {
           cast(try_cast(w[4] as bigint) // 1024 as bigint) as rss, w[5] as pmem, w[2] as pcpu where len(w) >= 15 and prefix(w[13], 'con') and prefix(w[14], 'seg'))
         from q where rss is not null and status is not null""",
     "per_segment": f"from seg select * exclude (rss, pmem, pcpu), {DBL}",
-    "per_connection": f"from (from seg select hostname, timeslot, begintime, con_id, {SUMS} group by 1, 2, 3, 4) select * exclude (rss, pmem, pcpu), {DBL}",
-    "per_host": f"from (from seg select hostname, timeslot, begintime, {SUMS} group by 1, 2, 3) select * exclude (rss, pmem, pcpu), {DBL}",
-    "peaks": f"""from (from seg select hostname, timeslot, begintime, {SUMS} group by 1, 2, 3)
+    "per_connection": f"from (from seg select run_id, hostname, timeslot, begintime, con_id, {SUMS} group by 1, 2, 3, 4, 5) select * exclude (rss, pmem, pcpu), {DBL}",
+    "per_host": f"from (from seg select run_id, hostname, timeslot, begintime, {SUMS} group by 1, 2, 3, 4) select * exclude (rss, pmem, pcpu), {DBL}",
+    "peaks": f"""from (from seg select run_id, hostname, timeslot, begintime, {SUMS} group by 1, 2, 3, 4)
         select hostname, timeslot // 300 as tm, cast(max(rss) as double) as max_rss, cast(max(pcpu) as double) as max_pcpu group by 1, 2""",
     "query_usage": f"from {usage('seg', 'worker')} join {usage('mst', 'master')} using (con_id, action_target, start_time, end_time)",
     "result_windows": "from win",
-    "per_node": f"from node select hostname, role, timeslot, begintime, segnum, {DBL}",
+    "per_node": f"from node select run_id, hostname, role, timeslot, begintime, segnum, {DBL}",
     "segment_statistics": SEGSTAT,
     "master_statistics": """from (from que select distinct *) q left join mst m on m.con_id = q.con_id and m.begintime >= q.start_time and m.begintime < q.end_time
         select q.wl_name as wl_name, q.query_name as query_name, q.stream as stream, q.start_time as start_time, q.end_time as end_time,
           cast(max(m.pmem) as double) as pmem_max, cast(max(m.pcpu) as double) as pcpu_max, cast(max(m.rss) as double) as rss_max
         group by q.wl_name, q.query_name, q.stream, q.con_id, q.start_time, q.end_time""",
-    "spans_from_activity": """from activity select sess_id, query_no, user_name, min(snapshot) as query_start_time, max(snapshot) as query_end_time, count(*) as snapshots
-        group by 1, 2, 3 having max(snapshot) < (from activity select max(snapshot))""",
+    "spans_from_activity": """with m as (from (from activity select distinct snapshot) select snapshot, lead(snapshot) over (order by snapshot) as following),
+        s as (from activity select sess_id, query_no, user_name, min(snapshot) as query_start_time, max(snapshot) as last_seen, count(*) as snapshots group by 1, 2, 3)
+        from s join m on last_seen = snapshot select sess_id, query_no, user_name, query_start_time, following as query_end_time, snapshots where following is not null""",
     "cpu": f"from gauges select host, {XA('100 - cpu_idle')} as cpu_used group by 1",
     "memory": f"from gauges select host, {XA('100 * (mem_total - mem_cached - mem_free) / mem_total', 8)} as memory_used group by 1",
     "io": f"""from (from gauges select host, {', '.join(f"{XA(f'100 * {c} / {MIB} / {top}', 8)} as {c}_pct" for c, top in (('bytes_written', 250), ('bytes_read', 200), ('bytes_out', 100), ('bytes_in', 100)))} group by 1)
         select *, least(bytes_written_pct, bytes_read_pct, bytes_out_pct, bytes_in_pct) >= 50 as passed""",
-    "leak_angle": """with p as (from gauges select slot, cast(sum(cast((mem_total - mem_cached - mem_free) / 1024 as decimal(18,6))) as double) / count(*) as y group by 1),
+    "leak_angle": """with p as (from gauges select slot, cast(sum(cast((mem_total - mem_cached - mem_free) / 1024 / 1024 as decimal(18,6))) as double) / count(*) as y group by 1),
         f as (from p select count(*) as samples, cast(trunc(degrees(atan(regr_slope(y, slot)))) as int) as angle) from f select samples, angle, angle < 0 or angle > 15 as alarm""",
     "disk_alarms": "from gauges select host, disk_path, max(disk_used) as disk_used group by 1, 2 having max(disk_used) > 80",
     "keywords": """from log_lines, (select unnest(['error', 'fatal', 'warning', 'panic', 'exception']) as keyword) select host, keyword, count(*) as lines

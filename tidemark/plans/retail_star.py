@@ -183,19 +183,35 @@ def active_counts(lives: DataFrame, days: DataFrame) -> DataFrame:
     return per_day.select(F.col("day").alias("calendar_day"), running.alias("active"))
 
 
+#: Steps of the line of chances, in expected orders of one customer.
+CHANCE_STEP = 0.01
+
+
 def daily_customers(lives: DataFrame, factors: DataFrame, cfg: RetailConfig) -> DataFrame:
     """Who orders on which day, thinned to about the wanted number of orders.
 
-    A customer's days are exploded from the span, and the day's chance arrives
-    by a broadcast of the calendar: rows are dropped where they arise, without
-    a shuffle.
+    The chances of the days, one after another, form a line. A customer's stretch of it,
+    from the first to the last day, is as long as the orders expected of that customer; so
+    many points are drawn on it, and the day under a point has an order. Work follows the
+    orders, not the days that customers live through. A customer orders once a day at most.
     """
     whole = factors.agg(F.sum("factor")).scalar()
     chance = factors.join(active_counts(lives, factors), "calendar_day").select(
-        F.col("calendar_day").alias("day"), F.try_divide(F.lit(float(cfg.order_rows)) * F.col("factor") / whole, F.col("active")).alias("p"))
-    rows = lives.select("customer_id", "customer_segment", F.explode(F.sequence("start_date", "last_date")).alias("calendar_day"))
-    rows = rows.join(F.broadcast(chance), F.col("calendar_day") == F.col("day"))
-    return rows.filter(Draws(cfg.seed, "customer_id", "calendar_day").flag("order", F.col("p"))).select("calendar_day", "customer_id", "customer_segment")
+        F.col("calendar_day").alias("day"), F.coalesce(F.least(F.try_divide(F.lit(float(cfg.order_rows)) * F.col("factor") / whole, F.col("active")), F.lit(1.0)), F.lit(0.0)).alias("p"))
+    # One row per day of the calendar.
+    line = chance.withColumn("upto", F.sum("p").over(W.orderBy("day").rowsBetween(W.unboundedPreceding, W.currentRow))).withColumn("since", F.col("upto") - F.col("p"))
+    ends = [F.broadcast(line.select(F.col("day").alias("start_date"), F.col("since").alias("from_chance"))), F.broadcast(line.select(F.col("day").alias("last_date"), F.col("upto").alias("to_chance")))]
+    rows = lives.join(ends[0], "start_date").join(ends[1], "last_date").withColumn("wanted", F.col("to_chance") - F.col("from_chance"))
+    own = Draws(cfg.seed, "customer_id")
+    points = F.floor("wanted").cast("int") + own.flag("one_more", F.col("wanted") - F.floor("wanted")).cast("int")
+    rows = rows.withColumn("points", points).filter("points > 0").select(
+        "customer_id", "customer_segment", "from_chance", "wanted", F.explode(F.sequence(F.lit(1), F.col("points"))).alias("point"))
+    at = F.col("from_chance") + F.col("wanted") * Draws(cfg.seed, "customer_id", "point").whole("at", 0, 999_999_999) / 1_000_000_000
+    # Days by the steps of the line that they touch: a day and its neighbours share a step.
+    step = F.lit(CHANCE_STEP)
+    days = line.filter("p > 0").select("day", "since", "upto", F.explode(F.sequence(F.floor(F.col("since") / step), F.floor(F.col("upto") / step))).alias("step"))
+    found = rows.withColumn("at", at).withColumn("step", F.floor(F.col("at") / step)).join(F.broadcast(days), "step").filter("at >= since and at < upto")
+    return found.select(F.col("day").alias("calendar_day"), "customer_id", "customer_segment").distinct()
 
 
 def order_base(daily: DataFrame, cfg: RetailConfig) -> DataFrame:
@@ -360,7 +376,7 @@ def seeds_from(stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {
         "first_names": stored["nation"].select(F.concat(F.lit("First"), F.col("n_nationkey").cast("string")).alias("first_name"),
                                                F.when(F.col("n_nationkey") % 2 == 0, "M").otherwise("F").alias("gender")),
-        "surnames": customer.select(F.substring("c_name", 10, 9).alias("surname")).filter("cast(surname as int) % 10 = 0"),
+        "surnames": customer.select(F.substring("c_name", 10, 9).alias("surname")),
         "products": part.select(F.concat_ws(" ", "p_type", F.element_at(F.split("p_name", " "), -1)).alias("category_name"),
                                 F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("product_name"),
                                 F.concat(F.lit("$"), F.format_number("p_retailprice", 2)).alias("product_price")),

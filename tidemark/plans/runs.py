@@ -171,22 +171,25 @@ def version_vs_version(t: Tables, one: tuple[str, str], two: tuple[str, str]) ->
 
 
 def promote(t: Tables, runs: Sequence[int], storage: str, engine: str) -> DataFrame:
-    """Successful results of some runs as rows to append to the baseline."""
-    kept = t["test_result"].filter(F.col("tr_id").isin(*runs) & (F.col("status") == "SUCCESS"))
+    """All results of some runs, whatever their status, as rows to append to the baseline."""
+    kept = t["test_result"].filter(F.col("tr_id").isin(*runs))
     return kept.select(F.lit(storage).alias("storage_version"), F.lit(engine).alias("engine_version"), *[c for c in t["test_baseline"].columns if not c.endswith("_version")])
 
 
 # --- Pivots ------------------------------------------------------------------------
 
 
-def by_scenario(t: Tables, run: int, scenarios: Sequence[int]) -> DataFrame:
-    """Durations of a run with one column per scenario, zero where it has none."""
+def by_scenario(t: Tables, run: int, scenarios: Sequence[int] | None = None) -> DataFrame:
+    """Durations of a run with one column per scenario, zero where it has none: of all
+    scenarios of the dimension, unless some are named."""
+    if scenarios is None:
+        scenarios = [r.s_id for r in t["scenario"].select("s_id").distinct().orderBy("s_id").collect()]
     rows = results(t, run).groupBy("action_type", "action_target").pivot("s_id", list(scenarios)).agg(F.max("duration"))
     return rows.select("action_type", "action_target", *[F.coalesce(F.col(f"`{s}`"), F.lit(0).cast(MONEY)).alias(f"p{i}") for i, s in enumerate(scenarios, 1)])
 
 
 def tuning(t: Tables, names: Sequence[str], column: str, within: Column | None = None) -> DataFrame:
-    """Best duration per action under each parameter name or value.
+    """Longest duration per action under each parameter name or value.
 
     A parameter covers the runs from its first to its last. `names` come most
     frequent first: only actions seen under the first of them are shown.
@@ -223,7 +226,6 @@ def plain(df: DataFrame) -> DataFrame:
 
 RUN, FIRST, LAST = 103, 101, 103
 OLD, NEXT = ("S1", "E1"), ("S2", "E2")
-SCENARIOS = (1, 2, 4, 5)
 
 QUERIES = {
     "runs_single_stream": lambda t: plain(single_stream(t["test_result"], t, ["tr_id"], True)),
@@ -238,7 +240,7 @@ QUERIES = {
     "runs_summary": lambda t: plain(summary(runs_vs_version(t, FIRST, 106, *OLD))),
     "runs_summary_without_outlier": lambda t: plain(summary(runs_vs_version(t, FIRST, 106, *OLD), without="query_05")),
     "runs_promote": lambda t: plain(promote(t, (104, 105), "S3", "E3")),
-    "runs_by_scenario": lambda t: plain(by_scenario(t, RUN, SCENARIOS)),
+    "runs_by_scenario": lambda t: plain(by_scenario(t, RUN)),
     "runs_tuning_by_name": lambda t: plain(tuning(t, ("SEG_NUM", "MEMORY"), "param_name")),
     "runs_tuning_by_value": lambda t: plain(tuning(t, ("SEG4", "SEG8"), "param_value", F.col("param_name") == "SEG_NUM")),
     "runs_report_lines": lambda t: report_lines(run_vs_version(t, RUN, *OLD)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.functions.columns import exact_mean, ordered
 from tidemark.operators.interval_join import interval_join
@@ -28,7 +28,7 @@ def parse_process_lines(lines: DataFrame) -> DataFrame:
     rows = lines.select("*", words).filter((F.size("w") >= 15) & at(12).startswith("con") & at(13).startswith("seg"))
     idle, sliced = at(14) == "idle", F.coalesce(at(15).contains("slice"), F.lit(False))
     rows = rows.select(
-        *[c for c in lines.columns if c != "line"], at(0).cast("string").alias("pid"), F.substring(at(12), 4, 20).alias("con_id"), at(13).alias("seg_id"),
+        *[c for c in lines.columns if c != "line"], at(0).cast("string").alias("pid"), F.expr("substring(try_element_at(w, 13), 4)").alias("con_id"), at(13).alias("seg_id"),
         F.when(~idle, at(14)).alias("cmd"), F.when(~idle & sliced, at(15)).alias("slice"),
         F.when(idle, at(14)).when(sliced, at(17)).otherwise(at(16)).alias("status"),
         F.floor(at(3).try_cast("bigint") / 1024).alias("rss"), at(4).alias("pmem"), at(1).alias("pcpu"))
@@ -40,16 +40,17 @@ def _sums() -> list[Column]:
 
 
 def per_segment(samples: DataFrame) -> DataFrame:
-    """All processes of a connection's segment in one slot."""
-    return samples.groupBy("hostname", "timeslot", "con_id", "seg_id").agg(F.min("real_time").alias("begintime"), *_sums())
+    """All processes of a connection's segment in one slot of a run. Slots and
+    connections are numbered anew in every run."""
+    return samples.groupBy("run_id", "hostname", "timeslot", "con_id", "seg_id").agg(F.min("real_time").alias("begintime"), *_sums())
 
 
 def per_connection(segments: DataFrame) -> DataFrame:
-    return segments.groupBy("hostname", "timeslot", "begintime", "con_id").agg(*_sums())
+    return segments.groupBy("run_id", "hostname", "timeslot", "begintime", "con_id").agg(*_sums())
 
 
 def per_host(segments: DataFrame) -> DataFrame:
-    return segments.groupBy("hostname", "timeslot", "begintime").agg(*_sums())
+    return segments.groupBy("run_id", "hostname", "timeslot", "begintime").agg(*_sums())
 
 
 def peaks(hosts: DataFrame, slots: int = 300) -> DataFrame:
@@ -59,7 +60,7 @@ def peaks(hosts: DataFrame, slots: int = 300) -> DataFrame:
 
 
 def master_per_connection(samples: DataFrame) -> DataFrame:
-    return samples.groupBy("hostname", "timeslot", "con_id").agg(F.min("real_time").alias("begintime"), *_sums())
+    return samples.groupBy("run_id", "hostname", "timeslot", "con_id").agg(F.min("real_time").alias("begintime"), *_sums())
 
 
 def query_usage(spans: DataFrame, segments: DataFrame, masters: DataFrame) -> DataFrame:
@@ -87,9 +88,9 @@ def result_windows(spans: DataFrame) -> DataFrame:
 def per_node(segments: DataFrame, masters: DataFrame) -> DataFrame:
     """Host totals with the role and the number of samples summed."""
     def side(rows: DataFrame, role: str) -> DataFrame:
-        return rows.groupBy("hostname", "timeslot", "begintime").agg(*_sums(), F.count("*").alias("segnum")).withColumn("role", F.lit(role))
+        return rows.groupBy("run_id", "hostname", "timeslot", "begintime").agg(*_sums(), F.count("*").alias("segnum")).withColumn("role", F.lit(role))
 
-    return side(segments, "QE").unionByName(side(masters, "QD")).distinct()
+    return side(segments, "QE").unionByName(side(masters, "QD"))
 
 
 def _spread(g: str) -> list[Column]:
@@ -164,11 +165,13 @@ def monitor_report(t: Tables, first: int, last: int) -> dict[str, DataFrame]:
 
 
 def spans_from_activity(activity: DataFrame, keys: Sequence[str] = ("sess_id", "query_no", "user_name")) -> DataFrame:
-    """Spans of queries seen in activity snapshots. A query that is missing from
-    the newest snapshot has ended; its span runs to the last time it was seen."""
-    newest = activity.agg(F.max("snapshot")).scalar()
-    seen = activity.groupBy(*keys).agg(F.min("snapshot").alias("query_start_time"), F.max("snapshot").alias("query_end_time"), F.count("*").alias("snapshots"))
-    return seen.filter(F.col("query_end_time") < newest)
+    """Spans of queries seen in activity snapshots. A query has ended by the first
+    snapshot that lacks it after it was seen last; those in the newest still run."""
+    # One row per snapshot.
+    moments = activity.select("snapshot").distinct()
+    following = moments.select(F.col("snapshot").alias("last_seen"), F.lead("snapshot").over(W.orderBy("snapshot")).alias("query_end_time"))
+    seen = activity.groupBy(*keys).agg(F.min("snapshot").alias("query_start_time"), F.max("snapshot").alias("last_seen"), F.count("*").alias("snapshots"))
+    return seen.join(following, "last_seen").filter("query_end_time is not null").select(*keys, "query_start_time", "query_end_time", "snapshots")
 
 
 # --- Gauges ------------------------------------------------------------------------
@@ -203,7 +206,7 @@ def leak_angle(gauges: DataFrame, alarm: int = 15) -> DataFrame:
     against the sample's number, and alarmed above 15 degrees. Fewer than two
     samples give -90, a vertical line 90.
     """
-    used = "cast((mem_total - mem_cached - mem_free) / 1024 as decimal(18,6))"
+    used = "cast((mem_total - mem_cached - mem_free) / 1024 / 1024 as decimal(18,6))"
     per = gauges.groupBy("slot").agg(F.try_divide(F.sum(F.expr(used)).cast("double"), F.count("*")).alias("y"))
     low = per.agg(F.min("slot")).scalar()
     fit = per.select((F.col("slot") - low).cast("double").alias("x"), "y").agg(F.count("*").alias("samples"), F.var_pop("x").alias("spread"), F.regr_slope("y", "x").alias("slope"))
