@@ -1,4 +1,5 @@
 from oracle.prelude import XS, with_tables
+from tidemark.plans.retail_star import CIPHER_COUPON
 
 GOOD = "where l_orderkey % 500 <> 0"
 TOTALS = f"""from lineitem select l_returnflag, count(*) as n, {XS('l_extendedprice', 2)} as price, max(l_shipdate) as last_ship {GOOD} group by 1"""
@@ -30,6 +31,13 @@ SQL = {
     "layout_random": "from part select p_size, count(*) as n group by 1",
     "layout_history": """from (from events select cast(event_id % 4 as int) as run_id, unnest(case when event_id % 4 = 1 then ['first', 'second'] when event_id % 4 = 2 then ['first'] else ['left'] end) as batch_id)
         select run_id, batch_id, count(*) as n group by all""",
+    "layout_literal": f"""from orders join (values ('O', 'open'), ('F', 'filled'), ('P', 'partly filled')) s(o_orderstatus, status_name) using (o_orderstatus)
+        select status_name, count(*) as n, {XS('o_totalprice', 2)} as price group by 1""",
+    "check_priority": """from orders, (values ('same', false), ('changed', true)) c(copy, changed)
+        select copy, 2 * count(*) filter (changed and o_orderkey % 1000 = 7) as differing,
+          if(count(*) filter (changed and o_orderkey % 1000 = 7) > 0, 'FAIL', 'PASS') as status, 'answer' as how group by copy""",
+    "star_ciphers": f"""from customer select c_custkey, if(length(c_custkey::varchar) > 5, '#####', lpad(c_custkey::varchar, 5, '0')) as printed,
+        translate(c_custkey::varchar, '0123456789', '{CIPHER_COUPON}') as cipher, substring(c_name from 10 for 4) as cut""",
     "layout_view": f"""with r as (from lineitem select l_suppkey as s_suppkey, {XS('l_extendedprice * (1 - l_discount)')} as v
           where l_shipdate >= '1997-04-01' and l_shipdate < date '1997-04-01' + 90 group by 1)
         from r join supplier using (s_suppkey) select s_nationkey, count(*) as suppliers, max(v) as best group by 1""",

@@ -124,6 +124,13 @@ def layout_history(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(f"{name}_history").groupBy("run_id", "batch_id").agg(F.count("*").alias("n")).unionByName(left)
 
 
+def layout_literal(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by a dimension given as literal rows."""
+    names = layout.literal_table(spark, [("O", "open"), ("F", "filled"), ("P", "partly filled")], "o_orderstatus string, status_name string")
+    orders = StoredTables(spark, sf)["orders"].join(F.broadcast(names), "o_orderstatus")
+    return orders.groupBy("status_name").agg(F.count("*").alias("n"), exact_total("o_totalprice", 2).alias("price"))
+
+
 def layout_view(spark: SparkSession, sf: str) -> DataFrame:
     """A view over line items, joined to suppliers in SQL."""
     t = tpch_tables(spark, sf)
@@ -146,6 +153,18 @@ def check_digest(spark: SparkSession, sf: str) -> DataFrame:
     return validate.digest(StoredTables(spark, sf)["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"), ignore=("o_orderdate",))
 
 
+def check_priority(spark: SparkSession, sf: str) -> DataFrame:
+    """An answer comes before a digest: the verdict on orders, and on a changed copy of them."""
+    rows = StoredTables(spark, sf)["orders"].select("o_orderkey", "o_custkey", "o_totalprice")
+    other = rows.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 1000 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    out = None
+    for name, answer in (("same", rows), ("changed", other)):
+        found = validate.check(rows, answer, expected_digest=(0, 0))
+        line = found.diff.agg(F.lit(name).alias("copy"), F.lit(found.status).alias("status"), F.lit(found.how).alias("how"), F.count("*").alias("differing"))
+        out = line if out is None else out.unionByName(line)
+    return out
+
+
 def check_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     t = StoredTables(spark, sf)
     return validate.row_counts({n: t[n] for n in ("lineitem", "orders", "part")}, {"lineitem": 1000, "orders": 1000, "part": 100})
@@ -282,6 +301,13 @@ def star_addresses(spark: SparkSession, sf: str) -> DataFrame:
                    F.count(F.when(F.col("versions").between(1, 15), 1)).alias("in_range"))
 
 
+def star_ciphers(spark: SparkSession, sf: str) -> DataFrame:
+    """Printed numbers, ciphers and cut names of customers."""
+    people = StoredTables(spark, sf)["customer"]
+    return people.select("c_custkey", retail_star.digits(F.col("c_custkey"), 5).alias("printed"), retail_star.cipher(F.col("c_custkey"), retail_star.CIPHER_COUPON).alias("cipher"),
+                         F.expr("substring(c_name from 10 for 4)").alias("cut"))
+
+
 def star_emails(spark: SparkSession, sf: str) -> DataFrame:
     people, seeds, cfg = _people(spark, sf)
     mails = retail_star.emails(people, seeds["websites"], cfg.seed)
