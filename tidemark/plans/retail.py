@@ -192,13 +192,12 @@ def first_last(lines, whole_frame: bool = False):
         high = F.max(F.struct("order_datetime", "order_id"))
         ends = lines.groupBy(*keys, "product_category_name").agg(low.alias("a"), high.alias("b"))
     else:
-        # Per instant first, then the earliest instant: peers of a hot customer never gather.
-        peers = lines.groupBy(*keys, "product_category_name", "order_datetime").agg(F.min("order_id").alias("lo"), F.max("order_id").alias("hi"))
-        ends = peers.groupBy(*keys, "product_category_name").agg(
-            F.min(F.struct("order_datetime", "lo", "hi")).alias("m")
-        ).select(*keys, "product_category_name",
-                 F.struct(F.col("m.order_datetime"), F.col("m.lo").alias("order_id")).alias("a"),
-                 F.struct(F.col("m.order_datetime"), F.col("m.hi").alias("order_id")).alias("b"))
+        # The earliest instant is a number and found by hashing; only its few peers are compared by order.
+        first = lines.groupBy(*[F.col(k).alias(f"_{k}") for k in (*keys, "product_category_name")]).agg(F.min("order_datetime").alias("_at"))
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in (*keys, "product_category_name")]
+        peers = lines.join(first, [*same, F.col("order_datetime").eqNullSafe(F.col("_at"))])
+        ends = peers.groupBy(*keys, "product_category_name", "order_datetime").agg(F.min("order_id").alias("lo"), F.max("order_id").alias("hi")).select(
+            *keys, "product_category_name", F.struct("order_datetime", F.col("lo").alias("order_id")).alias("a"), F.struct("order_datetime", F.col("hi").alias("order_id")).alias("b"))
     return ends.select(
         "customer_id", "product_category_name",
         F.col("a.order_datetime").alias("first_order_datetime"), F.col("a.order_id").alias("first_order_id"),
@@ -227,8 +226,11 @@ def grains(lines):
 
     Grouping sets are (category), (category, year) and (category, month).
     """
-    dated = lines.select("product_category_name", "item_quantity", "item_price",
-                         F.date_format("order_datetime", "yyyy").alias("y"), F.date_format("order_datetime", "yyyy-MMM").alias("m"))
+    # Months first: the grouping sets repeat a row per category and month, not the lines.
+    monthly = lines.groupBy("product_category_name", F.year("order_datetime").alias("year"), F.month("order_datetime").alias("month")).agg(
+        F.sum("item_quantity").alias("item_quantity"), F.sum("item_price").alias("item_price"))
+    day = F.make_date("year", "month", F.lit(1))
+    dated = monthly.select("product_category_name", "item_quantity", "item_price", F.date_format(day, "yyyy").alias("y"), F.date_format(day, "yyyy-MMM").alias("m"))
     category, year, month = F.col("product_category_name"), F.col("y"), F.col("m")
     out = dated.groupingSets([[category], [category, year], [category, month]], category, year, month).agg(
         F.grouping("y").alias("gy"), F.grouping("m").alias("gm"),
