@@ -10,16 +10,14 @@ def extra(where: str = "true") -> dict[str, str]:
         "mst": f"from master_samples select run_id, hostname, timeslot, min(real_time) as begintime, con_id, {SUMS} where {where} group by run_id, hostname, timeslot, con_id",
         "node": f"""(from seg select run_id, hostname, 'QE' as role, timeslot, begintime, {SUMS}, count(*) as segnum group by run_id, hostname, timeslot, begintime)
           union all (from mst select run_id, hostname, 'QD', timeslot, begintime, {SUMS}, count(*) group by run_id, hostname, timeslot, begintime)""",
-        "que": """from run_spans select wl_name, if(action_type = 'Loading', concat(action_type, '_', action_target), action_target) as query_name, stream, con_id, start_time, end_time""",
-        "win": """from run_spans select wl_name, case when contains(wl_name, '_CONCURRENT') then 'CONCURRENT' when action_type = 'Loading' then 'Loading' else action_target end as query_name,
-          min(start_time) as start_time, max(end_time) as end_time {only} group by 1, 2""",
+        "que": f"""from run_spans select distinct run_id, wl_name, if(action_type = 'Loading', concat(action_type, '_', action_target), action_target) as query_name, stream, con_id, start_time, end_time where status <> 'SKIP' and {where}""",
+        "win": f"""from run_spans select run_id, wl_name, case when contains(wl_name, '_CONCURRENT') then 'CONCURRENT' when action_type = 'Loading' then 'Loading' else action_target end as query_name,
+          min(start_time) as start_time, max(end_time) as end_time where status <> 'SKIP' and {where} group by 1, 2, 3""",
     }
 
 
-def run(sql: str, where: str = "true", only: str = "") -> str:
-    e = extra(where)
-    e["win"] = e["win"].replace("{only}", only)
-    return with_tables(sql, e)
+def run(sql: str, where: str = "true") -> str:
+    return with_tables(sql, extra(where))
 
 
 def half_up(total: str, n: str) -> str:
@@ -33,11 +31,11 @@ def spread(g: str) -> str:
       case when min({g}) = 0 then 0.0::double else {half_up(f'max({h}) * 100', f'nullif(min({h}), 0)')} end as {g}_ratio"""
 
 
-SEGSTAT = f"""with tops as (from que q join seg s on s.con_id = q.con_id and s.begintime >= q.start_time and s.begintime < q.end_time
+SEGSTAT = f"""with tops as (from que q join seg s on s.run_id = q.run_id and s.con_id = q.con_id and s.begintime >= q.start_time and s.begintime < q.end_time
       select q.*, s.hostname || '-' || s.seg_id as g, max(s.rss) as rss, max(s.pmem) as pmem, max(s.pcpu) as pcpu group by all)
-    from (from que select distinct *) q left join tops p using (wl_name, query_name, stream, con_id, start_time, end_time)
-    select wl_name, query_name, stream, start_time, end_time, count(g) as segnum, {', '.join(spread(g) for g in ('pmem', 'pcpu', 'rss'))}
-    group by wl_name, query_name, stream, con_id, start_time, end_time"""
+    from (from que select distinct *) q left join tops p using (run_id, wl_name, query_name, stream, con_id, start_time, end_time)
+    select run_id, wl_name, query_name, stream, start_time, end_time, count(g) as segnum, {', '.join(spread(g) for g in ('pmem', 'pcpu', 'rss'))}
+    group by run_id, wl_name, query_name, stream, con_id, start_time, end_time"""
 MIB = 1024 * 1024
 HOSTS = ["mst1"] + [f"w{i}" for i in range(1, 9)]
 
@@ -47,19 +45,23 @@ def pivot(kind: str, c: str) -> str:
     hosts = ", ".join(f"cast(coalesce(max({v}) filter (n.hostname = '{h}'), 0) as double) as {h}" for h in HOSTS)
     work = "n.hostname <> 'mst1'"
     hund = f"cast(sum(if({work}, cast({v} * 100 as bigint), 0)) as bigint)"
-    return f"""(from win w join node n on n.begintime between w.start_time and w.end_time
-      select w.wl_name as wl_name, w.query_name as query_name, n.timeslot as timeslot, '{kind}' as kind, {hosts}, min(n.begintime) as begintime,
+    return f"""(from win w join node n on n.run_id = w.run_id and n.begintime between w.start_time and w.end_time
+      select w.run_id as run_id, w.wl_name as wl_name, w.query_name as query_name, n.timeslot as timeslot, '{kind}' as kind, {hosts}, min(n.begintime) as begintime,
         cast(greatest(coalesce(max({v}) filter ({work}), 0), 0) as double) as max_workers, {half_up(hund, '8')} as avg_workers,
         cast(min(if({work}, {v}, 9999999)) as double) as min_workers,
-        cast(if(n.timeslot = min(n.timeslot) over (partition by w.wl_name, w.query_name), 32000, 0) as int) as timebound group by 1, 2, 3)"""
+        cast(if(n.timeslot = min(n.timeslot) over (partition by w.run_id, w.wl_name, w.query_name), 32000, 0) as int) as timebound group by 1, 2, 3, 4)"""
 
 
 def usage(src: str, p: str) -> str:
-    return f"""(from run_spans r join {src} s on s.con_id = r.con_id and s.begintime between r.start_time and r.end_time
-      select r.con_id as con_id, r.action_target as action_target, r.start_time as start_time, r.end_time as end_time, count(*) as {p}_samples,
-        {', '.join(f'cast(max(s.{g}) as double) as {p}_{g}' for g in ('rss', 'pmem', 'pcpu'))} group by 1, 2, 3, 4)"""
+    return f"""(from run_spans r join {src} s on s.run_id = r.run_id and s.con_id = r.con_id and r.status <> 'SKIP' and s.begintime between r.start_time and r.end_time
+      select r.run_id as run_id, r.con_id as con_id, r.action_target as action_target, r.start_time as start_time, r.end_time as end_time, count(*) as {p}_samples,
+        {', '.join(f'cast(max(s.{g}) as double) as {p}_{g}' for g in ('rss', 'pmem', 'pcpu'))} group by 1, 2, 3, 4, 5)"""
 
 
+MASTER = """from (from que select distinct *) q left join mst m on m.run_id = q.run_id and m.con_id = q.con_id and m.begintime >= q.start_time and m.begintime < q.end_time
+        select q.run_id as run_id, q.wl_name as wl_name, q.query_name as query_name, q.stream as stream, q.start_time as start_time, q.end_time as end_time,
+          cast(max(m.pmem) as double) as pmem_max, cast(max(m.pcpu) as double) as pcpu_max, cast(max(m.rss) as double) as rss_max
+        group by q.run_id, q.wl_name, q.query_name, q.stream, q.con_id, q.start_time, q.end_time"""
 WORDS = "string_split(regexp_replace(trim(line), '\\s+', ' ', 'g'), ' ')"
 SQL = {
     "process_lines": f"""with p as (from process_lines select *, {WORDS} as w),
@@ -73,14 +75,11 @@ SQL = {
     "per_host": f"from (from seg select run_id, hostname, timeslot, begintime, {SUMS} group by 1, 2, 3, 4) select * exclude (rss, pmem, pcpu), {DBL}",
     "peaks": f"""from (from seg select run_id, hostname, timeslot, begintime, {SUMS} group by 1, 2, 3, 4)
         select hostname, timeslot // 300 as tm, cast(max(rss) as double) as max_rss, cast(max(pcpu) as double) as max_pcpu group by 1, 2""",
-    "query_usage": f"from {usage('seg', 'worker')} join {usage('mst', 'master')} using (con_id, action_target, start_time, end_time)",
+    "query_usage": f"from {usage('seg', 'worker')} join {usage('mst', 'master')} using (run_id, con_id, action_target, start_time, end_time)",
     "result_windows": "from win",
     "per_node": f"from node select run_id, hostname, role, timeslot, begintime, segnum, {DBL}",
     "segment_statistics": SEGSTAT,
-    "master_statistics": """from (from que select distinct *) q left join mst m on m.con_id = q.con_id and m.begintime >= q.start_time and m.begintime < q.end_time
-        select q.wl_name as wl_name, q.query_name as query_name, q.stream as stream, q.start_time as start_time, q.end_time as end_time,
-          cast(max(m.pmem) as double) as pmem_max, cast(max(m.pcpu) as double) as pcpu_max, cast(max(m.rss) as double) as rss_max
-        group by q.wl_name, q.query_name, q.stream, q.con_id, q.start_time, q.end_time""",
+    "master_statistics": MASTER,
     "spans_from_activity": """with m as (from (from activity select distinct snapshot) select snapshot, lead(snapshot) over (order by snapshot) as following),
         s as (from activity select sess_id, query_no, user_name, min(snapshot) as query_start_time, max(snapshot) as last_seen, count(*) as snapshots group by 1, 2, 3)
         from s join m on last_seen = snapshot select sess_id, query_no, user_name, query_start_time, following as query_end_time, snapshots where following is not null""",
@@ -97,5 +96,11 @@ SQL = {
         and regexp_matches(message, 'FATAL|ERROR|EXCEPTION|FAIL|WARN|PANIC')""",
 }
 SQL = {f"telemetry_{k}": run(v) for k, v in SQL.items()}
-SQL["telemetry_host_pivot"] = run(" union all ".join(pivot(k, c) for k, c in (("memory", "rss"), ("cpu", "pcpu"), ("segnum", "segnum"))), only="where con_id % 10 = 0")
-SQL["telemetry_monitor_report"] = run(SEGSTAT, "run_id between 1 and 2")
+PIVOT = " union all ".join(pivot(k, c) for k, c in (("memory", "rss"), ("cpu", "pcpu"), ("segnum", "segnum")))
+SQL["telemetry_host_pivot"] = run(PIVOT)
+RANGE = "run_id between 1 and 2"
+SQL["telemetry_monitor_report"] = run(SEGSTAT, RANGE)
+SQL["telemetry_monitor_windows"] = run("from win", RANGE)
+SQL["telemetry_monitor_nodes"] = run(f"from node select run_id, hostname, role, timeslot, begintime, segnum, {DBL}", RANGE)
+SQL["telemetry_monitor_hosts"] = run(PIVOT, RANGE)
+SQL["telemetry_monitor_master"] = run(MASTER, RANGE)

@@ -69,7 +69,7 @@ def test_process_lines(spark):
 
 @pytest.mark.parametrize("growth, angle, alarm", [(0.0, 0, False), (0.2, 11, False), (1.0, 45, True), (-1.0, -45, True)])
 def test_leak_angle(spark, growth, angle, alarm):
-    rows = [(h, s, 1e6, 0.0, 1e6 - 1024 * (100 + growth * s)) for h in ("a", "b") for s in range(50)]
+    rows = [(h, s, 1e9, 0.0, 1e9 - 1024 * 1024 * (100 + growth * s)) for h in ("a", "b") for s in range(50)]
     r = telemetry.leak_angle(spark.createDataFrame(rows, "host string, slot bigint, mem_total double, mem_cached double, mem_free double")).first()
     assert abs(r.angle - angle) <= 1 and r.alarm == alarm
 
@@ -80,15 +80,18 @@ def test_leak_angle_needs_two_samples(spark):
 
 
 def test_queries_without_samples_stay(spark):
-    spans = spark.createDataFrame([("W", "Execution", "q", 0, 1, T0, T0 + dt.timedelta(minutes=5)), ("W", "Loading", "t", 0, 2, T0, T0 + dt.timedelta(minutes=5))],
-                                  "wl_name string, action_type string, action_target string, stream int, con_id bigint, start_time timestamp_ntz, end_time timestamp_ntz")
-    samples = [("h", i, T0 + dt.timedelta(minutes=i), 1, f"seg{i % 2}", i * 1.0, 2.0, 0.0) for i in range(6)]
-    seg = telemetry.per_segment(spark.createDataFrame(samples, "hostname string, timeslot bigint, real_time timestamp_ntz, con_id bigint, seg_id string, rss double, pmem double, pcpu double").withColumns(
+    end = T0 + dt.timedelta(minutes=5)
+    spans = spark.createDataFrame([(1, "SUCCESS", "W", "Execution", "q", 0, 1, T0, end), (1, "ERROR", "W", "Loading", "t", 0, 2, T0, end), (1, "SKIP", "W", "Execution", "s", 0, 1, T0, end),
+                                   (2, "SUCCESS", "W", "Execution", "other run", 0, 1, T0, end)],
+                                  "run_id int, status string, wl_name string, action_type string, action_target string, stream int, con_id bigint, start_time timestamp_ntz, end_time timestamp_ntz")
+    samples = [(1, "h", i, T0 + dt.timedelta(minutes=i), 1, f"seg{i % 2}", i * 1.0, 2.0, 0.0) for i in range(6)]
+    seg = telemetry.per_segment(spark.createDataFrame(samples, "run_id int, hostname string, timeslot bigint, real_time timestamp_ntz, con_id bigint, seg_id string, rss double, pmem double, pcpu double").withColumns(
         {c: F.col(c).cast("decimal(8,2)") for c in ("rss", "pmem", "pcpu")}))
     got = {r.query_name: r for r in telemetry.segment_statistics(spans, seg).collect()}
     q = got["q"]  # the sample at the span's end is outside
     assert (q.segnum, float(q.rss_max), float(q.rss_min), float(q.rss_ratio), float(q.pcpu_ratio)) == (2, 4.0, 3.0, 1.33, 0.0)
     assert got["Loading_t"].segnum == 0 and got["Loading_t"].rss_max is None
+    assert got["other run"].segnum == 0 and "s" not in got
 
 
 def test_first_and_last_orders_of_a_hot_customer(spark):

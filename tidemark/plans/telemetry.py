@@ -15,6 +15,10 @@ Tables = Mapping[str, DataFrame]
 STAT = "decimal(8,2)"
 GAUGES = ("rss", "pmem", "pcpu")
 SPAN_BIN = 3600  # seconds; about the length of a long query
+#: A connection is known within its run.
+SESSION = ["run_id", "con_id"]
+RAN = "status <> 'SKIP'"
+WORKERS = tuple(f"w{i}" for i in range(1, 9))
 
 
 def parse_process_lines(lines: DataFrame) -> DataFrame:
@@ -69,20 +73,21 @@ def query_usage(spans: DataFrame, segments: DataFrame, masters: DataFrame) -> Da
     Both sides are summed per query before they meet, so that a query's samples
     are not paired with each other.
     """
-    keys = ["con_id", "action_target", "start_time", "end_time"]
+    keys = ["run_id", "con_id", "action_target", "start_time", "end_time"]
+    spans = spans.filter(RAN)
 
     def side(samples: DataFrame, p: str) -> DataFrame:
-        hits = interval_join(samples, spans.select(*keys), ["con_id"], "begintime", "start_time", "end_time", SPAN_BIN, closed=True)
+        hits = interval_join(samples, spans.select(*keys), SESSION, "begintime", "start_time", "end_time", SPAN_BIN, closed=True)
         return hits.groupBy(*keys).agg(F.count("*").alias(f"{p}_samples"), *[F.max(g).alias(f"{p}_{g}") for g in GAUGES])
 
     return side(segments, "worker").join(side(masters, "master"), keys)
 
 
 def result_windows(spans: DataFrame) -> DataFrame:
-    """Time span per workload and query; loading is one query, and so are all
-    queries of a concurrent workload."""
+    """Time span per run, workload and query; loading is one query, and so are all
+    queries of a concurrent workload. Skipped actions have no span."""
     name = F.expr("case when wl_name like '%_CONCURRENT%' then 'CONCURRENT' when action_type = 'Loading' then action_type else action_target end")
-    return spans.groupBy("wl_name", name.alias("query_name")).agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"))
+    return spans.filter(RAN).groupBy("run_id", "wl_name", name.alias("query_name")).agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"))
 
 
 def per_node(segments: DataFrame, masters: DataFrame) -> DataFrame:
@@ -99,12 +104,12 @@ def _spread(g: str) -> list[Column]:
             F.when(low == 0, F.lit(0).cast(STAT)).otherwise((high / low).cast(STAT)).alias(f"{g}_ratio")]
 
 
-QUERY = ["wl_name", "query_name", "stream", "con_id", "start_time", "end_time"]
+QUERY = ["run_id", "wl_name", "query_name", "stream", "con_id", "start_time", "end_time"]
 
 
 def _queries(spans: DataFrame) -> DataFrame:
     name = F.expr("case when action_type = 'Loading' then action_type || '_' || action_target else action_target end")
-    return spans.withColumn("query_name", name).select(*QUERY)
+    return spans.filter(RAN).withColumn("query_name", name).select(*QUERY).distinct()
 
 
 def segment_statistics(spans: DataFrame, segments: DataFrame) -> DataFrame:
@@ -113,54 +118,54 @@ def segment_statistics(spans: DataFrame, segments: DataFrame) -> DataFrame:
     A query's span excludes its end. Queries without samples have zero segments.
     """
     queries = _queries(spans)
-    hits = interval_join(segments, queries, ["con_id"], "begintime", "start_time", "end_time", SPAN_BIN)
+    hits = interval_join(segments, queries, SESSION, "begintime", "start_time", "end_time", SPAN_BIN)
     tops = hits.groupBy(*QUERY, F.concat_ws("-", "hostname", "seg_id").alias("seg")).agg(*[F.max(g).alias(g) for g in GAUGES])
     stats = tops.groupBy(*QUERY).agg(F.count("*").alias("segnum"), *[c for g in ("pmem", "pcpu", "rss") for c in _spread(g)])
-    out = queries.distinct().join(stats, QUERY, "left")
+    out = queries.join(stats, QUERY, "left")
     return out.withColumn("segnum", F.coalesce("segnum", F.lit(0).cast("bigint"))).drop("con_id")
 
 
 def master_statistics(spans: DataFrame, masters: DataFrame) -> DataFrame:
     """The coordinator's peak for each query."""
     queries = _queries(spans)
-    hits = interval_join(masters, queries, ["con_id"], "begintime", "start_time", "end_time", SPAN_BIN)
+    hits = interval_join(masters, queries, SESSION, "begintime", "start_time", "end_time", SPAN_BIN)
     tops = hits.groupBy(*QUERY).agg(*[F.max(g).cast(STAT).alias(f"{g}_max") for g in ("pmem", "pcpu", "rss")])
-    return queries.distinct().join(tops, QUERY, "left").drop("con_id")
+    return queries.join(tops, QUERY, "left").drop("con_id")
 
 
 def host_pivot(windows: DataFrame, nodes: DataFrame, master: str, workers: Sequence[str], marker: int = 32000) -> DataFrame:
     """Memory, CPU and segments per slot with one column per host.
 
-    The three measures come out of one grouping; max, avg and min are over the
-    workers, and the first slot of a query carries a marker.
+    Samples meet the windows of their own run in bins of SPAN_BIN seconds. The three
+    measures stand side by side in one grouping and are stacked after it; max, avg and min
+    are over the workers, and the first slot of a query carries a marker.
     """
-    day = 86400  # workload spans run for days
-    hits = interval_join(nodes, windows, [], "begintime", "start_time", "end_time", day, closed=True)
-    keys = ["wl_name", "query_name", "timeslot"]
+    hits = interval_join(nodes, windows, ["run_id"], "begintime", "start_time", "end_time", SPAN_BIN, closed=True)
+    keys = ["run_id", "wl_name", "query_name", "timeslot"]
     kinds = {"memory": "rss", "cpu": "pcpu", "segnum": "segnum"}
-    long = hits.select(*keys, "hostname", "begintime", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("kind"), F.col(c).cast("decimal(18,2)").alias("v")) for k, c in kinds.items()])).alias("m")).select(
-        *keys, "hostname", "begintime", "m.kind", "m.v")
+    value = lambda c: F.col(c).cast("decimal(18,2)")
     worker = F.col("hostname") != master
-    rows = long.groupBy(*keys, "kind").agg(
-        *[F.max(F.when(F.col("hostname") == h, F.col("v")).otherwise(F.lit(0))).alias(h) for h in (master, *workers)],
-        F.min("begintime").alias("begintime"),
-        F.max(F.when(worker, F.col("v")).otherwise(F.lit(0))).alias("max_workers"),
-        (F.sum(F.when(worker, F.col("v")).otherwise(F.lit(0))) / len(workers)).cast("decimal(18,2)").alias("avg_workers"),
-        F.min(F.when(worker, F.col("v")).otherwise(F.lit(9999999))).alias("min_workers"))
-    first = hits.groupBy("wl_name", "query_name").agg(F.min("timeslot").alias("_first"))
-    rows = rows.join(first, ["wl_name", "query_name"])
-    return rows.withColumn("timebound", F.when(F.col("timeslot") == F.col("_first"), marker).otherwise(0)).drop("_first")
+
+    def measures(kind: str, c: str) -> Column:
+        hosts = [F.max(F.when(F.col("hostname") == h, value(c)).otherwise(F.lit(0))).alias(h) for h in (master, *workers)]
+        mean = (F.sum(F.when(worker, value(c)).otherwise(F.lit(0))) / len(workers)).cast("decimal(18,2)")
+        return F.struct(F.lit(kind).alias("kind"), *hosts, F.max(F.when(worker, value(c)).otherwise(F.lit(0))).alias("max_workers"), mean.alias("avg_workers"),
+                        F.min(F.when(worker, value(c)).otherwise(F.lit(9999999))).alias("min_workers"))
+
+    rows = hits.groupBy(*keys).agg(F.min("begintime").alias("begintime"), F.array(*[measures(k, c) for k, c in kinds.items()]).alias("m"))
+    first = rows.groupBy(*keys[:-1]).agg(F.min("timeslot").alias("_first"))
+    marked = rows.join(first, keys[:-1]).withColumn("timebound", F.when(F.col("timeslot") == F.col("_first"), marker).otherwise(0)).drop("_first")
+    return marked.select(*keys, "begintime", "timebound", F.explode("m").alias("m")).select(*keys, "begintime", "timebound", "m.*")
 
 
 def monitor_report(t: Tables, first: int, last: int) -> dict[str, DataFrame]:
     """All reports of a range of runs."""
-    workers = t["worker_samples"].filter(F.col("run_id").between(first, last))
-    masters = t["master_samples"].filter(F.col("run_id").between(first, last))
-    segments, coordinator = per_segment(workers), master_per_connection(masters)
+    part = {n: t[n].filter(F.col("run_id").between(first, last)) for n in ("worker_samples", "master_samples", "run_spans")}
+    segments, coordinator = per_segment(part["worker_samples"]), master_per_connection(part["master_samples"])
+    windows, nodes = result_windows(part["run_spans"]), per_node(segments, coordinator)
     return {
-        "windows": result_windows(t["run_spans"]), "nodes": per_node(segments, coordinator),
-        "segments": segment_statistics(t["run_spans"], segments), "master": master_statistics(t["run_spans"], coordinator),
+        "windows": windows, "nodes": nodes, "hosts": host_pivot(windows, nodes, "mst1", WORKERS),
+        "segments": segment_statistics(part["run_spans"], segments), "master": master_statistics(part["run_spans"], coordinator),
     }
 
 
@@ -256,8 +261,6 @@ def _last_log(t: Tables) -> Column:
     return t["log_lines"].agg(F.max("logged")).scalar()
 
 
-WORKERS = tuple(f"w{i}" for i in range(1, 9))
-
 QUERIES = {
     "telemetry_process_lines": lambda t: parse_process_lines(t["process_lines"]),
     "telemetry_per_segment": lambda t: plain(_segments(t)),
@@ -269,8 +272,12 @@ QUERIES = {
     "telemetry_per_node": lambda t: plain(per_node(_segments(t), _masters(t))),
     "telemetry_segment_statistics": lambda t: plain(segment_statistics(t["run_spans"], _segments(t))),
     "telemetry_master_statistics": lambda t: plain(master_statistics(t["run_spans"], _masters(t))),
-    "telemetry_host_pivot": lambda t: plain(host_pivot(result_windows(t["run_spans"].filter("con_id % 10 = 0")), per_node(_segments(t), _masters(t)), "mst1", WORKERS)),
+    "telemetry_host_pivot": lambda t: plain(host_pivot(result_windows(t["run_spans"]), per_node(_segments(t), _masters(t)), "mst1", WORKERS)),
     "telemetry_monitor_report": lambda t: plain(monitor_report(t, 1, 2)["segments"]),
+    "telemetry_monitor_windows": lambda t: monitor_report(t, 1, 2)["windows"],
+    "telemetry_monitor_nodes": lambda t: plain(monitor_report(t, 1, 2)["nodes"]),
+    "telemetry_monitor_hosts": lambda t: plain(monitor_report(t, 1, 2)["hosts"]),
+    "telemetry_monitor_master": lambda t: plain(monitor_report(t, 1, 2)["master"]),
     "telemetry_spans_from_activity": lambda t: spans_from_activity(t["activity"]),
     "telemetry_cpu": lambda t: cpu_usage(t["gauges"]),
     "telemetry_memory": lambda t: memory_usage(t["gauges"]),
