@@ -137,3 +137,12 @@ def test_filters_and_columns_reach_the_scan(spark, capsys):
     text = capsys.readouterr().out
     assert "GreaterThanOrEqual(l_shipdate,1997-01-01" in text and "LessThan(l_quantity,24.0)" in text
     assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_discount:double,l_shipdate:timestamp_ntz>" in text
+
+
+def test_a_day_of_orders_prunes_the_scan(spark, capsys):
+    from tidemark.plans import retail
+    from tidemark.sources.tables import retail_tables
+
+    retail.r001(retail_tables(spark, DATA)).explain("formatted")
+    text = capsys.readouterr().out
+    assert "GreaterThanOrEqual(l_shipdate,1998-01-05" in text and "LessThanOrEqual(l_shipdate,1998-01-06" in text

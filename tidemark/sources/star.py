@@ -458,6 +458,8 @@ RETAIL = {
                 "customer_id": idiv("ok", 10),
                 "store_id": "sk",
                 "item_shipment_status_code": pick("ok + ln", STATUS),
+                # The stored day of the time: what a scan is pruned by.
+                "order_day": "day",
                 "order_datetime": f"day + @secs({CLOCK})",
                 "ship_datetime": f"case when {HAS_SHIPPED} then day + @secs(86400*((ok*5 + ln) % 8) + 90000) end",
                 "product_category_id": "pk % 20",
@@ -476,6 +478,7 @@ RETAIL = {
             {
                 "order_id": code("O", "ok", 12),
                 "customer_id": "ck",
+                "order_day": "day",
                 "order_datetime": f"day + @secs({CLOCK})",
                 "ship_completion_datetime": "case when ok % 11 <> 3 then day + @secs(86400*((ok*5) % 9) + 43200) end",
                 "total_paid_amount": "cast(o_totalprice as decimal(15,5))",
