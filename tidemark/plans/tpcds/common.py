@@ -6,6 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.sources.derive import JULIAN
+from tidemark.sources.star import STORED_DAYS
+
 Tables = Mapping[str, DataFrame]
 
 DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
@@ -26,13 +29,31 @@ RETURNS = {
 
 
 def join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    days = getattr(right, "chosen_days", None)
+    key = on.removesuffix(" = d_date_sk")
+    if days is not None and how == "inner" and key != on and key in STORED_DAYS:
+        left = _pruned(left, days, *STORED_DAYS[key])
     return left.join(right, F.expr(on), how)
 
 
+def _pruned(fact: DataFrame, days: DataFrame, stored: str, least: int, most: int) -> DataFrame:
+    """A fact cut to the stored days that its date key can come from: a range on a stored
+    column, whose ends are found in the calendar before the scan starts. Files and row
+    groups outside are skipped."""
+    if stored not in fact.columns:
+        return fact
+    end = lambda f, later: days.agg(F.date_from_unix_date((f("d_date_sk") - JULIAN - later).cast("int")).cast("timestamp_ntz")).scalar()
+    return fact.filter((F.col(stored) >= end(F.min, most)) & (F.col(stored) < end(F.max, least - 1)))
+
+
 def dates(t: Tables, where: str | Column = "true", *columns: str) -> DataFrame:
     """Days that satisfy a condition. The calendar has a fixed number of rows at
     every scale (about 73,000 in the benchmark), so it is always broadcast."""
-    return F.broadcast(t["date_dim"].filter(where).select("d_date_sk", *columns))
+    days = t["date_dim"].filter(where)
+    out = F.broadcast(days.select("d_date_sk", *columns))
+    if not isinstance(where, str) or where != "true":
+        out.chosen_days = days  # by which `join` prunes the fact
+    return out
 
 
 def days_from(start: str, days: int) -> str:
@@ -49,7 +70,7 @@ def channel(t: Tables, name: str, *measures: str) -> DataFrame:
     """One channel's sales under names common to all channels."""
     table, p, customer, address, order = SALES[name]
     return t[table].select(
-        F.lit(name).alias("channel"),
+        F.lit(name).alias("channel"), *[F.col(c).alias("stored_day") for c in (f"{p}_stored_day",) if c in t[table].columns],
         F.col(f"{p}_sold_date_sk").alias("date_sk"), F.col(f"{p}_item_sk").alias("item_sk"),
         F.col(customer).alias("customer_sk"), F.col(address).alias("addr_sk"), F.col(order).alias("order_no"),
         *[F.col(f"{p}_{m}").alias(m) for m in measures],

@@ -123,6 +123,16 @@ SHIP_KEY = f"{JULIAN} + @days({SHIP_DAY})"
 LATE_KEY = f"{SHIP_KEY} + (case when l_orderkey % 3 = 0 then 40 else 0 end)"
 
 
+#: Per date key of a fact: the stored day it is derived from, and the least and the
+#: greatest number of days by which the key is later.
+STORED_DAYS = {
+    "ss_sold_date_sk": ("ss_stored_day", 0, 0), "cs_sold_date_sk": ("cs_stored_day", 0, 40), "ws_sold_date_sk": ("ws_stored_day", 0, 40),
+    "cs_ship_date_sk": ("cs_stored_day", 1, 170), "ws_ship_date_sk": ("ws_stored_day", 1, 170),
+    "sr_returned_date_sk": ("sr_stored_day", 3, 142), "cr_returned_date_sk": ("cr_stored_day", 3, 182), "wr_returned_date_sk": ("wr_stored_day", 3, 182),
+    "date_sk": ("stored_day", 0, 40),
+}
+
+
 def _line(sold: str) -> dict[str, str]:
     """Keys and unit prices, in cents, of one sold line."""
     return {
@@ -131,6 +141,7 @@ def _line(sold: str) -> dict[str, str]:
         "pk": "l_partkey",
         "sk": "l_suppkey",
         "sold": sold,
+        "day": "l_shipdate",
         "cust": idiv("l_orderkey", 10),
         "qty": "cast(l_quantity as int)",
         "lp": "(l_partkey*37 + l_orderkey*11) % 20000 + 100",
@@ -138,7 +149,7 @@ def _line(sold: str) -> dict[str, str]:
 
 
 PRICES = {
-    **{k: k for k in ("ok", "ln", "pk", "sk", "sold", "cust", "qty", "lp")},
+    **{k: k for k in ("ok", "ln", "pk", "sk", "sold", "day", "cust", "qty", "lp")},
     "sp": "lp - " + idiv("lp * ((ok + ln) % 10)", 20),
     "wc": idiv("lp * (40 + pk % 40)", 100),
     "coupon": "case when (ok + pk) % 5 = 0 then " + idiv("qty * lp", 10) + " else 0 end",
@@ -162,6 +173,7 @@ def _sales(p: str, rows: str, sold: str, keys: dict[str, str]) -> Derived:
         "net_profit": "qty * sp - coupon - qty * wc",
     }
     out = {f"{p}_{k}": v for k, v in keys.items()}
+    out[f"{p}_stored_day"] = "day"
     out[f"{p}_sold_date_sk"] = "cast(sold as bigint)"
     out[f"{p}_sold_time_sk"] = "(ok*3607 + ln*1009 + pk*17) % 86400"
     out[f"{p}_item_sk"] = "pk"
@@ -185,6 +197,7 @@ def _returns(p: str, rows: str, sold: str, keys: dict[str, str], amount: str) ->
         "net_loss": "50 + (ok*3 + ln) % 9950 + rq * (50 + pk % 150)",
     }
     out = {f"{p}_{k}": v for k, v in keys.items()}
+    out[f"{p}_stored_day"] = "day"
     out[f"{p}_returned_date_sk"] = "cast(sold + 3 + (ok*5 + ln*17) % 140 as bigint)"
     out[f"{p}_item_sk"] = "pk"
     out[f"{p}_reason_sk"] = "(ok + pk) % 35"
