@@ -8,10 +8,11 @@ exhaustively by signatures; of large ones, those that one class of linked texts
 fills compare the few others with everything, and the rest branch again by further
 minwise shingles. All that signatures let pass is confirmed on full sets.
 
-Pairs that are linked already, through others, need no comparison: the result is
+Pairs that are linked already, through others, need no confirmation: the result is
 the classes, and a class is complete when no unconfirmed candidate leads out of it.
-So the first step of a level links each text with its node's pivot only, which is
-linear however large a group of copies is, and later steps look at mixed nodes alone.
+So the first step of a level confirms one link per text only, the likeliest: within a
+small node, or with a few pivots of a large one, which is linear however large a group
+of copies is. Later steps look at mixed nodes alone.
 """
 
 from __future__ import annotations
@@ -34,9 +35,11 @@ SIGNATURE = 128
 TREES, BRANCHES = 4, 2
 #: A node of at most so many texts is compared exhaustively; larger nodes are split
 #: into blocks of as many, or branch.
-SMALL = 256
+SMALL = 2048
+#: Pivots of a larger node, about so many, are compared with all of it.
+PIVOTS = 16
 #: Levels of branching. Nodes that are large and mixed after the last are compared block by block.
-DEPTH = 8
+DEPTH = 6
 #: Standard deviations below the threshold at which a signature still passes a pair.
 SLACK = 4.75
 #: Candidate ids up to so many (of 8 bytes) are sent to every task that reads texts; more are joined by shuffle.
@@ -112,7 +115,7 @@ def _children(members: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _shared(members: DataFrame) -> DataFrame:
     """Node statistics of nodes that hold more than one text."""
-    return members.groupBy("node").agg(F.count("*").alias("size"), F.min("doc_id").alias("pivot")).filter("size > 1")
+    return members.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
 
 
 def passing(percent: int) -> int:
@@ -126,10 +129,11 @@ def _pairs_in(least: int, percent: int):
 
     def compare(sign: np.ndarray, size: np.ndarray, label: np.ndarray, ids: np.ndarray, asks: np.ndarray, spanning: bool) -> list[tuple[int, int]]:
         queries = np.flatnonzero(asks)
+        place = np.arange(len(ids))
         found_a, found_b, found_n = [], [], []
         for q in queries.tolist():
-            others = np.flatnonzero((label != label[q]) & (~asks | (np.arange(len(ids)) > q)))
-            others = others[100 * np.minimum(size[others], size[q]) >= percent * np.maximum(size[others], size[q])]
+            fits = (100 * np.minimum(size, size[q]) >= percent * np.maximum(size, size[q])) & (label != label[q]) & (~asks | (place > q))
+            others = np.flatnonzero(fits)
             if len(others):
                 equal = (sign[others] == sign[q]).sum(axis=1)
                 ok = equal >= least
@@ -203,31 +207,35 @@ def _compared(members: DataFrame, texts: DataFrame, percent: int, spanning: bool
     return ready.mapInArrow(lambda batches: run(batches, spanning), "a long, b long").distinct()
 
 
-def _passes(percent: int) -> Column:
-    """Of joined rows with sign_a and sign_b: enough equal minwise shingles."""
-    return F.expr(f"aggregate(sequence(0, {SIGNATURE - 1}), 0, (n, j) -> n + if(substring(sign_a, 4 * j + 1, 4) = substring(sign_b, 4 * j + 1, 4), 1, 0))") >= passing(percent)
+def _pivoted(large: DataFrame) -> DataFrame:
+    """Members of large nodes (node, doc_id, size) in blocks, each with all pivots."""
+    blocks = F.ceil(F.col("size") / (SMALL / 2)).cast("int")
+    pivot = F.pmod(F.xxhash64("node", "doc_id"), F.greatest(F.floor(F.col("size") / PIVOTS), F.lit(1))) == 0
+    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
+    parts = F.when(pivot, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
+    return large.select("node", F.explode(parts).alias("part"), "doc_id", pivot.alias("asks"))
 
 
-def _sizes_fit(a: str, b: str, percent: int) -> Column:
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
-
-def _stars(members: DataFrame, large: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(a, b): each text of a large node with the node's pivot, by signature."""
-    pairs = members.join(large.select("node", "pivot"), "node").filter("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    left = texts.select(F.col("doc_id").alias("a"), F.col("signature").alias("sign_a"), F.col("n_shingles").alias("n_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("signature").alias("sign_b"), F.col("n_shingles").alias("n_b"))
-    return pairs.join(right, "b").join(left, "a").filter(_sizes_fit("n_a", "n_b", percent)).filter(_passes(percent)).select("a", "b")
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough."""
+def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Pairs (a, b) whose full sets are similar enough. The sets are made anew from the
+    texts of the pairs' documents alone."""
+    pairs = stored(pairs.distinct(), f"{folder}/pairs")
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{folder}/ids")
+    n = ids.count()
+    if not n:
+        return pairs
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    chosen = rows.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    sets = stored(chosen.mapInArrow(_full_sets, "doc_id long, shingles array<long>"), f"{folder}/sets")
+    if sets.count() > n:
+        sets = sets.dropDuplicates()
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
     both = pairs.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
-    return both.select("a", "b", common.alias("common"), (F.size("set_a") + F.size("set_b")).alias("total")).filter(
+    linked = both.select("a", "b", common.alias("common"), (F.size("set_a") + F.size("set_b")).alias("total")).filter(
         100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b")
+    return stored(linked, f"{folder}/links")
 
 
 def classes(links: DataFrame) -> DataFrame:
@@ -240,7 +248,7 @@ def classes(links: DataFrame) -> DataFrame:
     while True:
         both = links.union(links.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
         links = large.join(least, "u").select(F.explode(ends).alias("e")).select("e.*").filter("u <> v").distinct().checkpoint()
@@ -279,35 +287,29 @@ def linked_classes(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     members = _roots(texts)
     found: list[DataFrame] = []
-    sets, labels, waiting, depth = None, None, None, 0
+    labels, waiting, depth = None, None, 0
     while True:
-        stats = _shared(members)
-        members = stored(members.join(stats, "node"), f"{folder}/members-{depth}")
-        if depth == 0:
-            sets = _candidate_sets(docs, members, f"{folder}/sets")
-        small = members.filter(F.col("size") <= SMALL)
+        members = stored(members.join(_shared(members), "node"), f"{folder}/members-{depth}")
+        small = members.filter(F.col("size") <= SMALL).select("node", F.lit(0).alias("part"), "doc_id", F.lit(True).alias("asks"))
         large = members.filter(F.col("size") > SMALL)
-        fresh = [_compared(_labelled(small.select("node", F.lit(0).alias("part"), "doc_id", F.lit(True).alias("asks")), labels), texts, percent, True),
-                 _stars(large.select("node", "doc_id"), large.select("node", "pivot").distinct(), texts, percent)]
-        if waiting is not None:
-            fresh.append(waiting)
-        found.append(stored(_confirmed(reduce(DataFrame.union, fresh).distinct(), sets, percent), f"{folder}/links-{depth}"))
+        fresh = _compared(_labelled(small.union(_pivoted(large)), labels), texts, percent, True)
+        found.append(_confirmed(docs, fresh if waiting is None else fresh.union(waiting), percent, f"{folder}/confirmed-{depth}"))
         labels = stored(classes(reduce(DataFrame.union, found)), f"{folder}/labels-{depth}")
         # What is not settled: nodes whose texts have more than one label.
-        tagged = _labelled(members.select("node", "doc_id", "size"), labels)
+        tagged = _labelled(members, labels)
         per_label = tagged.groupBy("node", "label").agg(F.count("*").alias("n"))
-        main = per_label.groupBy("node").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("size")).select(
-            "node", F.col("m.label").alias("main"), (F.col("size") - F.col("m.n")).alias("outside")).filter("outside > 0")
-        mixed = stored(tagged.join(main, "node"), f"{folder}/mixed-{depth}")
-        last = depth == DEPTH
-        exhaustive = mixed.filter((F.col("size") <= SMALL) | (F.col("outside") <= SMALL) | F.lit(last))
-        deeper = mixed.filter((F.col("size") > SMALL) & (F.col("outside") > SMALL) & F.lit(not last))
-        waiting = _blocks(exhaustive, texts, percent)
+        main = per_label.groupBy("node").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all")).select(
+            "node", F.col("m.label").alias("main"), (F.col("all") - F.col("m.n")).alias("outside")).filter("outside > 0")
+        # two texts have been compared already
+        mixed = stored(tagged.filter("size > 2").join(main, "node"), f"{folder}/mixed-{depth}")
+        branching = (F.col("size") > SMALL) & (F.col("outside") > SMALL) & F.lit(depth < DEPTH)
+        waiting = _blocks(mixed.filter(~branching), texts, percent)
+        deeper = mixed.filter(branching)
         depth += 1
         if deeper.isEmpty():
             break
         members = _children(deeper.select("node", "doc_id"), texts)
-    found.append(stored(_confirmed(waiting.distinct(), sets, percent), f"{folder}/links-{depth}"))
+    found.append(_confirmed(docs, waiting, percent, f"{folder}/confirmed-{depth}"))
     labels = classes(reduce(DataFrame.union, [*found, *links]))
     return every.select("doc_id", "n_shingles").join(labels, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"),
@@ -318,7 +320,7 @@ def _blocks(mixed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Candidates of mixed nodes (node, doc_id, size, label, main, outside): texts
     outside the main class ask all others, in blocks of about SMALL texts. A block of
     askers meets a block of texts in one part."""
-    width = 4 * SMALL
+    width = SMALL
     n = F.ceil(F.col("size") / width).cast("int")
     asked = F.when(F.col("label") == F.col("main"), F.lit(False)).otherwise(F.lit(True)).alias("asks")
     ask_blocks = F.ceil(F.col("outside") / width).cast("int")
@@ -339,16 +341,6 @@ def _among(out: DataFrame, ask: Column) -> DataFrame:
     return out.select("node", F.explode(F.array_distinct(pairs)).alias("part"), "doc_id", "label", F.lit(True).alias("asks"))
 
 
-def _candidate_sets(docs: DataFrame, members: DataFrame, folder: str) -> DataFrame:
-    """(doc_id, shingles) of texts that share a node with another."""
-    ids = members.select("doc_id").distinct().checkpoint()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    few = ids.count() <= BROADCAST_IDS
-    chosen = rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    made = stored(chosen.mapInArrow(_full_sets, "doc_id long, shingles array<long>"), folder)
-    return made if made.count() == ids.count() else made.dropDuplicates()
-
-
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of near duplicates of all documents, at 85 percent."""
     return linked_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"), 85)
