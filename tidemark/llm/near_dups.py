@@ -12,7 +12,8 @@ Pairs that are linked already, through others, need no confirmation: the result
 the classes, and a class is complete when no unconfirmed candidate leads out of it.
 So the first step of a level confirms one link per text only, the likeliest: within a
 small node, or with a few pivots of a large one, which is linear however large a group
-of copies is. Later steps look at mixed nodes alone.
+of copies is. The second step confirms pairs of different classes in mixed nodes alone,
+where the texts' full sets meet.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ DEPTH = 6
 SLACK = 4.75
 #: Candidate ids up to so many (of 8 bytes) are sent to every task that reads texts; more are joined by shuffle.
 BROADCAST_IDS = 4_000_000
+#: Links per task while classes are formed, and tasks at least.
+LINKS_PER_TASK, MIN_TASKS = 200_000, 6
 
 _A = mix(np.arange(1, SIGNATURE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _B = mix(np.arange(1001, SIGNATURE + 1001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -124,87 +127,163 @@ def passing(percent: int) -> int:
     return max(1, int(SIGNATURE * (p - SLACK * (p * (1 - p) / SIGNATURE) ** 0.5)))
 
 
-def _pairs_in(least: int, percent: int):
-    """Compares the texts of nodes: rows come sorted by (node, part)."""
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
+    """(rows, bounds of the nodes' parts) of rows that come sorted by (node, part); a
+    part's rows stay together."""
+    held: list[pa.RecordBatch] = []
 
-    def compare(sign: np.ndarray, size: np.ndarray, label: np.ndarray, ids: np.ndarray, asks: np.ndarray, spanning: bool) -> list[tuple[int, int]]:
-        queries = np.flatnonzero(asks)
-        place = np.arange(len(ids))
+    def whole() -> tuple[pa.Table, list[tuple[int, int]]]:
+        table = pa.Table.from_batches(held)
+        held.clear()
+        node, part = table.column("node").to_numpy(), table.column("part").to_numpy()
+        cut = (np.flatnonzero((node[1:] != node[:-1]) | (part[1:] != part[:-1])) + 1).tolist()
+        return table, [(a, b) for a, b in zip([0, *cut], [*cut, len(node)]) if b - a > 1]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        node, part = batch.column("node").to_numpy(), batch.column("part").to_numpy()
+        if held and (held[-1].column("node")[-1].as_py() != node[0] or held[-1].column("part")[-1].as_py() != part[0]):
+            yield whole()
+        # the last part of a batch may go on in the next
+        other = np.flatnonzero((node != node[-1]) | (part != part[-1]))
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut:
+            held.append(batch.slice(0, cut))
+            yield whole()
+        held.append(batch.slice(cut))
+    if held:
+        yield whole()
+
+
+def _passing_pairs(table: pa.Table, bounds: list[tuple[int, int]], percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, places a and b, likeliest first) of each part's pairs of different
+    labels that pass by size and signature; one of the two asks."""
+    sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, SIGNATURE)
+    sizes, labels, asking = (table.column(c).to_numpy() for c in ("n_shingles", "label", "asks"))
+    least = passing(percent)
+    for first, end in bounds:
+        own, size, label, asks = sign[first:end], sizes[first:end], labels[first:end], asking[first:end]
+        place = np.arange(end - first)
         found_a, found_b, found_n = [], [], []
-        for q in queries.tolist():
-            fits = (100 * np.minimum(size, size[q]) >= percent * np.maximum(size, size[q])) & (label != label[q]) & (~asks | (place > q))
-            others = np.flatnonzero(fits)
+        for q in np.flatnonzero(asks).tolist():
+            others = np.flatnonzero((100 * np.minimum(size, size[q]) >= percent * np.maximum(size, size[q])) & (label != label[q]) & (~asks | (place > q)))
             if len(others):
-                equal = (sign[others] == sign[q]).sum(axis=1)
+                equal = (own[others] == own[q]).sum(axis=1)
                 ok = equal >= least
-                found_a.append(np.full(ok.sum(), q))
+                found_a.append(np.full(int(ok.sum()), q))
                 found_b.append(others[ok])
                 found_n.append(equal[ok])
-        if not found_a:
-            return []
-        a, b, n = np.concatenate(found_a), np.concatenate(found_b), np.concatenate(found_n)
-        if spanning:
-            parent = list(range(len(ids)))
-
-            def root(x: int) -> int:
-                while parent[x] != x:
-                    parent[x] = x = parent[parent[x]]
-                return x
-
-            kept = []
-            for i in np.argsort(-n, kind="stable").tolist():
-                x, y = root(int(a[i])), root(int(b[i]))
-                if x != y:
-                    parent[x] = y
-                    kept.append(i)
-            a, b = a[kept], b[kept]
-        return list(zip(ids[a].tolist(), ids[b].tolist()))
-
-    def run(batches: Iterator[pa.RecordBatch], spanning: bool) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush() -> pa.RecordBatch | None:
-            if not held:
-                return None
-            t = pa.Table.from_batches(held)
-            held.clear()
-            sign = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint32).reshape(-1, SIGNATURE)
-            cols = [t.column(c).to_numpy() for c in ("n_shingles", "label", "doc_id", "asks", "node", "part")]
-            cut = np.flatnonzero((cols[4][1:] != cols[4][:-1]) | (cols[5][1:] != cols[5][:-1])) + 1
+        if found_a:
+            order = np.argsort(-np.concatenate(found_n), kind="stable")
+            yield first, np.concatenate(found_a)[order], np.concatenate(found_b)[order]
+
+
+class _Sets:
+    """Disjoint sets of any keys."""
+
+    def __init__(self):
+        self.parent: dict = {}
+
+    def root(self, x):
+        path = []
+        while self.parent.get(x, x) != x:
+            path.append(x)
+            x = self.parent[x]
+        for y in path:
+            self.parent[y] = x
+        return x
+
+    def join(self, x, y) -> bool:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.parent[x] = y
+        return x != y
+
+
+def _as_pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([min(p) for p in pairs], pa.int64()), pa.array([max(p) for p in pairs], pa.int64())], names=["a", "b"])
+
+
+def _likeliest(percent: int):
+    """Pairs that would link each part's texts, the likeliest first: fewer than texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in _nodes(batches):
+            ids, labels = table.column("doc_id").to_numpy(), table.column("label").to_numpy()
             pairs = []
-            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(sign)]):
-                if b - a > 1:
-                    pairs += compare(sign[a:b], cols[0][a:b], cols[1][a:b], cols[2][a:b], cols[3][a:b], spanning)
-            return pa.RecordBatch.from_arrays([pa.array([min(p) for p in pairs], pa.int64()), pa.array([max(p) for p in pairs], pa.int64())], names=["a", "b"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            # the last node of a batch may go on in the next
-            node, part = batch.column("node").to_numpy(), batch.column("part").to_numpy()
-            same = (node == node[-1]) & (part == part[-1])
-            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            if held:
-                last = held[-1]
-                if last.column("node")[-1].as_py() != node[0] or last.column("part")[-1].as_py() != part[0]:
-                    yield flush()
-            if cut:
-                held.append(batch.slice(0, cut))
-                yield flush()
-            held.append(batch.slice(cut))
-        if held:
-            yield flush()
+            for first, a, b in _passing_pairs(table, bounds, percent):
+                sets = _Sets()
+                for x, y in zip((a + first).tolist(), (b + first).tolist()):
+                    if sets.join(int(labels[x]), int(labels[y])):
+                        pairs.append((int(ids[x]), int(ids[y])))
+            yield _as_pairs(pairs)
 
     return run
 
 
-def _compared(members: DataFrame, texts: DataFrame, percent: int, spanning: bool) -> DataFrame:
-    """(a, b) that pass by signature, of different labels, within each (node, part)
-    of (node, part, doc_id, label, asks); a pair has at least one side that asks."""
-    run = _pairs_in(passing(percent), percent)
-    ready = members.join(texts.select("doc_id", "n_shingles", "signature"), "doc_id").select(
-        "node", "part", "doc_id", "label", "asks", "n_shingles", "signature").repartition("node", "part").sortWithinPartitions("node", "part", "doc_id")
-    return ready.mapInArrow(lambda batches: run(batches, spanning), "a long, b long").distinct()
+def _involved(percent: int):
+    """Texts of each part that are in a passing pair."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in _nodes(batches):
+            rows = [np.zeros(0, np.int64)] + [np.unique(np.concatenate((a, b))) + first for first, a, b in _passing_pairs(table, bounds, percent)]
+            yield pa.RecordBatch.from_arrays([table.column(c).take(pa.array(np.concatenate(rows))).combine_chunks() for c in ("node", "part", "doc_id")], names=["node", "part", "doc_id"])
+
+    return run
+
+
+def _links_in(percent: int):
+    """Links of each part, confirmed on full sets, that join texts of different labels:
+    a pair that others have joined is not looked at."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in _nodes(batches):
+            ids, labels = table.column("doc_id").to_numpy(), table.column("label").to_numpy()
+            full = table.column("shingles").combine_chunks()
+            offsets, flat = full.offsets.to_numpy(), full.values.to_numpy().view(np.uint64)
+            pairs = []
+            for first, a, b in _passing_pairs(table, bounds, percent):
+                sets = _Sets()
+                for x, y in zip((a + first).tolist(), (b + first).tolist()):
+                    if sets.root(int(labels[x])) == sets.root(int(labels[y])):
+                        continue
+                    one, two = flat[offsets[x]:offsets[x + 1]], flat[offsets[y]:offsets[y + 1]]
+                    place = np.searchsorted(two, one)
+                    place[place == len(two)] = 0
+                    common = int((two[place] == one).sum())
+                    if 100 * common >= percent * (len(one) + len(two) - common):
+                        sets.join(int(labels[x]), int(labels[y]))
+                        pairs.append((int(ids[x]), int(ids[y])))
+            yield _as_pairs(pairs)
+
+    return run
+
+
+def _by_part(members: DataFrame, texts: DataFrame) -> DataFrame:
+    return members.join(texts.select("doc_id", "n_shingles", "signature"), "doc_id").repartition("node", "part").sortWithinPartitions("node", "part", "doc_id")
+
+
+def _sets_of(docs: DataFrame, ids: DataFrame, folder: str) -> DataFrame:
+    """(doc_id, shingles) of some documents, made anew from their texts."""
+    n = ids.count()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    chosen = rows.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    sets = stored(chosen.mapInArrow(_full_sets, "doc_id long, shingles array<long>"), folder)
+    return sets if sets.count() <= n else sets.dropDuplicates()
+
+
+def _settled(docs: DataFrame, members: DataFrame, texts: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Links between texts of different labels within the parts of `members`. The full
+    sets of texts in passing pairs travel to the parts, not the pairs to the sets: a group
+    of texts that are almost similar enough has many more pairs than texts."""
+    members = stored(members, f"{folder}/members")
+    involved = stored(_by_part(members, texts).mapInArrow(_involved(percent), "node long, part int, doc_id long"), f"{folder}/involved")
+    if involved.isEmpty():
+        return involved.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
+    sets = _sets_of(docs, stored(involved.select("doc_id").distinct(), f"{folder}/ids"), f"{folder}/sets")
+    asked = _by_part(members.join(involved, ["node", "part", "doc_id"], "left_semi").join(sets, "doc_id"), texts)
+    return stored(asked.mapInArrow(_links_in(percent), "a long, b long").distinct(), f"{folder}/links")
 
 
 def _pivoted(large: DataFrame) -> DataFrame:
@@ -220,15 +299,9 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, folder: str) ->
     """Pairs (a, b) whose full sets are similar enough. The sets are made anew from the
     texts of the pairs' documents alone."""
     pairs = stored(pairs.distinct(), f"{folder}/pairs")
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{folder}/ids")
-    n = ids.count()
-    if not n:
+    if pairs.isEmpty():
         return pairs
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = rows.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id", "left_semi")
-    sets = stored(chosen.mapInArrow(_full_sets, "doc_id long, shingles array<long>"), f"{folder}/sets")
-    if sets.count() > n:
-        sets = sets.dropDuplicates()
+    sets = _sets_of(docs, stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{folder}/ids"), f"{folder}/sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
     both = pairs.join(right, "b").join(left, "a")
@@ -244,14 +317,14 @@ def classes(links: DataFrame) -> DataFrame:
     then all smaller ones do, until nothing changes."""
     use_checkpoints(links.sparkSession)
     links = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct().checkpoint()
-    before = None
+    before, width = None, max(MIN_TASKS, links.count() // LINKS_PER_TASK)
     while True:
         both = links.union(links.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(width)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
-        links = large.join(least, "u").select(F.explode(ends).alias("e")).select("e.*").filter("u <> v").distinct().checkpoint()
+        links = large.join(least, "u").coalesce(width).select(F.explode(ends).alias("e")).select("e.*").filter("u <> v").distinct().coalesce(width).checkpoint()
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return links.select(F.col("u").alias("doc_id"), F.col("v").alias("label"))
@@ -287,13 +360,13 @@ def linked_classes(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     members = _roots(texts)
     found: list[DataFrame] = []
-    labels, waiting, depth = None, None, 0
+    labels, depth = None, 0
     while True:
         members = stored(members.join(_shared(members), "node"), f"{folder}/members-{depth}")
         small = members.filter(F.col("size") <= SMALL).select("node", F.lit(0).alias("part"), "doc_id", F.lit(True).alias("asks"))
         large = members.filter(F.col("size") > SMALL)
-        fresh = _compared(_labelled(small.union(_pivoted(large)), labels), texts, percent, True)
-        found.append(_confirmed(docs, fresh if waiting is None else fresh.union(waiting), percent, f"{folder}/confirmed-{depth}"))
+        fresh = _by_part(_labelled(small.union(_pivoted(large)), labels), texts).mapInArrow(_likeliest(percent), "a long, b long")
+        found.append(_confirmed(docs, fresh, percent, f"{folder}/confirmed-{depth}"))
         labels = stored(classes(reduce(DataFrame.union, found)), f"{folder}/labels-{depth}")
         # What is not settled: nodes whose texts have more than one label.
         tagged = _labelled(members, labels)
@@ -303,23 +376,22 @@ def linked_classes(docs: DataFrame, percent: int = 80) -> DataFrame:
         # two texts have been compared already
         mixed = stored(tagged.filter("size > 2").join(main, "node"), f"{folder}/mixed-{depth}")
         branching = (F.col("size") > SMALL) & (F.col("outside") > SMALL) & F.lit(depth < DEPTH)
-        waiting = _blocks(mixed.filter(~branching), texts, percent)
+        found.append(_settled(docs, _blocks(mixed.filter(~branching)), texts, percent, f"{folder}/settled-{depth}"))
         deeper = mixed.filter(branching)
         depth += 1
         if deeper.isEmpty():
             break
         members = _children(deeper.select("node", "doc_id"), texts)
-    found.append(_confirmed(docs, waiting, percent, f"{folder}/confirmed-{depth}"))
     labels = classes(reduce(DataFrame.union, [*found, *links]))
     return every.select("doc_id", "n_shingles").join(labels, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("label", "doc_id"), F.lit(True)).alias("kept"))
 
 
-def _blocks(mixed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Candidates of mixed nodes (node, doc_id, size, label, main, outside): texts
-    outside the main class ask all others, in blocks of about SMALL texts. A block of
-    askers meets a block of texts in one part."""
+def _blocks(mixed: DataFrame) -> DataFrame:
+    """Members (node, part, doc_id, label, asks) of mixed nodes (node, doc_id, size, label,
+    main, outside): texts outside the main class ask all others, in blocks of about SMALL
+    texts. A block of askers meets a block of texts in one part."""
     width = SMALL
     n = F.ceil(F.col("size") / width).cast("int")
     asked = F.when(F.col("label") == F.col("main"), F.lit(False)).otherwise(F.lit(True)).alias("asks")
@@ -332,12 +404,12 @@ def _blocks(mixed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     main = many.filter("label = main").select("node", F.explode(F.transform(F.sequence(F.lit(0), F.col("q") - 1), lambda j: own * F.col("q") + j)).alias("part"), "doc_id", "label", F.lit(False).alias("asks"))
     out = many.filter("label <> main")
     to_main = out.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: i * F.col("q") + ask)).alias("part"), "doc_id", "label", F.lit(True).alias("asks"))
-    return _compared(one.union(main).union(to_main), texts, percent, False).union(_compared(_among(out, ask), texts, percent, False))
+    return one.union(main).union(to_main).union(_among(out, ask))
 
 
 def _among(out: DataFrame, ask: Column) -> DataFrame:
-    """Askers of a large node among themselves: block i meets block j in part (i, j)."""
-    pairs = F.transform(F.sequence(F.lit(0), F.col("q") - 1), lambda j: F.least(ask, j) * F.col("q") + F.greatest(ask, j))
+    """Askers of a large node among themselves: block i meets block j in part (i, j), below zero."""
+    pairs = F.transform(F.sequence(F.lit(0), F.col("q") - 1), lambda j: -1 - (F.least(ask, j) * F.col("q") + F.greatest(ask, j)))
     return out.select("node", F.explode(F.array_distinct(pairs)).alias("part"), "doc_id", "label", F.lit(True).alias("asks"))
 
 
