@@ -214,6 +214,9 @@ class PersonalModel:
         by_kind = [[x for x in spans if x[1][0] == kind] for kind in KINDS]
         ready = [x for x in by_kind if x]
         if not ready:
+            # nothing to learn from: no label but none
+            self.net.out[:], self.net.bias[:] = 0, 0
+            self.net.bias[0] = 20
             return self
         parameters = [*self.net.parameters(), self.crf.moves]
         opt = Adam(parameters, RATE)
