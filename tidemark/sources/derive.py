@@ -3,7 +3,8 @@
 A definition is a list of projection stages over a base. The same expression
 text runs in Spark and in the checking engine; the few functions that differ
 are written as @days(x) (days since 1970-01-01), @secs(n) (interval of n
-seconds), @date(n) (date of day n) and @epoch(t) (seconds since 1970).
+seconds), @date(n) (date of day n), @epoch(t) (seconds since 1970) and
+@run_events (half of the event ids, rounded up).
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ JULIAN = 2440588  # Julian day number of 1970-01-01, the origin of date keys
 def to_spark(text: str) -> str:
     text = text.replace("@epoch(", "timestampdiff(second, timestamp_ntz '1970-01-01', ")
     text = text.replace("@days(", "unix_date(").replace("@date(", "date_from_unix_date(")
-    return text.replace("@secs(", "make_dt_interval(0,0,0,")
+    return text.replace("@secs(", "make_dt_interval(0,0,0,").replace("@run_events", "__run_events")
 
 
 def to_duckdb(text: str) -> str:
     text = text.replace("@days(", "date_diff('day', date '1970-01-01', ")
+    text = text.replace("@run_events", "(select max(event_id) // 2 + 1 from events)")
     text = text.replace("@secs(", "to_seconds(").replace("@epoch(", "date_diff('second', timestamp '1970-01-01', ")
     return text.replace("@date(", "(date '1970-01-01' + ").replace("timestamp_ntz", "timestamp")
 
@@ -45,7 +47,7 @@ def pick(index: str, values: list[str]) -> str:
     return f"case ({index}) % {len(values)} {arms} end"
 
 
-def idiv(a: str, b: int) -> str:
+def idiv(a: str, b: int | str) -> str:
     return f"cast(floor(({a}) / {b}) as bigint)"
 
 

@@ -522,8 +522,8 @@ RETAIL = {
 
 # --- Benchmark runs and telemetry ------------------------------------------------
 
-#: Events of one run.
-RUN_EVENTS = 1000
+#: Queries of one run, over its workloads.
+RUN_QUERIES = 24 * 22
 
 MONITOR = {
     # One row per executed action of a run.
@@ -579,18 +579,19 @@ MONITOR = {
     ),
     # A parameter tried over a range of runs.
     "parameters": Derived("range:6", ({"param_value": pick(idiv("id", 2), ["SEG4", "SEG8", "SEG12"]), "run_id": "cast(101 + id as int)", "param_name": pick(idiv("id", 4), ["SEG_NUM", "MEMORY"])},)),
-    # Runs follow each other and number their connections anew. A connection runs for 50
-    # samples and holds two timed queries; workloads and their queries follow each other too.
+    # Two runs follow each other, each over half of the events, so that they grow with the
+    # table, and number their connections anew. A connection runs for 50 samples and holds
+    # two timed queries; the workloads of a run and their queries follow each other too.
     "run_spans": Derived(
         "events",
         (
             {
-                "run_id": f"cast(1 + {idiv('event_id', RUN_EVENTS)} as int)",
-                "wl_name": f"'WL_' || lpad(cast({idiv('event_id', 250)} % 24 as string), 2, '0') || case when {idiv('event_id', 250)} % 3 = 0 then '_CONCURRENT' else '' end",
+                "run_id": f"cast(1 + {idiv('event_id', 'run_events')} as int)",
+                "wl_name": f"'WL_' || lpad(cast({idiv('event_id % run_events * 24', 'run_events')} as string), 2, '0') || case when {idiv('event_id % run_events * 24', 'run_events')} % 3 = 0 then '_CONCURRENT' else '' end",
                 "action_type": "case when event_id % 125 = 0 then 'Loading' else 'Execution' end",
-                "action_target": f"'query_' || lpad(cast({idiv('event_id', 50)} % 22 + 1 as string), 2, '0')",
+                "action_target": f"'query_' || lpad(cast({idiv(f'event_id % run_events * {RUN_QUERIES}', 'run_events')} % 22 + 1 as string), 2, '0')",
                 "stream": "cast(event_id % 3 as int)",
-                "con_id": idiv(f"event_id % {RUN_EVENTS}", 50),
+                "con_id": idiv("event_id % run_events", 50),
                 "status": "case when event_id % 175 = 0 then 'SKIP' else 'SUCCESS' end",
                 "start_time": "ts",
                 "end_time": "ts + @secs(600 + (event_id * 37) % 5000)",
@@ -602,11 +603,11 @@ MONITOR = {
         "events",
         (
             {
-                "run_id": f"cast(1 + {idiv('event_id', RUN_EVENTS)} as int)",
+                "run_id": f"cast(1 + {idiv('event_id', 'run_events')} as int)",
                 "hostname": "'w' || cast(1 + user_id % 8 as string)",
                 "timeslot": "cast(floor(date_diff_s / 60) as bigint)",
                 "real_time": "ts",
-                "con_id": idiv(f"event_id % {RUN_EVENTS}", 50),
+                "con_id": idiv("event_id % run_events", 50),
                 "seg_id": "'seg' || cast(event_id % 4 as string)",
                 "slice": "'slice' || cast(event_id % 3 as string)",
                 "rss": "cast((cast(floor(value * 10) as bigint) + process * 37) * 0.01 as decimal(8,2))",
@@ -620,11 +621,11 @@ MONITOR = {
         "events",
         (
             {
-                "run_id": f"cast(1 + {idiv('event_id', RUN_EVENTS)} as int)",
+                "run_id": f"cast(1 + {idiv('event_id', 'run_events')} as int)",
                 "hostname": "'mst1'",
                 "timeslot": "cast(floor(date_diff_s / 60) as bigint)",
                 "real_time": "ts",
-                "con_id": idiv(f"event_id % {RUN_EVENTS}", 50),
+                "con_id": idiv("event_id % run_events", 50),
                 "rss": "cast(cast(floor(value * 7) as bigint) * 0.01 as decimal(8,2))",
                 "pmem": "cast((event_id * 3 + user_id) % 100 * 0.1 as decimal(4,1))",
                 "pcpu": "cast((event_id * 11 + user_id) % 300 * 0.1 as decimal(4,1))",
@@ -686,8 +687,8 @@ MONITOR = {
         ),
     ),
 }
-for _name in ("worker_samples", "master_samples"):
+for _name in ("run_spans", "worker_samples", "master_samples"):
     _d = MONITOR[_name]
     _keep = {c: c for c in ("event_id", "ts", "user_id", "value")}
     _keep |= {_d.times[0]: _d.times[0]} if _d.times else {}
-    MONITOR[_name] = Derived(_d.base, ({**_keep, "date_diff_s": "@epoch(ts)"}, *_d.stages), _d.where, _d.times)
+    MONITOR[_name] = Derived(_d.base, ({**_keep, "date_diff_s": "@epoch(ts)", "run_events": "@run_events"}, *_d.stages), _d.where, _d.times)

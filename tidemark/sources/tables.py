@@ -65,6 +65,9 @@ class DerivedTables(Mapping):
             raw = derive.build(self.spark, self.stored["part"], derive.Derived(d.base, (keyed,), d.where, d.times))
             return raw.withColumn("ps_suppkey", F.col("ps_suppkey") % suppliers)
         base = None if d.base.startswith("range:") else self.stored[d.base]
+        if any("@run_events" in v for stage in d.stages for v in stage.values()):
+            half = self.stored["events"].agg((F.floor(F.max("event_id") / 2) + 1).alias("n")).scalar()
+            base = base.withColumn("__run_events", half)
         return derive.build(self.spark, base, d)
 
     def __iter__(self):
