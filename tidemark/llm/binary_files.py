@@ -18,8 +18,9 @@ def write_records(df: DataFrame, column: str, folder: str, ending: str, compress
 
 
 def read_files(df_reader, folder: str) -> DataFrame:
-    """(part, chunk, content) of the written files; part and chunk give their order."""
+    """(part, chunk, content) of the written files; part and chunk give their order. The
+    chunk ends the name, before the extensions; a group of the uuid may look like one."""
     files = df_reader.format("binaryFile").load(folder)
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     return files.filter(name.startswith("part-")).select(
-        F.regexp_extract(name, r"^part-(\d+)", 1).cast("long").alias("part"), F.regexp_extract(name, r"-c(\d+)", 1).cast("long").alias("chunk"), "content")
+        F.regexp_extract(name, r"^part-(\d+)", 1).cast("long").alias("part"), F.regexp_extract(name, r"-c(\d+)(?:\.[^-]*)?$", 1).cast("long").alias("chunk"), "content")
