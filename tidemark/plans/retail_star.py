@@ -191,9 +191,10 @@ def daily_customers(lives: DataFrame, factors: DataFrame, cfg: RetailConfig) ->
     """Who orders on which day, thinned to about the wanted number of orders.
 
     The chances of the days, one after another, form a line. A customer's stretch of it,
-    from the first to the last day, is as long as the orders expected of that customer; so
-    many points are drawn on it, and the day under a point has an order. Work follows the
-    orders, not the days that customers live through. A customer orders once a day at most.
+    from the first to the last day, is as long as the orders expected of that customer.
+    Points lie on it at steps of one from a drawn offset, and the day under a point has an
+    order: each day with its chance, and as that is one at most, never twice. Work follows
+    the orders, not the days that customers live through.
     """
     whole = factors.agg(F.sum("factor")).scalar()
     chance = factors.join(active_counts(lives, factors), "calendar_day").select(
@@ -203,10 +204,10 @@ def daily_customers(lives: DataFrame, factors: DataFrame, cfg: RetailConfig) ->
     ends = [F.broadcast(line.select(F.col("day").alias("start_date"), F.col("since").alias("from_chance"))), F.broadcast(line.select(F.col("day").alias("last_date"), F.col("upto").alias("to_chance")))]
     rows = lives.join(ends[0], "start_date").join(ends[1], "last_date").withColumn("wanted", F.col("to_chance") - F.col("from_chance"))
     own = Draws(cfg.seed, "customer_id")
-    points = F.floor("wanted").cast("int") + own.flag("one_more", F.col("wanted") - F.floor("wanted")).cast("int")
-    rows = rows.withColumn("points", points).filter("points > 0").select(
-        "customer_id", "customer_segment", "from_chance", "wanted", F.explode(F.sequence(F.lit(1), F.col("points"))).alias("point"))
-    at = F.col("from_chance") + F.col("wanted") * Draws(cfg.seed, "customer_id", "point").whole("at", 0, 999_999_999) / 1_000_000_000
+    rows = rows.withColumn("offset", own.whole("at", 0, 999_999_999) / 1_000_000_000).withColumn("points", F.ceil(F.col("wanted") - F.col("offset")).cast("int"))
+    rows = rows.filter("points > 0").select(
+        "customer_id", "customer_segment", "from_chance", "offset", F.explode(F.sequence(F.lit(0), F.col("points") - 1)).alias("point"))
+    at = F.col("from_chance") + F.col("offset") + F.col("point")
     # Days by the steps of the line that they touch: a day and its neighbours share a step.
     step = F.lit(CHANCE_STEP)
     days = line.filter("p > 0").select("day", "since", "upto", F.explode(F.sequence(F.floor(F.col("since") / step), F.floor(F.col("upto") / step))).alias("step"))
