@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import decontaminate, fingerprints, language, mixing, near_dups, personal, sharding, token_files, url_filter, warc
+from tidemark.llm import decontaminate, fingerprints, language, mixing, near_dups, personal, repetition, sharding, token_files, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": token_files.op1_token_files,
@@ -20,7 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": warc.op8_warc,
     "op9_fingerprints": fingerprints.op9_fingerprints,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_repetition": repetition.op11_repetition,
     "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op4_url_filter": url_filter.SQL, "op8_warc": warc.SQL}
+SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op4_url_filter": url_filter.SQL, "op8_warc": warc.SQL, "op11_repetition": repetition.SQL}

@@ -95,6 +95,18 @@ def fold_latin(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def running_hashes(data: np.ndarray) -> np.ndarray:
+    """Polynomial sums of the bytes up to each place, from which `span_hashes` takes any span."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data)), out=sums[1:])
+    return sums
+
+
+def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the spans of bytes starts[i]:ends[i], the same wherever the bytes stand."""
+    return (sums[ends] - sums[starts]) * _power(_BASE_INVERSE, len(sums))[starts]
+
+
 def words_of(texts: pa.Array, alnum: bool = False) -> Iterator[Words]:
     """Words of each text: runs of bytes other than ASCII white space with A-Z
     in lower case, or with `alnum` runs of letters and digits of any script, with
@@ -111,9 +123,7 @@ def words_of(texts: pa.Array, alnum: bool = False) -> Iterator[Words]:
         after[:-1] = inside[1:]
         starts = np.flatnonzero(inside & (~before | edge[:-1]))
         ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data)), out=sums[1:])
-        hashes = mix((sums[ends] - sums[starts]) * _power(_BASE_INVERSE, len(data))[starts])
+        hashes = mix(span_hashes(running_hashes(data), starts, ends))
         bounds = np.searchsorted(starts, offsets)
         yield Words(first, rows, np.repeat(np.arange(rows), np.diff(bounds)), hashes, bounds)
 
