@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import alignment, decontaminate, fingerprints, language, mixing, near_dups, personal, repetition, sharding, token_files, url_filter, warc
+from tidemark.llm import alignment, decontaminate, fingerprints, language, mixing, near_dups, personal, repetition, sharding, spelling, token_files, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": token_files.op1_token_files,
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": decontaminate.op10_decontamination,
     "op11_repetition": repetition.op11_repetition,
     "op12_alignment": alignment.op12_alignment,
+    "op13_spelling": spelling.op13_spelling,
     "pipeline": corpus_pipeline.run,
 }
 
