@@ -4,8 +4,6 @@ from tidemark.plans.retail_star import CIPHER_COUPON
 GOOD = "where l_orderkey % 500 <> 0"
 TOTALS = f"""from lineitem select l_returnflag, count(*) as n, {XS('l_extendedprice', 2)} as price, max(l_shipdate) as last_ship {GOOD} group by 1"""
 LOADED = f"({TOTALS}) union all (from lineitem select 'rejected', count(*), null, null where l_orderkey % 500 = 0)"
-NAMES = ["normal", "bell", "bell_3", "two_bells", "half_bell", "power", "whole", "flag"]
-STATES = "['TN', 'GA', 'TX', 'OH', 'KY', 'NM', 'VA', 'CA']"
 
 
 def windows(minutes: int, slide: int) -> str:
@@ -15,7 +13,6 @@ def windows(minutes: int, slide: int) -> str:
       group by 1, 2, 3"""
 
 
-PEOPLE = "(from nation select count(*)) * (from customer select count(*))"
 SQL = {
     "load_delimited": LOADED,
     "load_csv": TOTALS,
@@ -55,16 +52,8 @@ SQL = {
     "stream_spans": """with g as (from events select user_id, ts, if(ts - lag(ts) over w < interval 1 hour, 0, 1) as fresh window w as (partition by user_id order by ts)),
         n as (from g select user_id, ts, sum(fresh) over (partition by user_id order by ts rows unbounded preceding) as no)
         from n select user_id, min(ts) as started, max(ts) as last_seen, max(ts) + interval 1 hour as ended, count(*) as snapshots group by user_id, no""",
-    "draws_bounds": f"from orders, (select unnest({NAMES}) as name) select name, count(*) as draws, count(*) as inside, true as centred group by name",
     "star_products": """with f as (from part select p_type || ' ' || string_split(p_name, ' ')[-1] as cat, concat(p_name, ' ', p_partkey) as product_name, cast(p_retailprice as decimal(15,2)) as price),
         c as (from (from f select distinct cat) select cat, row_number() over (order by cat) as category_id)
         from f join c using (cat) select row_number() over (order by product_name, category_id, price) as product_id, category_id, cast(price as double) as price, product_name""",
-    "star_customers": """with f as (from nation select concat('First', n_nationkey) as first_name, if(n_nationkey % 2 = 0, 'M', 'F') as gender,
-          row_number() over (order by if(n_nationkey % 2 = 0, 'M', 'F'), concat('First', n_nationkey)) - 1 as i),
-        l as (from customer select substr(c_name, 10, 9) as last_name, row_number() over (order by substr(c_name, 10, 9)) - 1 as j, count(*) over () as m)
-        from f, l select i * m + j + 1 as customer_id, first_name, last_name, gender""",
-    "star_addresses": f"select n as customers, n as one_open, n as linked, n as in_range from (select {PEOPLE} as n)",
-    "star_days": "from range(date '2006-01-01', date '2011-01-01', interval 1 month) as r(m) select strftime(m, '%Y-%m') as month, true as near",
-    "star_emails": f"select n as mails, n as customers, n as well_formed from (select {PEOPLE} as n)",
 }
 SQL = {k: with_tables(v) for k, v in SQL.items()}

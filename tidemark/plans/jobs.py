@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.columns import exact_total
 from tidemark.functions.distributions import Draws
 from tidemark.operators import validate
 from tidemark.plans import retail_star, tpch
+from tidemark.plans.star_tables import FACTS, StarStore
 from tidemark.sources import layout, load
 from tidemark.sources.schemas import STORED
 from tidemark.sources.shared import new_folder
+from tidemark.sources.spans import SpanFact
 from tidemark.sources.tables import StoredTables, create_views, tpch_tables
 from tidemark.streaming import loads, windows
 
@@ -235,70 +240,61 @@ def draws_of(rows: DataFrame, key: str, seed: int = 7) -> DataFrame:
         d.whole("whole", 1, 6).cast("double").alias("whole"), d.flag("flag", 0.25).cast("int").cast("double").alias("flag"))
 
 
-# name: least, greatest, mean, tolerated error of the mean
-BOUNDS = {
-    "normal": (-50.0, 150.0, 50.0, 1.0), "bell": (1.0, 100.0, 50.5, 1.0), "bell_3": (1.0, 50.0, 25.5, 1.0), "two_bells": (1.0, 300.0, 150.5, 5.0),
-    "half_bell": (1.0, 10.0, 2.0, 0.4), "power": (1.0, 25.0, 2.0, 0.4), "whole": (1.0, 6.0, 3.5, 0.1), "flag": (0.0, 1.0, 0.25, 0.03),
-}
+DRAWN = ("normal", "bell", "bell_3", "two_bells", "half_bell", "power", "whole", "flag")
 
 
 def draws_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    """Per distribution: draws, draws inside the range, and whether the mean is right."""
+    """Per distribution: draws, the least, the greatest and the sum, to six digits."""
     rows = draws_of(StoredTables(spark, sf)["orders"], "o_orderkey")
-    long = rows.select(F.explode(F.create_map(*[x for n in BOUNDS for x in (F.lit(n), F.col(n))])).alias("name", "x"))
-    limits = spark.createDataFrame([(n, *b) for n, b in BOUNDS.items()], "name string, lo double, hi double, centre double, off double")
-    return long.join(F.broadcast(limits), "name").groupBy("name").agg(
-        F.count("*").alias("draws"), F.count(F.when(F.col("x").between(F.col("lo"), F.col("hi")), 1)).alias("inside"),
-        (F.abs(F.avg("x") - F.max("centre")) <= F.max("off")).alias("centred"))
+    long = rows.select(F.explode(F.create_map(*[x for n in DRAWN for x in (F.lit(n), F.col(n))])).alias("name", "x")).withColumn("x", F.col("x").cast("decimal(18,6)"))
+    return long.groupBy("name").agg(F.count("*").alias("draws"), *[f("x").cast("double").alias(n) for f, n in ((F.min, "least"), (F.max, "greatest"), (F.sum, "total"))])
 
 
 def draws_histogram(spark: SparkSession, sf: str) -> DataFrame:
     """How often each whole number is drawn."""
     rows = draws_of(StoredTables(spark, sf)["orders"], "o_orderkey").drop("normal")
-    long = rows.select(F.explode(F.create_map(*[x for n in BOUNDS if n != "normal" for x in (F.lit(n), F.col(n))])).alias("name", "x"))
+    long = rows.select(F.explode(F.create_map(*[x for n in DRAWN if n != "normal" for x in (F.lit(n), F.col(n))])).alias("name", "x"))
     return long.groupBy("name", "x").agg(F.count("*").alias("n"))
 
 
 # --- Star generation -----------------------------------------------------------------------------
 
 
-def _config(stored: StoredTables) -> retail_star.RetailConfig:
-    return retail_star.RetailConfig(order_rows=stored["orders"].count())
+_stars: dict[tuple[str, str], StarStore] = {}
 
 
-def _star(spark: SparkSession, sf: str) -> retail_star.Star:
-    stored = StoredTables(spark, sf)
-    return retail_star.build_star(spark, retail_star.seeds_from(stored), _config(stored))
+def _star(spark: SparkSession, sf: str) -> StarStore:
+    """The star of a data folder, stored once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stars:
+        stored = StoredTables(spark, sf)
+        _stars[key] = StarStore(spark, retail_star.seeds_from(stored), retail_star.RetailConfig(order_rows=stored["orders"].count()))
+    return _stars[key]
 
 
 def star_products(spark: SparkSession, sf: str) -> DataFrame:
-    feed = retail_star.seeds_from(StoredTables(spark, sf))["products"]
-    out = retail_star.products(feed, retail_star.categories(feed))
-    return out.withColumn("price", F.col("price").cast("double"))
+    return _star(spark, sf).table("products").withColumn("price", F.col("price").cast("double"))
 
 
-def _people(spark: SparkSession, sf: str) -> tuple[DataFrame, dict, retail_star.RetailConfig]:
-    stored = StoredTables(spark, sf)
-    seeds = retail_star.seeds_from(stored)
-    return retail_star.customers(spark, seeds["first_names"], seeds["surnames"]), seeds, _config(stored)
+def star_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    return _star(spark, sf).table("calendar")
 
 
 def star_customers(spark: SparkSession, sf: str) -> DataFrame:
-    return _people(spark, sf)[0]
+    return _star(spark, sf).table("customers")
 
 
 def star_addresses(spark: SparkSession, sf: str) -> DataFrame:
-    """Address versions of each customer hang together: one open, no gap between."""
-    people, seeds, cfg = _people(spark, sf)
-    rows = retail_star.addresses(people, seeds["zips"], seeds["streets"], cfg)
-    per = rows.groupBy("customer_id").agg(
-        F.count("*").alias("versions"), F.count(F.when(F.col("valid_to_timestamp").isNull(), 1)).alias("open"),
-        F.sum(F.xxhash64("valid_from_timestamp").cast("decimal(38,0)")).alias("starts"), F.min("valid_from_timestamp").alias("first"),
-        F.sum(F.xxhash64("valid_to_timestamp").cast("decimal(38,0)")).alias("ends"), F.sum(F.when(F.col("valid_to_timestamp").isNull(), F.xxhash64("valid_to_timestamp").cast("decimal(38,0)"))).alias("open_hash"))
-    # Every start but the first is some version's end.
-    linked = F.col("starts") - F.xxhash64("first").cast("decimal(38,0)") == F.col("ends") - F.coalesce("open_hash", F.lit(0))
-    return per.agg(F.count("*").alias("customers"), F.count(F.when(F.col("open") == 1, 1)).alias("one_open"), F.count(F.when(linked, 1)).alias("linked"),
-                   F.count(F.when(F.col("versions").between(1, 15), 1)).alias("in_range"))
+    """All address versions; the newest is open, the others end where the next begins."""
+    return _star(spark, sf).table("addresses")
+
+
+def star_emails(spark: SparkSession, sf: str) -> DataFrame:
+    return _star(spark, sf).table("emails")
+
+
+def star_lifetimes(spark: SparkSession, sf: str) -> DataFrame:
+    return _star(spark, sf).table("lifetimes")
 
 
 def star_ciphers(spark: SparkSession, sf: str) -> DataFrame:
@@ -308,46 +304,74 @@ def star_ciphers(spark: SparkSession, sf: str) -> DataFrame:
                          F.expr("substring(c_name from 10 for 4)").alias("cut"))
 
 
-def star_emails(spark: SparkSession, sf: str) -> DataFrame:
-    people, seeds, cfg = _people(spark, sf)
-    mails = retail_star.emails(people, seeds["websites"], cfg.seed)
-    return mails.agg(F.count("*").alias("mails"), F.countDistinct("customer_id").alias("customers"), F.count(F.when(F.col("email_address").like("%@%.example.com"), 1)).alias("well_formed"))
+def star_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Each day's factor, the orders its weights call for, and those drawn."""
+    star = _star(spark, sf)
+    factors = star.table("day_factors")
+    whole = retail_star.day_totals(factors)
+    drawn = star.table("daily").groupBy("calendar_day").agg(F.count("*").alias("drawn"))
+    wanted = F.round(F.col("factor") / F.col("sum_factor") * star.cfg.order_rows, 6)
+    return factors.crossJoin(F.broadcast(whole)).join(drawn, "calendar_day").select("calendar_day", F.round("factor", 6).alias("factor"), wanted.alias("wanted"), "drawn")
 
 
-def star_days(spark: SparkSession, sf: str) -> DataFrame:
-    """Whether each month drew about the orders its weights call for."""
-    people, _, cfg = _people(spark, sf)
-    factors = retail_star.day_factors(spark, cfg)
-    month = F.date_format("calendar_day", "yyyy-MM").alias("month")
-    drawn = retail_star.daily_customers(retail_star.lifetimes(people, cfg), factors, cfg).groupBy(month).agg(F.count("*").alias("drawn"))
-    share = F.col("factor") / factors.agg(F.sum("factor")).scalar() * cfg.order_rows
-    wanted = factors.groupBy(month).agg(F.sum(share).alias("wanted"))
-    # Six standard deviations of a sum of rare draws.
-    return wanted.join(drawn, "month").select("month", (F.abs(F.col("drawn") - F.col("wanted")) <= 6 * F.sqrt("wanted") + 1).alias("near"))
+def star_order_base(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbered orders with their printed numbers."""
+    return _star(spark, sf).table("orders_base").select(
+        "order_id", "calendar_day", "customer_id", "customer_segment", "store_id", "payment_method_id", "item_count", "order_ts", "order_num", "ordering_session_id")
+
+
+def star_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Items of the orders, with what was drawn for each."""
+    return _star(spark, sf).table("items").select(
+        "order_item_id", "order_id", "item_ctr", "status_code", "product_id", "ship_ts", "item_return_ts", "item_refund_ts", "item_quantity", "discount_code", "coupon_no")
 
 
 def star_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Orders per year and payment, from lines grouped back to orders."""
-    out = _star(spark, sf).orders
-    return out.groupBy(F.year("order_datetime").alias("year"), "payment_method_code").agg(
+    return _star(spark, sf).whole("orders").groupBy(F.year("order_datetime").alias("year"), "payment_method_code").agg(
         F.count("*").alias("orders"), F.sum("total_item_quantity").alias("items"), F.sum("total_paid_amount").cast("double").alias("paid"),
         F.count(F.when(F.col("has_returned_items_flag") == "Y", 1)).alias("with_returns"), F.count("fraud_code").alias("frauds"))
 
 
 def star_line_items(spark: SparkSession, sf: str) -> DataFrame:
     """Lines per category and status, preloaded and held out."""
-    stored = StoredTables(spark, sf)
-    cfg = _config(stored)
-    first, later = retail_star.split_preload(_star(spark, sf).lines, "order_datetime", cfg)
-    rows = first.withColumn("part", F.lit("preload")).unionByName(later.withColumn("part", F.lit("later")))
+    star = _star(spark, sf)
+    rows = star.fact("lines").rows().withColumn("part", F.lit("preload")).unionByName(star.held_out("lines").withColumn("part", F.lit("later")))
     return rows.groupBy("part", "product_category_name", "item_shipment_status_code").agg(
         F.count("*").alias("n"), F.sum("item_quantity").alias("quantity"), F.sum("tax_amount").cast("double").alias("tax"))
 
 
+def star_coupons(spark: SparkSession, sf: str) -> DataFrame:
+    """Coupon and discount of each line."""
+    return _star(spark, sf).whole("lines").select("order_item_id", "coupon_code", F.col("coupon_amount").cast("double"), F.col("discount_amount").cast("double"))
+
+
 def star_shipments(spark: SparkSession, sf: str) -> DataFrame:
-    stored = StoredTables(spark, sf)
-    rows = retail_star.shipments(_star(spark, sf).lines, _config(stored))
-    return rows.groupBy("shipper_code", "shipment_type_code").agg(F.count("*").alias("n"), F.sum("customer_paid_ship_cost").cast("double").alias("paid"))
+    return _star(spark, sf).whole("shipments").groupBy("shipper_code", "shipment_type_code").agg(F.count("*").alias("n"), F.sum("customer_paid_ship_cost").cast("double").alias("paid"))
+
+
+def star_months(spark: SparkSession, sf: str) -> DataFrame:
+    """A range of time over months and weeks of the stored lines."""
+    rows = _star(spark, sf).fact("lines").rows("2009-11-20 12:00:00", "2010-02-03 00:00:00")
+    return rows.groupBy(F.date_format("order_datetime", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"), F.sum("item_quantity").alias("quantity"))
+
+
+def _by_span(name: str, fact: SpanFact) -> DataFrame:
+    quantity = {"lines": "item_quantity", "orders": "total_item_quantity", "shipments": "item_ship_quantity"}[name]
+    return fact.stored().groupBy(F.lit(name).alias("fact"), "span").agg(F.count("*").alias("n"), F.sum(quantity).alias("quantity"))
+
+
+def star_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The first load and the replayed rest of the three facts, by span."""
+    star, fresh = _star(spark, sf), new_folder(spark, "replay")
+    return reduce(DataFrame.unionByName, [_by_span(n, star.replayed(n, 3, fresh)) for n in FACTS])
+
+
+def star_rolled(spark: SparkSession, sf: str) -> DataFrame:
+    """Replayed lines after time has gone on: weeks have become months, and most of the open span weeks."""
+    fact = _star(spark, sf).replayed("lines", 2, new_folder(spark, "rolled"))
+    fact.roll_over(replace(fact.grains(), monthly_end="2010-07-01", weekly_end="2010-12-25"))
+    return _by_span("lines", fact)
 
 
 NAMES = ("load_", "layout_", "check_", "stream_", "draws_", "star_")

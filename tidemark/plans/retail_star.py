@@ -341,35 +341,6 @@ def split_preload(frame: DataFrame, column: str, cfg: RetailConfig) -> tuple[Dat
     return frame.filter(F.col(column) < bound), frame.filter(F.col(column) >= bound)
 
 
-@dataclass
-class Star:
-    customers: DataFrame
-    addresses: DataFrame
-    emails: DataFrame
-    categories: DataFrame
-    products: DataFrame
-    orders_base: DataFrame
-    items: DataFrame
-    lines: DataFrame
-
-    @property
-    def orders(self) -> DataFrame:
-        return orders_of(self.lines)
-
-
-def build_star(spark: SparkSession, seeds: Mapping[str, DataFrame], cfg: RetailConfig) -> Star:
-    """The whole star from the seed lists: names, products, places, sites, taxes."""
-    people = customers(spark, seeds["first_names"], seeds["surnames"])
-    cats = categories(seeds["products"])
-    prods = products(seeds["products"], cats)
-    mails = emails(people, seeds["websites"], cfg.seed)
-    addrs = addresses(people, seeds["zips"], seeds["streets"], cfg)
-    base = order_base(daily_customers(lifetimes(people, cfg), day_factors(spark, cfg), cfg), cfg)
-    items = order_items(base, prods.count(), cfg)
-    lines = line_items(items, prods, cats, people, addrs, mails, seeds["taxes"])
-    return Star(people, addrs, mails, cats, prods, base, items, lines)
-
-
 def seeds_from(stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Seed lists taken from a stored TPC-H-like set; they grow with its tables."""
     part, customer, supplier = stored["part"], stored["customer"], stored["supplier"]
