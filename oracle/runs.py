@@ -118,4 +118,8 @@ SQL = {
           wl_name, action_type, action_target, coalesce(cast((h + 50) // 100 as varchar), 'N.A.'), coalesce(cast((bh + 50) // 100 as varchar), 'N.A.'),
           coalesce(cast(cast(dev as decimal(18,0)) * 0.01 as varchar), 'N.A.'), coalesce(cast((h + 50) // 100 as varchar), '0'), test_result) as line where wl_name not like '%RWITHD%'""",
 }
+PROMOTED = """(from test_result select 'S3' as storage_version, 'E3' as engine_version, s_id, adj_s_id, action_type, action_target, stream, status, duration
+        where tr_id in (104, 105, 106))"""
+SQL["stored_baseline"] = f"""(from test_baseline select storage_version, engine_version, s_id, adj_s_id, action_type, action_target, stream, status, duration) union all {PROMOTED}"""
+SQL["detail_vs_promoted"] = f"with {detail(res(103, 103), pre(PROMOTED, '', False))} {OUT}"
 SQL = {f"runs_{k}": with_tables(v) for k, v in SQL.items()}

@@ -104,3 +104,10 @@ SQL["telemetry_monitor_windows"] = run("from win", RANGE)
 SQL["telemetry_monitor_nodes"] = run(f"from node select run_id, hostname, role, timeslot, begintime, segnum, {DBL}", RANGE)
 SQL["telemetry_monitor_hosts"] = run(PIVOT, RANGE)
 SQL["telemetry_monitor_master"] = run(MASTER, RANGE)
+ONE = "run_id = 1"
+NODES = f"from node select run_id, hostname, role, timeslot, begintime, segnum, {DBL}"
+FRAMES = {"windows": "from win", "nodes": NODES, "hosts": PIVOT, "segments": SEGSTAT, "master": MASTER}
+PARTS = [f"(from {n} select '{kind}' as kind, '{n}' as name, count(*) as n where run_id {sign} 1)" for n in ("run_spans", "master_samples", "worker_samples") for kind, sign in (("left", "<>"), ("moved", "="))]
+PARTS += [f"(from ({v}) select 'frame' as kind, '{k}' as name, count(*) as n)" for k, v in FRAMES.items()]
+SQL["telemetry_archive"] = run(" union all ".join(PARTS), ONE)
+SQL["telemetry_archive_segments"] = run(SEGSTAT, ONE)

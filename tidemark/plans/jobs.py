@@ -192,7 +192,7 @@ def stream_load(spark: SparkSession, sf: str) -> DataFrame:
     """Continuous load of delimited files with rejects."""
     target = new_folder(spark, "streamed")
     loads.load_batches(loads.delimited_stream(spark, _text_lineitem(spark, sf), LINE, files_per_batch=4), target, new_folder(spark, "checkpoint"), limit_percent=50)
-    bad = spark.read.schema("file string, line string").parquet(f"{target}/rejects").agg(
+    bad = spark.read.schema(load.REJECTS).parquet(f"{target}/rejects").agg(
         F.lit("rejected").alias("l_returnflag"), F.count("*").alias("n"), F.lit(None).cast("double").alias("price"), F.lit(None).cast("timestamp_ntz").alias("last_ship"))
     return _totals(spark.read.schema(LINE).parquet(f"{target}/rows")).unionByName(bad)
 

@@ -7,7 +7,7 @@ from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import jobs, micro, retail, runs, telemetry, tpcds, tpch
+from tidemark.plans import baselines, jobs, micro, monitor_archive, retail, runs, telemetry, tpcds, tpch
 from tidemark.sources.tables import monitor_tables, retail_tables, tpcds_tables, tpch_tables
 
 
@@ -39,5 +39,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out |= {n: bind(q, tpcds_tables) for n, q in tpcds.QUERIES.items()}
     out |= {n: bind(q, monitor_tables) for n, q in runs.QUERIES.items()}
     out |= {n: bind(q, monitor_tables) for n, q in telemetry.QUERIES.items()}
+    out |= {n: bind(q, monitor_tables) for n, q in baselines.QUERIES.items()}
+    out |= {n: bind(q, monitor_tables) for n, q in monitor_archive.QUERIES.items()}
     out |= jobs.QUERIES
     return out

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 # Storage names of the old engine and what they map to.
 FORMATS = {"PARQUET": "parquet", "COLUMN": "orc", "ROW": "csv"}
 CODECS = {"QUICKLZ": "snappy", "SNAPPY": "snappy", "ZLIB": "gzip", "GZIP": "gzip", "ZSTD": "zstd", "NONE": "none"}
@@ -86,6 +90,25 @@ def write_table(df: DataFrame, table: str, layout: Layout = Layout(), mode: str
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
+@contextmanager
+def only_written_folders(spark: SparkSession) -> Iterator[None]:
+    """An overwrite replaces the partitions it has rows for, and no others."""
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
+def replace_partitions(rows: DataFrame, table: str, *gather: str) -> None:
+    """Replaces the partitions of a stored table that `rows` has rows for; the rows of each
+    are gathered by the columns `gather`. The table may be one that `rows` reads."""
+    spark = rows.sparkSession
+    with only_written_folders(spark):
+        rows.select(*spark.table(table).columns).hint("rebalance", *gather).write.mode("overwrite").insertInto(table)
+
+
 def write_files(df: DataFrame, path: str, layout: Layout = Layout(), mode: str = "overwrite") -> None:
     if layout.bucket_by:
         raise ValueError("bucketing needs a table; use write_table")
@@ -131,8 +154,8 @@ def move_to_history(spark: SparkSession, table: str, history: str, run: str, fir
 
     `table` is partitioned by the column `run`; rows of one run no longer change. The
     history is partitioned by batch_id and run. The caller names the batch: a rerun under
-    the same name, after a failure at any point, replaces what the first try has written;
-    another name adds rows, also if they are equal to those of an earlier batch. Of the
+    the same name, after a failure at any point, replaces what the first try has written of
+    the runs that are still in the source, and leaves those already moved; another name adds rows, also if they are equal to those of an earlier batch. Of the
     source only the moved runs' partitions are emptied, so other runs may be loaded
     meanwhile.
     """
@@ -142,11 +165,7 @@ def move_to_history(spark: SparkSession, table: str, history: str, run: str, fir
         return
     moved = rows.withColumn("batch_id", F.lit(batch_id))
     if spark.catalog.tableExists(history):
-        own = [c for c in spark.table(history).columns if c not in ("batch_id", run)]
-        view = f"{table.replace('.', '_')}_moved"
-        moved.select(*own, run).hint("rebalance", run).createOrReplaceTempView(view)
-        spark.sql(f"insert overwrite table {history} partition (batch_id = '{batch_id}', {run}) select * from {view}")
-        spark.catalog.dropTempView(view)
+        replace_partitions(moved, history, run)
     else:
         columns = [c for c in rows.columns if c != run] + ["batch_id", run]
         write_table(moved.select(*columns), history, Layout(partition_by=("batch_id", run)))

@@ -37,3 +37,32 @@ def settle(df: DataFrame) -> DataFrame:
     from there: its lineage ends and a lost executor costs nothing."""
     use_checkpoints(df.sparkSession)
     return df.checkpoint()
+
+
+def _files(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    fs, path = _files(spark, folder)
+    return fs.exists(path)
+
+
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder, in order; none if it is not there."""
+    fs, path = _files(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder to a path that is free. Folders above the target are made."""
+    fs, path = _files(spark, target)
+    fs.mkdirs(path.getParent())
+    if fs.exists(path) or not fs.rename(_files(spark, source)[1], path):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    fs, path = _files(spark, folder)
+    fs.delete(path, True)

@@ -19,15 +19,14 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.sources.layout import replace_partitions
+
 SPAN, BATCH = "span", "batch"
 SPANS = "spans"
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 #: The batch of rows that a change of grains has brought together.
 MERGED = "merged"
 DAYS_A_WEEK = 7
@@ -83,24 +82,6 @@ class Grains:
                 .otherwise(name("open", weekly, end)))
 
 
-@contextmanager
-def _only_written_folders(spark: SparkSession) -> Iterator[None]:
-    """An overwrite replaces the folders it has rows for, and no others."""
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
-
-
-def _inserted(rows: DataFrame, table: str) -> None:
-    """Replaces the folders that `rows` has rows for."""
-    spark = rows.sparkSession
-    with _only_written_folders(spark):
-        rows.select(*spark.table(table).columns).hint("rebalance", SPAN, BATCH).write.mode("overwrite").insertInto(table)
-
-
 @dataclass(frozen=True)
 class SpanFact:
     """A stored fact: its table, time column and key column."""
@@ -178,12 +159,12 @@ class SpanFact:
         # one row per folder
         hit = {(r[SPAN], r[BATCH]): r.n for r in earlier.select(SPAN, BATCH, self.key).join(keys, [SPAN, self.key], "left_semi").groupBy(SPAN, BATCH).agg(F.count("*").alias("n")).collect()}
         if not hit:
-            _inserted(new, self.table)
+            replace_partitions(new, self.table, SPAN, BATCH)
             return
         held = F.concat_ws("/", SPAN, BATCH).isin([f"{span}/{b}" for span, b in hit])
         sizes = {(r[SPAN], r[BATCH]): r.n for r in earlier.filter(held).groupBy(SPAN, BATCH).agg(F.count("*").alias("n")).collect()}
         kept = earlier.filter(held).join(keys, [SPAN, self.key], "left_anti")
-        _inserted(kept.unionByName(new), self.table)
+        replace_partitions(kept.unionByName(new), self.table, SPAN, BATCH)
         # a folder that keeps no row is not among those written
         own._emptied([f for f, n in hit.items() if sizes[f] == n])
 
@@ -196,7 +177,7 @@ class SpanFact:
         now, then = set(self.grains().names()), set(grains.names())
         if now != then:
             moving = self._open().filter(F.col(SPAN).isin(sorted(now - then)))
-            _inserted(moving.withColumn(SPAN, grains.name_of(self.ts)).withColumn(BATCH, F.lit(MERGED)), self.table)
+            replace_partitions(moving.withColumn(SPAN, grains.name_of(self.ts)).withColumn(BATCH, F.lit(MERGED)), self.table, SPAN)
             self._set(grains)
         self.drop_waste()
 

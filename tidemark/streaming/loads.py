@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.sources.load import RAW, Delimited, PIPE, accepted, enforce_limit, judged, rejected
+from tidemark.sources.load import RAW, Delimited, PIPE, stage
 
 
 def file_stream(spark: SparkSession, folder: str, schema: str, files_per_batch: int = 100, name_filter: str | None = None) -> DataFrame:
@@ -24,7 +24,8 @@ def file_stream(spark: SparkSession, folder: str, schema: str, files_per_batch:
 
 
 def delimited_stream(spark: SparkSession, folder: str, schema: str, fmt: Delimited = PIPE, files_per_batch: int = 100) -> DataFrame:
-    return judged(spark.readStream.schema(f"{schema}, {RAW} string").options(**fmt.options()).option("maxFilesPerTrigger", files_per_batch).csv(folder))
+    rows = spark.readStream.schema(f"{schema}, {RAW} string").options(**fmt.options()).option("maxFilesPerTrigger", files_per_batch).csv(folder)
+    return rows.withColumn("_file", F.col("_metadata.file_path"))
 
 
 def run_to_end(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -58,12 +59,16 @@ def running_counts(spark: SparkSession, target: str) -> DataFrame:
 
 
 def load_batches(stream: DataFrame, target: str, checkpoint: str, limit_percent: float | None = None) -> None:
-    """Loads delimited batches: good rows, and rejected lines apart. A batch over
-    the limit stops the stream before anything of it is written."""
+    """Loads delimited batches: good rows, and rejected lines (REJECTS) apart. A batch is read
+    once, to a folder whose parts are then renamed; one over the limit stops the stream
+    before anything of it is in its place."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stream.schema.fields if f.name not in (RAW, "_file"))
+
     def on_batch(rows: DataFrame, batch_id: int) -> None:
-        if limit_percent is not None:
-            enforce_limit(rows, limit_percent=limit_percent)
-        accepted(rows).write.mode("overwrite").parquet(_place(target, "rows", checkpoint, batch_id))
-        rejected(rows).write.mode("overwrite").parquet(_place(target, "rejects", checkpoint, batch_id))
+        staged = stage(rows, schema, _place(target, "staged", checkpoint, batch_id))
+        staged.enforce(limit_percent=limit_percent)
+        staged.move(False, _place(target, "rows", checkpoint, batch_id))
+        staged.move(True, _place(target, "rejects", checkpoint, batch_id))
+        staged.remove()
 
     run_to_end(stream, on_batch, checkpoint)

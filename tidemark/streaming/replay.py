@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.sources.shared import move_folder, subfolders
 from tidemark.sources.spans import SpanFact
 from tidemark.streaming.loads import file_stream
 
@@ -25,27 +26,17 @@ def hold_out(rows: DataFrame, ts: str, folder: str) -> None:
     rows.withColumn(DAY, F.col(ts).cast("date")).hint("rebalance", DAY).write.partitionBy(DAY).parquet(folder)
 
 
-def _files(spark: SparkSession, folder: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
-
-
 def days_held(spark: SparkSession, folder: str) -> list[str]:
     """Days that wait for delivery, in order: a name each, no data."""
-    fs, path = _files(spark, folder)
-    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-    return sorted(n for n in names if n.startswith(f"{DAY}="))
+    return [n for n in subfolders(spark, folder) if n.startswith(f"{DAY}=")]
 
 
 def deliver(spark: SparkSession, folder: str, inbox: str, days: int) -> list[str]:
     """Moves the first `days` folders that wait to the inbox, in order. A move is one rename:
     a day is there or waits, and a call after a failure goes on with the next."""
-    fs, _ = _files(spark, folder)
-    fs.mkdirs(_files(spark, inbox)[1])
     moved = days_held(spark, folder)[:days]
     for name in moved:
-        if not fs.rename(_files(spark, f"{folder}/{name}")[1], _files(spark, f"{inbox}/{name}")[1]):
-            raise OSError(f"{name} could not be moved to {inbox}")
+        move_folder(spark, f"{folder}/{name}", f"{inbox}/{name}")
     return moved
 
 
