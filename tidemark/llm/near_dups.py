@@ -4,7 +4,7 @@ A text's set holds its distinct shingles of five words. Texts with equal sets ar
 one document from the start. For the others, `TREES` independent trees branch: the
 root of a tree picks `BRANCHES` of a text's minwise shingles, and each value is a
 node; texts that meet in a node are candidates. Small nodes are compared
-exhaustively by signatures; of large ones, those that one class of linked texts
+exhaustively by signatures, of which a byte per minwise shingle is kept; of large ones, those that one class of linked texts
 fills compare the few others with everything, and the rest branch again by further
 minwise shingles. All that signatures let pass is confirmed on full sets.
 
@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.tables import stored
+from tidemark.llm.tables import removed, stored
 from tidemark.llm.words import mix, shingles_of, words_of
 from tidemark.llm.workers import importable
 from tidemark.sources.shared import new_folder, use_checkpoints
@@ -48,6 +48,9 @@ BROADCAST_IDS = 4_000_000
 #: Links per task while classes are formed, and tasks at least.
 LINKS_PER_TASK, MIN_TASKS = 200_000, 6
 
+#: Minwise shingles that the trees' roots pick.
+ROOTS = np.random.default_rng(7).permutation(SIGNATURE)[:TREES * BRANCHES]
+
 _A = mix(np.arange(1, SIGNATURE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _B = mix(np.arange(1001, SIGNATURE + 1001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -71,11 +74,14 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in words_of(batch.column(1)):
             sets = shingles_of(words, WORDS)
             signs = signatures(sets)
-            keys = [(int(s.sum(dtype=np.uint64)), int(mix(s).sum(dtype=np.uint64))) for s in sets]
+            roots = signs[:, ROOTS].astype(np.int64)
+            offsets = np.arange(len(sets) + 1, dtype=np.int32) * len(ROOTS)
+            keys = [b"".join(int(x.sum(dtype=np.uint64)).to_bytes(8, "big") for x in (s, mix(s))) for s in sets]
             yield pa.RecordBatch.from_arrays([
                 ids.slice(words.first_row, words.rows), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([f"{a:016x}{b:016x}" for a, b in keys], pa.string()), pa.array([r.tobytes() for r in signs], pa.binary())],
-                names=["doc_id", "n_shingles", "set_key", "signature"])
+                pa.array(keys, pa.binary()), pa.array([r.tobytes() for r in signs.astype(np.uint8)], pa.binary()),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(roots.ravel()))],
+                names=["doc_id", "n_shingles", "set_key", "signature", "roots"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,21 +96,21 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sketches(docs: DataFrame, folder: str) -> DataFrame:
-    """(doc_id, n_shingles, set_key, signature) of every row, written to `folder`."""
+    """(doc_id, n_shingles, set_key, signature, roots) of every row, written to `folder`:
+    the least byte of each minwise shingle, and all of those that roots pick."""
     made = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _sketch, "doc_id long, n_shingles long, set_key string, signature binary")
+        _sketch, "doc_id long, n_shingles long, set_key binary, signature binary, roots array<long>")
     return stored(made, folder)
 
 
 def _minwise(position: Column) -> Column:
-    """A minwise shingle: the signature's 4 bytes at a position from 0."""
-    return F.substring(F.col("signature"), position * 4 + 1, F.lit(4))
+    """The kept byte of the minwise shingle at a position from 0."""
+    return F.substring(F.col("signature"), position + 1, F.lit(1))
 
 
 def _roots(texts: DataFrame) -> DataFrame:
     """(node, doc_id): each tree's root picks its own positions."""
-    picked = np.random.default_rng(7).permutation(SIGNATURE)[:TREES * BRANCHES].tolist()
-    nodes = F.array(*[F.xxhash64(F.lit(f"tree {i // BRANCHES} by {p}"), _minwise(F.lit(p))) for i, p in enumerate(picked)])
+    nodes = F.array(*[F.xxhash64(F.lit(f"tree {i // BRANCHES} by {p}"), F.col("roots")[i]) for i, p in enumerate(ROOTS.tolist())])
     return texts.select("doc_id", F.explode(nodes).alias("node"))
 
 
@@ -122,7 +128,9 @@ def _shared(members: DataFrame) -> DataFrame:
 
 
 def passing(percent: int) -> int:
-    """Equal minwise shingles that a pair must have to be confirmed on full sets."""
+    """Equal bytes of minwise shingles that a pair must have to be confirmed on full sets.
+    Shingles that differ share their byte once in 256, so that a pair at the threshold has
+    rather more than its share; the mark is that of equal shingles."""
     p = percent / 100
     return max(1, int(SIGNATURE * (p - SLACK * (p * (1 - p) / SIGNATURE) ** 0.5)))
 
@@ -159,7 +167,7 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[t
 def _passing_pairs(table: pa.Table, bounds: list[tuple[int, int]], percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, places a and b, likeliest first) of each part's pairs of different
     labels that pass by size and signature; one of the two asks."""
-    sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, SIGNATURE)
+    sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, SIGNATURE)
     sizes, labels, asking = (table.column(c).to_numpy() for c in ("n_shingles", "label", "asks"))
     least = passing(percent)
     for first, end in bounds:
@@ -283,7 +291,9 @@ def _settled(docs: DataFrame, members: DataFrame, texts: DataFrame, percent: int
         return involved.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
     sets = _sets_of(docs, stored(involved.select("doc_id").distinct(), f"{folder}/ids"), f"{folder}/sets")
     asked = _by_part(members.join(involved, ["node", "part", "doc_id"], "left_semi").join(sets, "doc_id"), texts)
-    return stored(asked.mapInArrow(_links_in(percent), "a long, b long").distinct(), f"{folder}/links")
+    links = stored(asked.mapInArrow(_links_in(percent), "a long, b long").distinct(), f"{folder}/links")
+    removed(docs.sparkSession, *[f"{folder}/{name}" for name in ("members", "involved", "ids", "sets")])
+    return links
 
 
 def _pivoted(large: DataFrame) -> DataFrame:
@@ -308,7 +318,9 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, folder: str) ->
     common = F.size(F.array_intersect("set_a", "set_b"))
     linked = both.select("a", "b", common.alias("common"), (F.size("set_a") + F.size("set_b")).alias("total")).filter(
         100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b")
-    return stored(linked, f"{folder}/links")
+    links = stored(linked, f"{folder}/links")
+    removed(docs.sparkSession, *[f"{folder}/{name}" for name in ("pairs", "ids", "sets")])
+    return links
 
 
 def classes(links: DataFrame) -> DataFrame:
@@ -354,11 +366,12 @@ def linked_classes(docs: DataFrame, percent: int = 80) -> DataFrame:
     every = sketches(docs, f"{folder}/sketches")
     usable = every.filter("doc_id is not null and n_shingles > 0")
     # Equal sets: one document stands for all.
-    texts = stored(usable.groupBy("set_key", "signature", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), f"{folder}/texts")
+    texts = stored(usable.groupBy("set_key", "signature", "roots", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), f"{folder}/texts")
     stands = texts.filter("copies > 1").select("set_key", F.col("doc_id").alias("a"))
     links = [usable.select("set_key", F.col("doc_id").alias("b")).join(stands, "set_key").select("a", "b").filter("a <> b")]
 
     members = _roots(texts)
+    texts = texts.drop("roots", "set_key", "copies")
     found: list[DataFrame] = []
     labels, depth = None, 0
     while True:
@@ -382,6 +395,7 @@ def linked_classes(docs: DataFrame, percent: int = 80) -> DataFrame:
         if deeper.isEmpty():
             break
         members = _children(deeper.select("node", "doc_id"), texts)
+        removed(spark, f"{folder}/members-{depth - 1}")
     labels = classes(reduce(DataFrame.union, [*found, *links]))
     return every.select("doc_id", "n_shingles").join(labels, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"),

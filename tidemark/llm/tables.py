@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def stored(df: DataFrame, folder: str) -> DataFrame:
@@ -10,3 +10,10 @@ def stored(df: DataFrame, folder: str) -> DataFrame:
     there, whatever happens to executors."""
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def removed(spark: SparkSession, *folders: str) -> None:
+    """Deletes tables whose last reader has written its own result."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
