@@ -15,18 +15,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.recurrent import LANES, Adam, Bidirectional, gathered, windows_of
+from tidemark.llm.samples import least_hashed, window_at
 from tidemark.llm.words import chunks
 from tidemark.llm.workers import importable
 
 UNKNOWN = "und"
 HIDDEN = 8
-#: Labelled rows that training sees at most, and characters of each.
+#: Labelled rows that training sees at most, and characters of the window of each.
 TRAINING_ROWS, TRAINING_CHARS = 3000, 1500
 STEPS, BATCH, TRAINING_WINDOW, RATE = 450, 256, 48, 0.02
 #: Bytes per window when texts are read.
 WINDOW = 128
-#: Score below which a document is in none of the languages, for a filter.
-LEAST_SCORE = 0.4
+#: A document whose score is below so many times the chance of a guess is in none of the
+#: languages, for a filter.
+LEAST_SCORE = 1.2
 
 
 class LanguageModel:
@@ -96,9 +98,11 @@ def held_out(doc_id: Column) -> Column:
 
 def trained(rows: DataFrame, limit: int = TRAINING_ROWS) -> LanguageModel | None:
     """A model of `limit` rows of (doc_id, text, lang) at most, chosen by a hash of the id
-    and text; none without labels. The sample is the same on every run."""
-    known = rows.filter("lang is not null and length(text) > 0").select("lang", F.substring("text", 1, TRAINING_CHARS).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
-    sample = known.orderBy("h", "lang", "text").limit(limit).collect()
+    and text, and of a window anywhere in each; none without labels. The sample is the
+    same on every run."""
+    hashed = rows.filter("lang is not null and length(text) > 0").withColumn("h", F.xxhash64("doc_id", "text"))
+    known = hashed.select("lang", window_at("text", TRAINING_CHARS, F.xxhash64("h")).alias("text"), "h")
+    sample = least_hashed(known, limit, "lang", "text")
     languages = sorted({r.lang for r in sample})
     if not languages:
         return None
@@ -136,10 +140,13 @@ def identified(docs: DataFrame, model: LanguageModel | None, names: tuple[str, s
 
 def in_a_language(docs: DataFrame) -> DataFrame:
     """Rows of `docs` (documents) that are in one of the languages learned from those of
-    them that are not held out."""
+    them that are not held out. Rejected are null texts, texts without a letter, and those
+    whose best language has a score below LEAST_SCORE times that of a guess; without any
+    label all are."""
     model = trained(docs.filter(~held_out(F.col("doc_id"))))
+    least = LEAST_SCORE / len(model.languages) if model else 1.0
     names = ("__language", "__language_score")
-    return identified(docs, model, names).filter((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= LEAST_SCORE)).drop(*names)
+    return identified(docs, model, names).filter((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).drop(*names)
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,12 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.recurrent import LANES, Adam, Bidirectional, gathered, windows_of
+from tidemark.llm.samples import least_hashed, window_at
 from tidemark.llm.words import chunks
 from tidemark.llm.workers import importable
 
 KINDS = ("email", "ip", "card", "phone")
 HIDDEN = 8
-#: Rows that training sees at most, with and without spans, and characters of each.
+#: Rows that training sees at most, with and without spans, and characters of the window of each.
 TRAINING_ROWS, TRAINING_CHARS = 2500, 6000
 STEPS, BATCH, TRAINING_WINDOW, RATE = 350, 128, 64, 0.02
 #: Characters per window when texts are read, and of the overlap of two.
@@ -322,11 +323,12 @@ class PersonalModel:
 
 
 def trained(rows: DataFrame, limit: int = TRAINING_ROWS) -> PersonalModel:
-    """A model from `limit` texts at most, four in five with digits or an @, chosen by a
-    hash of the text: the same on every run."""
-    known = rows.filter("length(text) > 0").select(F.substring("text", 1, TRAINING_CHARS).alias("text"), F.xxhash64("text").alias("h"))
-    marked = known.filter(F.col("text").rlike("[0-9]{4}|@|[0-9][.][0-9]")).orderBy("h", "text").limit(limit * 4 // 5).collect()
-    plain = known.orderBy("h", "text").limit(limit // 5).collect()
+    """A model from `limit` rows of (doc_id, text) at most, four in five with digits or an @,
+    chosen by a hash of the row, and of a window anywhere in each: the same on every run."""
+    hashed = rows.filter("length(text) > 0").withColumn("h", F.xxhash64("doc_id", "text"))
+    known = hashed.select(window_at("text", TRAINING_CHARS, F.xxhash64("h")).alias("text"), "h")
+    marked = least_hashed(known.filter(F.col("text").rlike("[0-9]{4}|@|[0-9][.][0-9]")), limit * 4 // 5, "text")
+    plain = least_hashed(known, limit // 5, "text")
     return PersonalModel().train([r.text for r in [*marked, *plain]])
 
 
