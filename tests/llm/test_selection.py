@@ -3,6 +3,7 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from check import compare, open_duckdb
@@ -81,6 +82,35 @@ def test_shards(spark, monkeypatch, cell):
     assert by["size"].max() < (1.1 if cell > 60 else 1.6) * by["size"].mean()
 
 
+def test_many_shards_of_few_groups(spark):
+    """More shards than groups, and cells with fewer groups than bins: levels must shrink."""
+    rows = spark.range(3000).selectExpr("id as doc_id", "concat('text ', id) as text")
+    got = sharding.sharded(rows, 5000).toPandas()
+    assert len(got) == 3000 and got.groupby("shard").size().max() == 1
+
+
+@pytest.mark.parametrize("groups, shards", [(1000, 40), (6000, 600), (900, 100)])
+def test_levels_shrink(spark, monkeypatch, groups, shards):
+    monkeypatch.setattr(sharding, "CELL", 60)
+    rows = spark.range(groups).selectExpr("id as doc_id", "concat('some words of text ', id) as text")
+    got = sharding.sharded(rows, shards).groupBy("shard").count().toPandas()
+    assert got["count"].sum() == groups and len(got) == shards
+
+
+def test_packing_against_brute_force():
+    """Each item goes where the product of its measures with the room left is highest."""
+    rng = np.random.default_rng(3)
+    for bins in (1, 3, 10):
+        m = rng.random((200, 3))
+        m /= m.sum(axis=0)
+        room, want = [[1 / bins] * 3 for _ in range(bins)], {}
+        for i in sorted(range(200), key=lambda i: (-max(m[i]), i)):
+            products = [sum(r * x for r, x in zip(row, m[i])) for row in room]
+            want[i] = max(range(bins), key=lambda b: (products[b], -b))
+            room[want[i]] = [r - x for r, x in zip(room[want[i]], m[i])]
+        assert sharding.pack(m, bins).tolist() == [want[i] for i in range(200)]
+
+
 def test_shards_of_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(sharding, "NUMBERED", 20)
     rows = [(i, "same text " * 50) for i in range(3000)] + [(i, f"t {i}") for i in range(3000, 4000)] + [(None, None), (None, ""), (7, "x"), (7, "x")]

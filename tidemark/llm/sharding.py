@@ -7,7 +7,7 @@ the shard's residual capacity is highest, so that what a shard lacks most decide
 
 Packing runs in parallel: groups are dealt into cells of bounded size, each cell packs
 its own into bins, and the bins are packed again, until one cell is left, which packs
-into shards. A group larger than a part of a shard is split by row id beforehand.
+into shards. A group of more bytes than a shard is split by row id beforehand.
 """
 
 from __future__ import annotations
@@ -24,11 +24,11 @@ from tidemark.sources.shared import new_folder
 SHARDS = 40
 #: Bytes that each row costs besides its text.
 ROW_BYTES = 16
-#: Groups packed by one task.
+#: Groups packed by one task, or twice the bins it packs into if those are more.
 CELL = 20_000
 #: Bins per shard that a cell packs into while there are several cells.
 BINS = 4
-#: A group or piece holds at most this part of a shard.
+#: Pieces of a group of more bytes than a shard hold at most this part of one.
 PIECE = 1 / 4
 #: Rows numbered by one task.
 NUMBERED = 100_000
@@ -58,10 +58,12 @@ def _packer(bins: int):
 
 
 def _packed(items: DataFrame, shards: int, folder: str) -> DataFrame:
-    """(item, shard) of items (item, bytes, words, n)."""
+    """(item, shard) of items (item, bytes, words, n). A cell has at least twice as many
+    items as bins, so that each level has fewer items than the one before."""
     maps, level, n = [], 0, items.count()
+    width = max(CELL, 2 * shards * BINS)
     while True:
-        cells = -(-n // CELL)
+        cells = -(-n // width)
         bins = shards if cells <= 1 else shards * BINS
         dealt = items.withColumn("cell", F.pmod(F.xxhash64("item", F.lit(level)), F.lit(max(cells, 1))))
         into = stored(dealt.groupBy("cell").applyInPandas(_packer(bins), "item string, bin long"), f"{folder}/level-{level}")
@@ -69,7 +71,9 @@ def _packed(items: DataFrame, shards: int, folder: str) -> DataFrame:
         if cells <= 1:
             break
         items = stored(items.join(into, "item").groupBy(F.col("bin").cast("string").alias("item")).agg(*[F.sum(m).alias(m) for m in MEASURES]), f"{folder}/bins-{level}")
-        level, n = level + 1, items.count()
+        before, level, n = n, level + 1, items.count()
+        if n >= before:
+            raise RuntimeError(f"level {level} of the packing has {n} items after {before}")
     out = maps[0]
     for upper in maps[1:]:
         out = out.join(upper.select(F.col("item").cast("long").alias("bin"), F.col("bin").alias("up")), "bin").select("item", F.col("up").alias("bin"))
@@ -79,8 +83,8 @@ def _packed(items: DataFrame, shards: int, folder: str) -> DataFrame:
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, words, shard, slot) of every row of (doc_id, text).
 
-    A null text counts as an empty one. Equal texts share a shard unless their group
-    exceeds a quarter of one by any measure; such a group is split by row id, and rows
+    A null text counts as an empty one. Equal texts share a shard unless their group has
+    more bytes than an equal share of all; such a group is split by row id, and rows
     that repeat an id stay together. Slots number the rows of a shard from 0 without
     gaps. An empty table gives an empty result.
     """
@@ -94,9 +98,9 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     total = rows.agg(F.sum("size"), F.sum("words"), F.count("*")).first()
     if not total[2]:
         return _numbered(rows.withColumn("shard", F.lit(0)), 0)
-    share = F.greatest(*[F.col(m) / float(t or 1) for m, t in zip(MEASURES, total)])
-    # At most len(MEASURES) * shards / PIECE groups are that large.
-    large = groups.withColumn("pieces", F.ceil(share * shards / PIECE).cast("int")).filter("pieces > 1").select("key", "pieces")
+    # Fewer groups than shards are that large.
+    shares = F.col("bytes") / float(total[0]) * shards
+    large = groups.filter(shares > 1).select("key", F.ceil(shares / PIECE).cast("int").alias("pieces"))
     piece = F.when(F.col("pieces").isNull(), F.col("key")).otherwise(F.concat_ws("/", "key", F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("string")))
     itemed = stored(rows.join(F.broadcast(large), "key", "left").withColumn("item", piece).drop("key", "pieces"), f"{folder}/items")
     items = itemed.groupBy("item").agg(F.sum("size").alias("bytes"), F.sum("words").alias("words"), F.count("*").alias("n"))
