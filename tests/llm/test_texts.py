@@ -123,3 +123,29 @@ def test_pipeline_against_brute_force(spark):
     assert len(after) > len(before) > len(set(after)) * 0.9 and max(after.count(x) for x in set(after)) == 2
     last = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
     assert last.count() == len(after)
+
+
+def test_rows_of_one_id_with_different_texts_stay(spark):
+    one, two = "the first text is about rivers and old towns of the north", "another one tells of seven quiet stars and cold metal rings"
+    rows = [(1, one, "en"), (1, two, "en"), (1, two, "de"), (2, one, "en"), (3, None, "en"), (3, "short", "en"), (None, two, "en"), (None, "nothing else", "en"), (None, "nothing else", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    left = corpus_pipeline.remove_near_duplicates(spark, docs, "")
+    assert left.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in left.collect()), key=str)
+    assert len(got) == 5 and len({t for _, t in got}) == 5 and {(3, None), (3, "short"), (None, "nothing else")} <= set(got)
+    held = " ".join(spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").first().text.split())
+    docs = spark.createDataFrame([(1, held), (1, one)], "doc_id long, text string")
+    assert [r.text for r in corpus_pipeline.remove_contaminated(spark, docs, "/root/testdata/sf0.001").collect()] == [one]
+
+
+def test_training_rows_are_a_bounded_sample(spark):
+    from tidemark.llm.samples import least_hashed, window_at
+
+    rows = spark.range(5000).select(F.xxhash64("id").alias("h"), F.concat_ws(" ", F.sequence(F.lit(1), F.lit(300))).alias("text")).repartition(16)
+    got = least_hashed(rows, 100)
+    assert [r.h for r in got] == sorted(r.h for r in rows.collect())[:100]
+    assert len(least_hashed(rows, 9000)) == 5000
+    starts = {r.w for r in rows.select(window_at("text", 5, F.xxhash64("h")).alias("w")).collect()}
+    assert len(starts) > 500 and all(len(w) == 5 for w in starts)
+    short = spark.createDataFrame([("abc",), ("",)], "text string").select(window_at("text", 5, F.lit(7)).alias("w")).collect()
+    assert [r.w for r in short] == ["abc", ""]
