@@ -6,7 +6,7 @@ it has written. All but the last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.decontaminate import benchmark_items, contaminated
 from tidemark.llm.language import in_a_language
@@ -21,16 +21,22 @@ SIMILAR = 80
 KEY = "__document"
 
 
-def _key() -> Column:
-    """A document's id; of a row without one, a hash of its text."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+def _keyed(docs: DataFrame, folder: str) -> DataFrame:
+    """Adds KEY, equal for rows of one document: the id; a hash of the id and the text where
+    rows with one id have different texts, and of the text where there is no id."""
+    digests = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("lo"), F.max(F.xxhash64("text")).alias("hi"))
+    shared = stored(digests.filter("lo <> hi").select(F.col("doc_id").alias("__shared")), f"{folder}/shared-ids")
+    few = shared.count() <= BROADCAST_IDS
+    marked = docs.join(F.broadcast(shared) if few else shared, F.col("doc_id") == F.col("__shared"), "left")
+    own = F.when(F.col("__shared").isNotNull(), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id").cast("long"))
+    return marked.withColumn(KEY, F.coalesce(own, F.xxhash64("text"))).drop("__shared")
 
 
-def _without(docs: DataFrame, removed: DataFrame, folder: str) -> DataFrame:
-    """Rows of `docs` whose key is not among `removed` (doc_id)."""
+def _without(keyed: DataFrame, removed: DataFrame, folder: str) -> DataFrame:
+    """Rows whose KEY is not among `removed` (doc_id)."""
     gone = stored(removed.select(F.col("doc_id").alias("__gone")).distinct(), folder)
     few = gone.count() <= BROADCAST_IDS
-    return docs.withColumn(KEY, _key()).join(F.broadcast(gone) if few else gone, F.col(KEY) == F.col("__gone"), "left_anti").drop(KEY)
+    return keyed.join(F.broadcast(gone) if few else gone, F.col(KEY) == F.col("__gone"), "left_anti")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,25 +45,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class, that of the least id. Of rows that repeat an id the
-    one of the least text digest stays."""
+    """One document of each class, that of the least id. Rows with one id but different
+    texts are documents of their own; of rows that repeat an id and a text one stays."""
     folder = new_folder(spark, "dedup")
-    classes = stored(linked_classes(docs.select(_key().alias("doc_id"), "text"), SIMILAR), f"{folder}/classes")
-    left = _without(docs, classes.filter("not kept"), f"{folder}/removed")
+    keyed = _keyed(docs, folder)
+    classes = stored(linked_classes(keyed.select(F.col(KEY).alias("doc_id"), "text"), SIMILAR), f"{folder}/classes")
+    left = _without(keyed, classes.filter("not kept"), f"{folder}/removed")
     again = classes.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("__again"))
     if again.isEmpty():
-        return left
-    tagged = left.withColumn(KEY, _key())
-    repeated = tagged.join(again, F.col(KEY) == F.col("__again"), "left_semi")
-    first = Window.partitionBy(KEY).orderBy(F.md5(F.col("text").cast("binary")))
-    one = repeated.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
-    return tagged.join(again, F.col(KEY) == F.col("__again"), "left_anti").unionByName(one).drop(KEY)
+        return left.drop(KEY)
+    repeated = left.join(again, F.col(KEY) == F.col("__again"), "left_semi")
+    return left.join(again, F.col(KEY) == F.col("__again"), "left_anti").unionByName(repeated.dropDuplicates([KEY])).drop(KEY)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no test item."""
-    found = contaminated(docs.select(_key().alias("doc_id"), "text"), benchmark_items(spark, sf_dir))
-    return _without(docs, found, new_folder(spark, "contaminated"))
+    folder = new_folder(spark, "contaminated")
+    keyed = _keyed(docs, folder)
+    found = contaminated(keyed.select(F.col(KEY).alias("doc_id"), "text"), benchmark_items(spark, sf_dir))
+    return _without(keyed, found, f"{folder}/removed").drop(KEY)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
