@@ -80,3 +80,16 @@ def test_empty_table(spark):
 def test_broken_file_is_an_error():
     with pytest.raises(ValueError):
         list(token_files.blocks_of(b"x" * 64))
+
+
+def test_tied_ids_have_one_order(spark):
+    """Whatever partitions the rows come in, and though most share an id or have none."""
+    rows = [(None if i % 3 else 4, f"text {i} of many" * (i % 5)) for i in range(400)] + [(9, "last")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    for parts in (1, 7):
+        folder = new_folder(spark, "ids")
+        token_files.write_token_files(docs.orderBy("text" if parts == 1 else "doc_id").repartition(parts), folder)
+        got = token_files.read_token_files(spark, folder, ids=False).orderBy("part", "chunk", "place").collect()
+        seen.append([(r.doc_id, r.n_tokens, r.ids_crc32) for r in got])
+    assert seen[0] == seen[1] and [d for d, _, _ in seen[0]] == sorted([d for d, _ in rows], key=lambda d: (d is not None, d or 0))

@@ -169,7 +169,8 @@ def blocks_of(content: bytes) -> Iterator[tuple[list[int | None], np.ndarray, np
 
 def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end: int = END) -> None:
     """Writes the ids of every row of (doc_id, text), with `end` after each document, in
-    ascending doc_id, nulls first. A null text is an empty one; it has the end only."""
+    ascending doc_id, nulls first; rows that share an id, or have none, go by a hash of the
+    text, so that reruns agree. A null text is an empty one; it has the end only."""
     importable(docs.sparkSession)
     path = path or vocabulary_path()
 
@@ -212,7 +213,9 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
             yield flush()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # equal and missing ids go by the text, and need not share a partition
+    digest = F.xxhash64("text")
+    ordered = rows.repartitionByRange(F.asc("doc_id"), digest).sortWithinPartitions(F.asc("doc_id"), digest, F.asc("text"))
     write_records(ordered.mapInArrow(encode, "block binary"), "block", folder, ENDING, per_file=BLOCKS)
 
 
