@@ -50,9 +50,10 @@ def _weight(order: Column) -> Column:
     return F.lit(1.0) / (order + 4)
 
 
-def _draw(doc_id: Column, seed: int) -> Column:
-    """Uniform in (0, 1), from 48 bits of a digest of the id."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+def _draw(seed: int) -> Column:
+    """Uniform in (0, 1), from 48 bits of a digest of a row's id and text."""
+    digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("null")), F.lit(":"), digest)
     return (F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
@@ -76,7 +77,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     return chosen.select("source", "source_size", F.coalesce(F.least("limit", F.col("w") * F.col("at.level")), F.col("limit")).alias("target"))
 
 
-def plan(sizes: DataFrame, wanted: DataFrame, seed: int = 7, most: int = MOST) -> DataFrame:
+def plan(sizes: DataFrame, wanted: DataFrame, most: int = MOST) -> DataFrame:
     """(source, order, source_size, target, whole, chance, last_key, last_id, more_key,
     more_id): a document of a source and order of size is taken `whole` times, and once
     more if its (ranking value, id) is at most (last_key, last_id), or (more_key, more_id)."""
@@ -94,7 +95,7 @@ def plan(sizes: DataFrame, wanted: DataFrame, seed: int = 7, most: int = MOST) -
     split = copies.withColumn("whole", F.floor("copies")).withColumn("chance", F.col("copies") - F.col("whole")).withColumn(
         "wanted", F.col("target") - F.sum(F.col("words") * F.col("whole")).over(Window.partitionBy("source"))).select(
         "source", "order", "source_size", "target", "whole", "chance", "wanted")
-    cut = _closed(ranked := _ranked(sized, split, seed), _cuts(ranked))
+    cut = _closed(ranked := _ranked(sized, split), _cuts(ranked))
     return _by_source(split, cut, "left").drop("wanted")
 
 
@@ -105,15 +106,14 @@ def _by_source(left: DataFrame, right: DataFrame, how: str = "inner", *also: str
     return left.join(renamed, [F.col(k).eqNullSafe(F.col(f"{k}_r")) for k in keys], how).drop(*[f"{k}_r" for k in keys])
 
 
-def _key(seed: int, chance: Column) -> Column:
-    u = _draw(F.col("doc_id"), seed)
+def _key(u: Column, chance: Column) -> Column:
     chance = F.nullif(chance, F.lit(0.0))
     return (u / (1 - u)) / (chance / (1 - chance))
 
 
-def _ranked(sized: DataFrame, split: DataFrame, seed: int) -> DataFrame:
+def _ranked(sized: DataFrame, split: DataFrame) -> DataFrame:
     few = split.filter("chance > 0").select("source", "order", "chance", "wanted")
-    joined = _by_source(sized, few, "inner", "order").select("source", "doc_id", "size", "wanted", _key(seed, F.col("chance")).alias("key"))
+    joined = _by_source(sized, few, "inner", "order").select("source", "doc_id", "size", "wanted", _key(F.col("u"), F.col("chance")).alias("key"))
     place = F.col("key") / (1 + F.col("key")) * CELLS
     return joined.withColumn("cell", F.least(F.floor(place), F.lit(CELLS - 1))).withColumn(
         "fine", F.least(F.floor((place - F.col("cell")) * CELLS), F.lit(CELLS - 1)))
@@ -173,9 +173,9 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MO
     spark = docs.sparkSession
     folder = new_folder(spark, "mix")
     id_type = F.col("doc_id").cast("long").alias("doc_id")
-    sizes = stored(docs.select(id_type, F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size")), f"{folder}/sizes")
+    sizes = stored(docs.select(id_type, F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"), _draw(seed).alias("u")), f"{folder}/sizes")
     wanted = stored(targets(sizes, weights, share, most), f"{folder}/targets")
-    by_order = stored(plan(sizes, wanted, seed, most), f"{folder}/plan")
+    by_order = stored(plan(sizes, wanted, most), f"{folder}/plan")
     return _decided(docs, wanted, by_order, seed)
 
 
@@ -186,10 +186,10 @@ def _decided(docs: DataFrame, wanted: DataFrame, by_order: DataFrame, seed: int)
     full = empty.union(by_order.select(*empty.columns))
     full = full.select(*[F.col(c).alias(f"__mix_{c}") for c in full.columns])
     few = full.count() <= BROADCAST_ROWS
-    tagged = docs.withColumn("__mix_size", size_of(F.col("text"))).withColumn("__mix_o", _order(F.col("__mix_size")))
+    tagged = docs.withColumn("__mix_size", size_of(F.col("text"))).withColumn("__mix_o", _order(F.col("__mix_size"))).withColumn("__mix_u", _draw(seed))
     joined = tagged.join(F.broadcast(full) if few else full, F.col("source").cast("string").eqNullSafe(F.col("__mix_source")) & (F.col("__mix_o") == F.col("__mix_order")))
     mix = lambda c: F.col(f"__mix_{c}")
-    key, own_id = _key(seed, mix("chance")), _id()
+    key, own_id = _key(mix("u"), mix("chance")), _id()
     more = (mix("chance") > 0) & ((key < mix("last_key")) | ((key == mix("last_key")) & (own_id <= mix("last_id"))) | ((key == mix("more_key")) & (own_id == mix("more_id"))))
     copies = mix("whole") + F.coalesce(more, F.lit(False)).cast("long")
     kept = [F.col(f"`{c}`") for c in own if c not in ADDED]
@@ -205,7 +205,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = r"""
 with sized as (
-  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents),
+  select doc_id, source, md5(coalesce(text, '')) as digest, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents),
 sources as (select source, sum(size)::bigint as source_size from sized group by source),
 weighed as (
   select *, 2.0::double * source_size as lim, ([3.0, 1.0, 2.0])[1 + place % 3]::double as w
@@ -233,7 +233,7 @@ keyed as (
   select d.doc_id, d.source, d.size, whole, chance, wanted_more,
     case when chance > 0 then (u / (1 - u)) / (chance / (1 - chance)) end as key
   from (select *, case when size > 0 then length(bin(size)) else 0 end as o,
-          (('0x' || substr(md5('7:' || coalesce(doc_id::varchar, 'null')), 1, 12))::bigint::double + 0.5) / 281474976710656.0 as u from sized) d
+          (('0x' || substr(md5('7:' || coalesce(doc_id::varchar, 'null') || ':' || digest), 1, 12))::bigint::double + 0.5) / 281474976710656.0 as u from sized) d
   left join split s on d.source is not distinct from s.source and d.o = s.o),
 summed as (
   select *, sum(case when key is null then 0 else size end) over (partition by source order by key nulls last, doc_id rows unbounded preceding) as upto from keyed),
