@@ -175,3 +175,25 @@ def test_search_finds_all_above_the_threshold():
             want = {s: v for s, v in score.items() if v >= least + 1e-9}
             found = dict(index.retrieve(terms, least))
             assert set(want) <= set(found) and all(abs(found[s] - want[s]) < 1e-9 for s in want)
+
+
+def test_mix_of_rows_without_or_with_equal_ids(spark):
+    """Rows draw by id and text, so that targets are met whatever the ids are."""
+    for doc_id in (None, 5):
+        rows = [(doc_id, f"s{i % 3}", " ".join(f"w{i}x{j}" for j in range(1 + i * 7 % 23))) for i in range(3000)]
+        docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+        got = mixing.mixed(docs).groupBy("source").agg({"mix_target": "first", "mix_copies": "max"}).collect()
+        taken = {r.source: r.n for r in mixing.mixed(docs).selectExpr("source", "mix_copies * mix_size as n").groupBy("source").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n").collect()}
+        assert len(got) == 3 and all(abs(taken[r.source] - r["first(mix_target)"]) <= 0.01 * r["first(mix_target)"] and r["max(mix_copies)"] <= 2 for r in got)
+
+
+def test_items_without_ids_are_spread_over_passes(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PASS_BYTES", 400)
+    items = [(None, " ".join(f"q{i}w{j}" for j in range(12)), f"a{i}") for i in range(30)]
+    frame = spark.createDataFrame(items, "item_id long, question string, answer string")
+    from tidemark.sources.shared import new_folder
+
+    passes = [sum(len(index.items) for index in own) for own in decontaminate.indexes(frame, new_folder(spark, "passes"))]
+    assert sum(passes) == 30 and max(passes) < 15
+    docs = spark.createDataFrame([(i, f"x y {q} z") for i, (_, q, _) in enumerate(items)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in decontaminate.contaminated(docs, frame).collect()) == list(range(30))

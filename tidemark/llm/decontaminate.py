@@ -28,8 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.llm.tables import stored
 from tidemark.llm.words import Words, mix, words_of, _STEPS
 from tidemark.llm.workers import importable
+from tidemark.sources.shared import new_folder
 
 SEGMENT = 64
 #: Share of the words of an item, or of its question, that a contaminated text covers, and
@@ -322,20 +324,21 @@ class Index:
                 yield r, self.items[i], score, shares[0], shares[1]
 
 
-def indexes(items: DataFrame) -> Iterator[list[Index]]:
-    """The indexes of (item_id, question, answer), by pass. Frequencies and the
-    mean length are those of all items."""
+def indexes(items: DataFrame, folder: str) -> Iterator[list[Index]]:
+    """The indexes of (item_id, question, answer), by pass of about PASS_BYTES, whatever the
+    ids are. Frequencies and the mean length are those of all items, and are counted
+    once, in `folder`."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("question", "answer")])
     size = items.agg(F.sum(F.octet_length("question") + F.octet_length("answer"))).first()[0] or 0
     passes = -(-size // PASS_BYTES)
-    termed = items.mapInArrow(_terms, "item_id long, question array<long>, answer array<long>").withColumn(
-        "words", F.concat("question", "answer")).filter(F.size("words") > 0)
+    termed = stored(items.mapInArrow(_terms, "item_id long, question array<long>, answer array<long>").withColumn(
+        "words", F.concat("question", "answer")).filter(F.size("words") > 0), f"{folder}/terms")
     stats = termed.agg(F.count("*"), F.avg(F.size("words"))).first()
     if not stats[0]:
         return
-    frequency = termed.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    frequency = stored(termed.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df")), f"{folder}/frequency")
     for p in range(passes):
-        mine = termed.filter(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == p)
+        mine = termed.filter(F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(passes)) == p)
         rows = mine.select("item_id", "question", "answer").collect()
         rows.sort(key=lambda r: (r.item_id is None, r.item_id or 0, r.question, r.answer))
         df = {t & 0xFFFFFFFFFFFFFFFF: n for t, n in frequency.join(mine.select(F.explode("words").alias("term")).distinct(), "term").collect()}
@@ -358,8 +361,9 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     importable(spark)
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    folder = new_folder(spark, "decontamination")
     out = spark.createDataFrame([], schema)
-    for own in indexes(items):
+    for number, own in enumerate(indexes(items, folder)):
         sent = spark.sparkContext.broadcast(own)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -369,7 +373,8 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], k) for c, k in enumerate(kinds)], names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
-        out = out.union(rows.mapInArrow(search, schema))
+        out = out.union(stored(rows.mapInArrow(search, schema), f"{folder}/matches-{number}"))
+        sent.destroy()  # the driver and the tasks hold one pass's index at a time
     return out
 
 
