@@ -52,6 +52,11 @@ SQL = {
     "stream_spans": """with g as (from events select user_id, ts, if(ts - lag(ts) over w < interval 1 hour, 0, 1) as fresh window w as (partition by user_id order by ts)),
         n as (from g select user_id, ts, sum(fresh) over (partition by user_id order by ts rows unbounded preceding) as no)
         from n select user_id, min(ts) as started, max(ts) as last_seen, max(ts) + interval 1 hour as ended, count(*) as snapshots group by user_id, no""",
+    "stream_snapshots": """with s as (from events select distinct user_id % 8 as monitor, time_bucket(interval 15 minutes, ts, timestamp '1970-01-01') as tm, user_id as sess_id, event_type as user_name),
+        m as (from (from s select distinct monitor, tm) select monitor, tm, row_number() over (partition by monitor order by tm) as n, lead(tm) over (partition by monitor order by tm) as following),
+        g as (from s join m using (monitor, tm) select *, n - row_number() over (partition by monitor, sess_id, user_name order by tm) as island),
+        r as (from g select monitor, sess_id, 1::bigint as query_no, user_name, min(tm) as query_start_time, max(tm) as last_seen, count(*) as snapshots group by monitor, sess_id, user_name, island)
+        from r join m on m.monitor = r.monitor and m.tm = last_seen select r.monitor as monitor, sess_id, query_no, user_name, query_start_time, following as query_end_time, snapshots where following is not null""",
     "star_products": """with f as (from part select p_type || ' ' || string_split(p_name, ' ')[-1] as cat, concat(p_name, ' ', p_partkey) as product_name, cast(p_retailprice as decimal(15,2)) as price),
         c as (from (from f select distinct cat) select cat, row_number() over (order by cat) as category_id)
         from f join c using (cat) select row_number() over (order by product_name, category_id, price) as product_id, category_id, cast(price as double) as price, product_name""",

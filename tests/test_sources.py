@@ -146,3 +146,50 @@ def test_a_day_of_orders_prunes_the_scan(spark, capsys):
     retail.r001(retail_tables(spark, DATA)).explain("formatted")
     text = capsys.readouterr().out
     assert "GreaterThanOrEqual(l_shipdate,1998-01-05" in text and "LessThanOrEqual(l_shipdate,1998-01-06" in text
+
+
+def test_colocated_tables_join_where_they_lie(spark, capsys):
+    """By name, whatever their size: neither input is exchanged."""
+    from tidemark.plans import micro
+    from tidemark.sources.tables import colocated_tables, tpch_tables
+
+    t = colocated_tables(spark, DATA)
+    got, want = micro.x09(t), micro.x09(tpch_tables(spark, DATA))
+    assert got.collect() == want.collect()
+    merged = micro.x09({n: t[n].hint("merge") for n in ("lineitem", "orders")})
+    text = plan(merged)
+    assert text.count("Exchange") == 1 and "SinglePartition" in text  # one row per task at the end
+    assert t["lineitem"].rdd.getNumPartitions() == t["orders"].rdd.getNumPartitions() == 8
+    assert t["part"].count() == StoredTables(spark, DATA)["part"].count()
+
+
+def test_parts_follow_from_bytes(spark):
+    rows = StoredTables(spark, DATA)["lineitem"]
+    size = layout.stored_bytes(rows)
+    assert layout.parts_for(rows) == 8  # the cores
+    assert layout.parts_for(rows, part_bytes=size // 100) in (64, 128)
+    assert layout.parts_for(rows, StoredTables(spark, DATA)["region"], part_bytes=size // 100) == layout.parts_for(rows, part_bytes=size // 100)
+    assert layout.parts_for(rows, part_bytes=1) <= layout.MOST_PARTS
+
+
+def test_histograms_change_the_join_order(spark):
+    """Most rows of a dimension lie at the low end of its range. Without a histogram the
+    optimizer takes the filter on it for a selective one."""
+    n = 4000
+    fact = spark.range(5 * n).select((F.col("id") % n).alias("k1"), (F.col("id") * 7 % n).alias("k2"), F.col("id").alias("m"))
+    skewed = spark.range(n).select(F.col("id").alias("d1"), F.when(F.col("id") % 100 == 0, F.col("id") % 1000).otherwise(F.col("id") % 10).alias("a"))
+    even = spark.range(n).select(F.col("id").alias("d2"), (F.col("id") % 1000).alias("b"))
+    for name, rows in (("hist_fact", fact), ("hist_skewed", skewed), ("hist_even", even)):
+        layout.write_table(rows, name)
+    joined = "select count(*) from hist_fact, hist_skewed, hist_even where k1 = d1 and k2 = d2 and a < 100 and b < 300"
+
+    def first_joined(bins):
+        for name in ("hist_fact", "hist_skewed", "hist_even"):
+            layout.analyze(spark, name, bins=bins)
+        lines = spark.sql(joined)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        conditions = [x for x in lines if "Join Inner" in x]
+        assert len(conditions) == 2
+        return "d1" if "d1" in conditions[-1] else "d2"  # the inner one comes last
+
+    assert (first_joined(0), first_joined(50)) == ("d1", "d2")
+    assert spark.sql(joined).first()[0] == 5 * sum(1 for i in range(n) if (i % 1000 if i % 100 == 0 else i % 10) < 100 and i * 7 % n % 1000 < 300)

@@ -16,8 +16,8 @@ from tidemark.sources import layout, load
 from tidemark.sources.schemas import STORED
 from tidemark.sources.shared import new_folder
 from tidemark.sources.spans import SpanFact
-from tidemark.sources.tables import StoredTables, create_views, tpch_tables
-from tidemark.streaming import loads, windows
+from tidemark.sources.tables import StoredTables, colocated_tables, create_views, tpch_tables
+from tidemark.streaming import loads, snapshots, windows
 
 # --- Loads and layouts -----------------------------------------------------------------
 
@@ -101,9 +101,8 @@ def layout_months(spark: SparkSession, sf: str) -> DataFrame:
 
 def layout_colocated(spark: SparkSession, sf: str) -> DataFrame:
     """Two facts bucketed by the order key: their join needs no exchange."""
-    lines = _stored_as(spark, sf, "lineitem", layout.Layout(buckets=16, bucket_by=("l_orderkey",), sort_by=("l_orderkey",)))
-    orders = _stored_as(spark, sf, "orders", layout.Layout(buckets=16, bucket_by=("o_orderkey",), sort_by=("o_orderkey",)))
-    both = lines.hint("merge").join(orders, F.expr("l_orderkey = o_orderkey"))
+    t = colocated_tables(spark, sf)
+    both = t["lineitem"].hint("merge").join(t["orders"], F.expr("l_orderkey = o_orderkey"))
     return both.groupBy("o_orderpriority").agg(F.count("*").alias("n"), exact_total("l_quantity", 2).alias("quantity"))
 
 
@@ -111,8 +110,9 @@ def layout_random(spark: SparkSession, sf: str) -> DataFrame:
     """Rows spread evenly over files, with table statistics gathered."""
     path = new_folder(spark, "part")
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    layout.write_table(StoredTables(spark, sf)["part"], name, layout.Layout(random_files=8, codec="GZIP"), path=path)
-    layout.analyze(spark, name, "p_partkey", "p_size")
+    part = StoredTables(spark, sf)["part"]
+    layout.write_table(part, name, layout.Layout(random_files=layout.parts_for(part), codec="GZIP"), path=path)
+    layout.analyze(spark, name, "p_partkey", "p_size", bins=64)
     return spark.table(name).groupBy("p_size").agg(F.count("*").alias("n"))
 
 
@@ -228,6 +228,19 @@ def stream_spans(spark: SparkSession, sf: str) -> DataFrame:
     return _finished(spark, windows.activity_spans(_event_stream(spark, sf), "ts", "user_id", "1 hour"))
 
 
+def stream_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Spans of sessions by the difference of a monitor's snapshots, eight monitors; what runs in the last stays open."""
+    events, folder = StoredTables(spark, sf)["events"], new_folder(spark, "snapshots")
+    # a snapshot of a quarter of an hour lists the sessions seen in it
+    seen = events.select((F.col("user_id") % 8).alias("monitor"), F.date_trunc("HOUR", "ts").alias("hour"), F.minute("ts").alias("minute"), F.col("user_id").alias("sess_id"),
+                         F.col("event_type").alias("user_name"))
+    rows = seen.select("monitor", (F.col("hour") + F.make_dt_interval(mins=F.floor(F.col("minute") / 15).cast("int") * 15)).alias("at"), "sess_id", F.lit(1).cast("long").alias("query_no"), "user_name")
+    rows.write.parquet(folder)
+    windows.close_input(rows, "at", folder)
+    stream = loads.file_stream(spark, folder, "monitor long, at timestamp_ntz, sess_id long, query_no long, user_name string").withColumn("at", F.col("at").cast("timestamp"))
+    return _finished(spark, snapshots.spans_of_snapshots(stream, "at", "monitor"))
+
+
 # --- Draws ------------------------------------------------------------------------------------
 
 

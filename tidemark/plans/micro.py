@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import exact_mean, exact_total, ordered
 from tidemark.plans.tpch import Tables, join
-from tidemark.sources.layout import Layout, write_table
+from tidemark.sources.layout import Layout, parts_for, write_table
 from tidemark.sources.shared import new_folder
 
 REVENUE = "l_extendedprice * (1 - l_discount)"
@@ -35,12 +35,12 @@ def insert_select(t: Tables, table: str, layout: Layout):
 
 def x02(t: Tables):
     """Insert-select into a table bucketed by the source's own key."""
-    return insert_select(t, "part_by_key", Layout(buckets=8, bucket_by=("p_partkey",)))
+    return insert_select(t, "part_by_key", Layout(buckets=parts_for(t["part"]), bucket_by=("p_partkey",)))
 
 
 def x03(t: Tables):
     """Insert-select into a table bucketed by three other columns."""
-    return insert_select(t, "part_by_shape", Layout(buckets=8, bucket_by=("p_size", "p_brand", "p_container")))
+    return insert_select(t, "part_by_shape", Layout(buckets=parts_for(t["part"]), bucket_by=("p_size", "p_brand", "p_container")))
 
 
 def x04(t: Tables):
@@ -158,4 +158,6 @@ def x23(t: Tables, size: int = 21):
     return t["part"].filter(F.col("p_size") == size).agg(exact_mean("p_retailprice").alias("avg_price"))
 
 
+#: Queries that read base tables distributed by key.
+COLOCATED = {"micro_x09"}
 QUERIES = {f"micro_{n}": f for n, f in sorted(globals().items()) if n[0] == "x" and callable(f)}

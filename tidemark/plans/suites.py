@@ -8,7 +8,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import baselines, jobs, micro, monitor_archive, retail, runs, telemetry, tpcds, tpch
-from tidemark.sources.tables import monitor_tables, retail_tables, tpcds_tables, tpch_tables
+from tidemark.sources.tables import colocated_tables, monitor_tables, retail_tables, tpcds_tables, tpch_tables
 
 
 _opened: WeakKeyDictionary = WeakKeyDictionary()
@@ -34,7 +34,7 @@ def bind(query: Callable, tables: Callable) -> Callable[[SparkSession, str], Dat
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable] = {}
     out |= {n: bind(q, tpch_tables) for n, q in tpch.QUERIES.items()}
-    out |= {n: bind(q, tpch_tables) for n, q in micro.QUERIES.items()}
+    out |= {n: bind(q, colocated_tables if n in micro.COLOCATED else tpch_tables) for n, q in micro.QUERIES.items()}
     out |= {n: bind(q, retail_tables) for n, q in retail.QUERIES.items()}
     out |= {n: bind(q, tpcds_tables) for n, q in tpcds.QUERIES.items()}
     out |= {n: bind(q, monitor_tables) for n, q in runs.QUERIES.items()}

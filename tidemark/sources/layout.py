@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
@@ -15,6 +16,8 @@ FORMATS = {"PARQUET": "parquet", "COLUMN": "orc", "ROW": "csv"}
 CODECS = {"QUICKLZ": "snappy", "SNAPPY": "snappy", "ZLIB": "gzip", "GZIP": "gzip", "ZSTD": "zstd", "NONE": "none"}
 ORC_CODECS = {"gzip": "zlib"}
 FIRST_DAY, LAST_DAY = "1992-01-01", "1998-12-31"
+#: Stored bytes of a bucket or file, and buckets or files of a table at most.
+PART_BYTES, MOST_PARTS = 128 << 20, 1 << 16
 
 
 @dataclass(frozen=True)
@@ -40,6 +43,19 @@ class Layout:
     options: dict = field(default_factory=dict)
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of a frame as the optimizer knows them: those of its files, for a scan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def parts_for(*frames: DataFrame, part_bytes: int = PART_BYTES) -> int:
+    """Buckets or files for frames that are laid out alike, from the bytes of the largest: a
+    power of two, so that numbers chosen for different tables divide each other, and no
+    less than the cores at hand."""
+    wanted = max(max(stored_bytes(f) for f in frames) / part_bytes, frames[0].sparkSession.sparkContext.defaultParallelism, 1)
+    return min(MOST_PARTS, 1 << (math.ceil(wanted) - 1).bit_length())
+
+
 def _arranged(df: DataFrame, layout: Layout) -> DataFrame:
     if layout.random_files:
         return df.repartition(layout.random_files)
@@ -138,10 +154,20 @@ def within_months(column: str, start: str, end: str):
                   f"and year(timestamp '{end}') * 100 + month(timestamp '{end}')")
 
 
-def analyze(spark: SparkSession, table: str, *columns: str) -> None:
-    """Statistics for the cost-based optimizer."""
+def analyze(spark: SparkSession, table: str, *columns: str, bins: int = 0) -> None:
+    """Statistics for the cost-based optimizer: least, greatest and number of distinct
+    values per column, and with `bins` a histogram of so many parts of equal height of each
+    column with an order, which tells it how many rows a range of a skewed column holds."""
     cols = f"for columns {', '.join(columns)}" if columns else "for all columns"
-    spark.sql(f"analyze table {table} compute statistics {cols}")
+    settings = {"spark.sql.statistics.histogram.enabled": "true", "spark.sql.statistics.histogram.numBins": str(bins)} if bins else {}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        spark.sql(f"analyze table {table} compute statistics {cols}")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -7,12 +7,13 @@ from the stored TPC-H-like set.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.sources import derive, star
+from tidemark.sources import derive, layout, star
 from tidemark.sources.schemas import STORED
+from tidemark.sources.shared import new_folder
 
 
 class StoredTables(Mapping):
@@ -77,6 +78,43 @@ class DerivedTables(Mapping):
         return len(set(self.stored) | set(self.definitions))
 
 
+class ColocatedTables(Mapping):
+    """Base tables laid out by the keys they are joined on. The tables of a group have the
+    same number of buckets, which follows from their bytes, so that joins and groupings on
+    the key read them where they lie, without an exchange. A table is written
+    when it is first asked for, and found by its name from then on; all others are passed on."""
+
+    def __init__(self, tables: Mapping, groups: Sequence[Mapping[str, str]], spark: SparkSession):
+        self.tables, self.groups, self.spark = tables, groups, spark
+        self.folder = new_folder(spark, "colocated")
+        self.names: dict[str, str] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        group = next((g for g in self.groups if name in g), None)
+        if group is None:
+            return self.tables[name]
+        if name not in self.names:
+            buckets, key = layout.parts_for(*[self.tables[n] for n in group]), group[name]
+            self.names[name] = f"{self.folder.rsplit('/', 1)[1].replace('-', '_')}_{name}"
+            how = layout.Layout(buckets=buckets, bucket_by=(key,), sort_by=(key,))
+            layout.write_table(self.tables[name], self.names[name], how, path=f"{self.folder}/{name}")
+        return self.spark.table(self.names[name])
+
+    def __iter__(self):
+        return iter(self.tables)
+
+    def __len__(self):
+        return len(self.tables)
+
+
+#: Tables distributed by the key of an order.
+BY_ORDER = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
+def colocated_tables(spark: SparkSession, folder: str) -> ColocatedTables:
+    return ColocatedTables(tpch_tables(spark, folder), [BY_ORDER], spark)
+
+
 def tpch_tables(spark: SparkSession, folder: str) -> DerivedTables:
     return DerivedTables(StoredTables(spark, folder), star.TPCH, spark)
 
