@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,16 +34,53 @@ def join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> Data
     days = getattr(right, "chosen_days", None)
     key = on.removesuffix(" = d_date_sk")
     if days is not None and how == "inner" and key != on and key in STORED_DAYS:
-        left = _pruned(left, days, *STORED_DAYS[key])
+        left = _pruned(left, days, getattr(right, "chosen_span", None), *STORED_DAYS[key])
     return left.join(right, F.expr(on), how)
 
 
-def _pruned(fact: DataFrame, days: DataFrame, stored: str, least: int, most: int) -> DataFrame:
+#: Calendar columns that tell days of different years apart.
+DATED = re.compile(r"\bd_(date|date_sk|year|month_seq|week_seq|quarter_seq|quarter_name|date_id)\b")
+_NUMBER = r"\(?\s*(\d+)\b\s*\)?"
+
+
+def _numbers(where: str, column: str) -> tuple[int, int] | None:
+    """Least and greatest value that a condition, one of several that all hold, leaves a
+    column that has whole numbers."""
+    for pattern in (rf"\b{column} = {_NUMBER}(?!\s*[-+*/])", rf"\b{column} between {_NUMBER} and {_NUMBER}(?!\s*[-+*/])"):
+        found = re.search(pattern, where)
+        if found:
+            return int(found.group(1)), int(found.group(found.lastindex))
+    found = re.search(rf"\b{column} in \(([\d, ]+)\)", where)
+    return (min(v := [int(x) for x in found.group(1).split(",")]), max(v)) if found else None
+
+
+def span_of(where: str) -> tuple[dt.date, dt.date] | None:
+    """First and last day that a condition on the calendar can choose, where its own text says
+    so: by date, or by year and month. None where it does not, or has alternatives."""
+    if re.search(r"\b(or|not|case)\b", where, re.I):
+        return None
+    found = re.search(r"\bd_date between date '(\d{4}-\d\d-\d\d)' and (?:date '(\d{4}-\d\d-\d\d)'|date_add\(date '(\d{4}-\d\d-\d\d)', (\d+)\))", where)
+    if found:
+        first = dt.date.fromisoformat(found.group(1))
+        return first, dt.date.fromisoformat(found.group(2)) if found.group(2) else dt.date.fromisoformat(found.group(3)) + dt.timedelta(days=int(found.group(4)))
+    years = _numbers(where, "d_year")
+    if years is None:
+        return None
+    quarters = _numbers(where, "d_qoy")
+    months = _numbers(where, "d_moy") or ((quarters[0] * 3 - 2, quarters[1] * 3) if quarters else (1, 12))
+    after = dt.date(years[1] + months[1] // 12, months[1] % 12 + 1, 1)
+    return dt.date(years[0], months[0], 1), after - dt.timedelta(days=1)
+
+
+def _pruned(fact: DataFrame, days: DataFrame, span: tuple[dt.date, dt.date] | None, stored: str, least: int, most: int) -> DataFrame:
     """A fact cut to the stored days that its date key can come from: a range on a stored
-    column, whose ends are found in the calendar before the scan starts. Files and row
-    groups outside are skipped."""
+    column. Its ends follow from the condition's text, or are found in the calendar before
+    the scan starts. Files and row groups outside are skipped."""
     if stored not in fact.columns:
         return fact
+    if span:
+        first, last = span[0] - dt.timedelta(days=most), span[1] - dt.timedelta(days=least - 1)
+        return fact.filter((F.col(stored) >= F.lit(str(first)).cast("timestamp_ntz")) & (F.col(stored) < F.lit(str(last)).cast("timestamp_ntz")))
     end = lambda f, later: days.agg(F.date_from_unix_date((f("d_date_sk") - JULIAN - later).cast("int")).cast("timestamp_ntz")).scalar()
     return fact.filter((F.col(stored) >= end(F.min, most)) & (F.col(stored) < end(F.max, least - 1)))
 
@@ -51,8 +90,10 @@ def dates(t: Tables, where: str | Column = "true", *columns: str) -> DataFrame:
     every scale (about 73,000 in the benchmark), so it is always broadcast."""
     days = t["date_dim"].filter(where)
     out = F.broadcast(days.select("d_date_sk", *columns))
-    if not isinstance(where, str) or where != "true":
+    # A condition that holds in every year, a month's or a weekday's, prunes nothing.
+    if not isinstance(where, str) or DATED.search(where):
         out.chosen_days = days  # by which `join` prunes the fact
+        out.chosen_span = span_of(where) if isinstance(where, str) else None
     return out
 
 
