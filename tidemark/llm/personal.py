@@ -3,10 +3,11 @@
 Rules find e-mail addresses, IP addresses, card numbers and phone numbers of plain
 shape. The network, trained on the driver from the spans that rules found in a bounded
 sample of rows, and from the same spans written in other ways, labels every character of
-every text; a CRF over kinds decodes each window. Windows overlap; in an overlap the
-window whose middle is nearer decides, so that one label path covers the text, and runs
-of one kind along it are the network's spans. Those that fail the checks of their kind,
-or meet a span or a failed match of the rules, are dropped; the others are added.
+every text. Windows overlap; in an overlap the window whose middle is nearer gives the
+scores, and a CRF over kinds decodes one best path over the whole text, across windows.
+Runs of one kind along it are the network's spans. Those that fail the checks of their
+kind, or meet a span of the rules, or lie in one of their failed matches, are dropped;
+the others are added.
 
 A character is its first byte in UTF-8, so texts need no decoding to be read.
 """
@@ -14,6 +15,7 @@ A character is its first byte in UTF-8, so texts need no decoding to be read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,17 +28,28 @@ from tidemark.llm.words import chunks
 from tidemark.llm.workers import importable
 
 KINDS = ("email", "ip", "card", "phone")
-HIDDEN = 8
+HIDDEN = 12
 #: Rows that training sees at most, with and without spans, and characters of the window of each.
 TRAINING_ROWS, TRAINING_CHARS = 2500, 6000
-STEPS, BATCH, TRAINING_WINDOW, RATE = 350, 128, 64, 0.02
+STEPS, BATCH, TRAINING_WINDOW, RATE = 600, 128, 80, 0.02
+#: Part of the spans that training writes in another way.
+REWRITTEN = 0.6
 #: Characters per window when texts are read, and of the overlap of two.
-WINDOW, OVERLAP = 256, 32
+WINDOW, OVERLAP = 256, 64
+#: What stands around "at" and "dot", or between digits, in the spans that training writes anew.
+AROUND = (("[", "]"), ("(", ")"), (" ", " "), (" [", "] "), (" (", ") "), ("*", "*"), ("-", "-"), ("_", "_"), ("|", "|"), (" -", "- "))
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_AT = re.compile(r"(?i)[\W_]*(@|(?<![a-z])at(?![a-z]))")
+_DOT_FIRST = re.compile(r"(?i)[\W_]*(\.|dot(?![a-z0-9]))")
+_DOT_LAST = re.compile(r"(?i)(\.|(?<![a-z0-9])dot)[\W_]*$")
+_DOT_NAME = re.compile(r"(?i)[\W_]{1,2}dot[\W_]{1,2}[a-z0-9-]+")
+_MARKS = re.compile(r"(?i)[^A-Za-z0-9\n]{0,3}|[\W_]{1,2}dot[\W_]{1,2}")
+_BEFORE = re.compile(r"(?i)[+(]?[0-9]+([^A-Za-z0-9\n]{1,3}|[\W_]{1,2}dot[\W_]{1,2})$")
+_AFTER = re.compile(r"(?i)([^A-Za-z0-9\n]{1,3}|[\W_]{1,2}dot[\W_]{1,2})[0-9]+")
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 
 Span = tuple[str, int, int]
@@ -112,12 +125,12 @@ def plausible(kind: str, text: str) -> bool:
     """Whether a span of the network may be of its kind."""
     d = digits_of(text)
     if kind == "email":
-        return len(text) >= 8 and ("@" in text or re.search(r"(?i)[\[( ]at[\]) ]", text) is not None) and re.search(r"(?i)\.|dot", text) is not None
+        return len(text) >= 8 and re.search(r"(?i)@|(?<![a-z])at(?![a-z])", text) is not None and re.search(r"(?i)[a-z0-9][\W_]*(\.|(?<![a-z])dot(?![a-z]))[\W_]*[a-z]", text) is not None
     if kind == "ip":
-        return is_ip(re.findall(r"[0-9]+", text)) and re.fullmatch(r"[0-9]+(\W{1,3}[0-9]+){3}", text) is not None
+        return is_ip(re.findall(r"[0-9]+", text)) and re.fullmatch(r"(?i)[0-9]+(([\W_]{1,3}|[\W_]{1,2}dot[\W_]{1,2})[0-9]+){3}", text) is not None
     if kind == "card":
-        return is_card(text)
-    return 9 <= len(d) <= 15 and re.fullmatch(r"[+(]?[0-9][0-9().\-\x20/]*[0-9]", text) is not None
+        return is_card(text) and re.fullmatch(r"[0-9]([\W_]{0,3}[0-9])+", text) is not None
+    return 9 <= len(d) <= 15 and re.fullmatch(r"\+?\s?\(?[0-9][0-9().\-\x20/]*[0-9]", text) is not None
 
 
 class Crf:
@@ -165,31 +178,38 @@ class Crf:
         np.subtract.at(moves, (path[tt, nn], path[tt + 1, nn]), 1)
         return float((z.sum() - gold) / n), (grad / n).astype(np.float32), np.where(self.allowed, moves / n, 0).astype(np.float32)
 
-    def quiet(self, scores: np.ndarray) -> np.ndarray:
-        """Windows whose best path is surely none throughout: at no position does a kind's
-        score, with the best it could gain by entering, staying and leaving, exceed that of none."""
+    def open(self, scores: np.ndarray) -> np.ndarray:
+        """Positions at which the best path may have a kind. At the others none scores so
+        much more that any path with a kind there gains by none in its place, whatever the
+        labels beside it, or beyond a text's ends."""
         w = self.moves
-        leave = np.maximum(w[1:, 0] - w[0, 0], 0)
-        gain = np.maximum(w[0, 1:] - w[0, 0], np.diag(w)[1:] - w[0, 0]) + leave
+        enter, leave, stay, none = w[0, 1:], w[1:, 0], np.diag(w)[1:], w[0, 0]
+        cases = [2 * stay - enter - leave, stay - none, enter + leave - 2 * none, leave - none, enter - none, stay - enter, stay - leave, 0 * stay]
+        gain = np.max(cases, axis=0) + np.float32(1e-4)  # with room for rounding
         over = scores.reshape(-1, self.labels) @ np.vstack([-np.ones((1, self.labels - 1), np.float32), np.eye(self.labels - 1, dtype=np.float32)])
-        loud = over > -(gain + np.float32(1e-4))  # with room for rounding
-        return ~loud.reshape(scores.shape[0], -1).any(axis=0).reshape(scores.shape[1], -1).any(axis=1)
+        return (over > -gain).any(axis=1).reshape(scores.shape[:-1])
 
-    def decode(self, scores: np.ndarray) -> np.ndarray:
-        """Best paths (time, windows)."""
+    def decode(self, scores: np.ndarray, sizes: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Best paths (time, stretches) over the first `sizes` positions of each stretch,
+        with none beside it where `before` and `after` say so, else nothing."""
         steps, n, k = scores.shape
         w = self.weights()
         back = np.empty((steps, n, k), np.int8)
-        best = scores[0].copy()
+        best = scores[0] + np.where(before[:, None], w[0], 0)
+        last = np.where((sizes == 1)[:, None], best, 0)
         for t in range(1, steps):
             options = best[:, :, None] + w[None]
             back[t] = options.argmax(axis=1)
             best = options.max(axis=1) + scores[t]
-        path = np.empty((steps, n), np.int8)
-        path[-1] = best.argmax(axis=1)
+            last[sizes == t + 1] = best[sizes == t + 1]
+        path = np.zeros((steps, n), np.int8)
         rows = np.arange(n)
-        for t in range(steps - 1, 0, -1):
-            path[t - 1] = back[t, rows, path[t]]
+        now = (last + np.where(after[:, None], w[:, 0], 0)).argmax(axis=1).astype(np.int8)
+        for t in range(steps - 1, -1, -1):
+            live = t < sizes
+            path[t, live] = now[live]
+            if t:
+                now = np.where(live, back[t, rows, now], now)
         return path
 
 
@@ -199,14 +219,45 @@ def symbols_of(text: str) -> np.ndarray:
     return data[(data & 0xC0) != 0x80]
 
 
+def written_anew(kind: str, own: str, rng: np.random.Generator) -> str:
+    """A span in another way of writing, which the rules mostly do not match."""
+    def one(*ways: str) -> str:
+        return ways[rng.integers(len(ways))]
+
+    def word(*ways: str) -> str:
+        a, b = AROUND[rng.integers(len(AROUND))]
+        w = one(*ways)
+        return a + (w, w.upper(), w.capitalize())[rng.integers(3)] + b
+
+    if kind == "email":
+        name, domain = own.split("@")
+        at = word("at") if rng.random() < 0.7 else one(" @ ", "@ ", " @", "[@]", "(@)")
+        dot = word("dot") if rng.random() < 0.7 else one(".", " . ", "[.]")
+        return (name if rng.random() < 0.5 else name.replace(".", dot)) + at + domain.replace(".", dot)
+    if kind == "phone":
+        digits = digits_of(own)
+        if rng.random() < 0.3:
+            return re.sub(r"^\+[0-9]+\s*", "", own)
+        cuts = sorted({len(digits) - 4, len(digits) - 7, max(len(digits) - 10, 0), 0})
+        groups = [digits[x:y] for x, y in zip(cuts, [*cuts[1:], len(digits)])]
+        if len(groups) > 2 and rng.random() < 0.3:
+            groups[-3] = f"({groups[-3]})"
+        return one("", "", "00", "00 ", "(0) ", "+ ") + one(" ", ".", "-", "/", " - ").join(groups)
+    if kind == "ip":
+        return own.replace(".", word("dot") if rng.random() < 0.3 else one(" . ", "[.]", "(.)", ". ", "-", "_", ":"))
+    digits = digits_of(own)
+    size = int(rng.integers(3, 6)) if rng.random() < 0.3 else 4
+    return one(".", "/", "_", "  ", " - ", ":", "|", ", ").join(digits[x:x + size] for x in range(0, len(digits), size))
+
+
 class PersonalModel:
     def __init__(self, seed: int = 5):
         self.net = Bidirectional(4, HIDDEN, len(KINDS) + 1, seed)
         self.crf = Crf(len(KINDS) + 1)
 
     def train(self, texts: list[str], seed: int = 5) -> "PersonalModel":
-        """From texts and the rules' spans in them: half of the windows hold one, in a
-        quarter of which it is written in another way; the others hold digits or anything."""
+        """From texts and the rules' spans in them: half of the windows hold one,
+        which REWRITTEN of them write in another way; the others hold digits or anything."""
         rng = np.random.default_rng(seed)
         found = [matches(t) for t in texts]
         spans = [(i, s) for i, (good, _) in enumerate(found) for s in good]
@@ -255,16 +306,10 @@ class PersonalModel:
     def _around(self, text: str, spans: list[Span], span: Span, rng: np.random.Generator) -> tuple[str, list[Span]]:
         kind, a, b = span
         own = text[a:b]
-        if rng.random() < 0.25:
-            if kind == "email":
-                own = own.replace("@", [" [at] ", "(at)", " at ", " @ "][rng.integers(4)])
-                own = own.replace(".", [" [dot] ", "(dot)", "."][rng.integers(3)])
-            elif kind == "phone":
-                own = re.sub(r"^\+[0-9]+\s*", "", own)
-            elif kind == "ip":
-                own = own.replace(".", [" . ", "[.]"][rng.integers(2)])
+        if rng.random() < REWRITTEN:
+            own = written_anew(kind, own, rng)
         before = text[max(0, a - TRAINING_WINDOW):a]
-        before = before[len(before) - min(len(before), int(rng.integers(0, max(1, TRAINING_WINDOW - min(len(own), 24))))):]
+        before = before[len(before) - min(len(before), int(rng.integers(0, max(1, TRAINING_WINDOW - min(len(own), 40))))):]
         whole = before + own + text[b:b + TRAINING_WINDOW]
         marks = [(k, x - a + len(before), y - a + len(before)) for k, x, y in spans if y <= a] + [(kind, len(before), len(before) + len(own))]
         shift = len(before) + len(own) - b
@@ -272,56 +317,165 @@ class PersonalModel:
         return whole[:TRAINING_WINDOW], marks
 
     def runs(self, symbols: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(text, label, start, end) of the runs of kinds along each text's path."""
+        """(text, label, start, end) of the runs of kinds along each text's best path."""
         lengths = np.diff(offsets)
         text, first = windows_of(lengths, WINDOW, WINDOW - OVERLAP)
         starts, ends = offsets[text] + first, offsets[text + 1]
-        found: list[tuple[int, int, int, int]] = []
-        # what each window decides: from the middle of the overlap before it to that of the one after
+        # what each window gives: from the middle of the overlap before it to that of the one after
         begin = np.where(first > 0, first + OVERLAP // 2, 0)
         stop = np.where(np.append(text[1:], -1) == text, first + WINDOW - OVERLAP // 2, lengths[text])
+        places, values = [np.zeros(0, np.int64)], [np.zeros((0, self.crf.labels), np.float32)]
         for at in range(0, len(text), LANES):
             own = slice(at, at + LANES)
             size = int(min(WINDOW, (ends[own] - starts[own]).max()))
             scores = self.net.scores(gathered(symbols, starts[own], ends[own], size))
-            loud = np.flatnonzero(~self.crf.quiet(scores))
-            if not len(loud):
-                continue
-            path = self.crf.decode(np.ascontiguousarray(scores[:, loud]))
-            position = np.arange(size)[:, None] + first[own][loud][None, :]
-            path[(position < begin[own][loud]) | (position >= stop[own][loud])] = 0
-            turned = np.zeros((len(loud), size + 2), np.int8)
-            turned[:, 1:-1] = path.T
-            row, edge = np.nonzero(turned[:, 1:] != turned[:, :-1])
-            for r, a, b in zip(row.tolist(), edge.tolist(), np.append(edge[1:], 0).tolist()):
-                label = int(turned[r, a + 1])
-                if label:
-                    base = int(first[own][loud[r]])
-                    found.append((int(text[own][loud[r]]), label, base + a, base + b))
-        # runs that two windows share are one
-        joined: list[tuple[int, int, int, int]] = []
-        for run in sorted(found, key=lambda x: (x[0], x[2])):
-            if joined and joined[-1][0] == run[0] and joined[-1][1] == run[1] and joined[-1][3] == run[2]:
-                joined[-1] = (run[0], run[1], joined[-1][2], run[3])
-            else:
-                joined.append(run)
-        return joined
+            step, lane = np.nonzero(self.crf.open(scores))
+            position = step + first[own][lane]
+            given = (position >= begin[own][lane]) & (position < stop[own][lane])
+            places.append((position + offsets[text[own][lane]])[given])
+            values.append(scores[step[given], lane[given]])
+        place, value = np.concatenate(places), np.concatenate(values)
+        order = np.argsort(place, kind="stable")
+        return self._decoded(place[order], value[order], offsets)
+
+    def _decoded(self, place: np.ndarray, value: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """Runs from the scores of the open positions. All other positions are none, so the
+        stretches of open ones between them are decoded apart, those of like length together."""
+        if not len(place):
+            return []
+        text = np.searchsorted(offsets, place, "right") - 1
+        new = np.append(True, (np.diff(place) > 1) | (np.diff(text) > 0))
+        head = np.flatnonzero(new)
+        size = np.diff(np.append(head, len(place)))
+        inner = place[head] > offsets[text[head]], place[head] + size < offsets[text[head] + 1]
+        label = np.zeros(len(place), np.int8)
+        doubling = np.ceil(np.log2(size)).astype(int)
+        for group in np.unique(doubling):
+            same = np.flatnonzero(doubling == group)
+            for part in np.array_split(same, -(-len(same) * (1 << int(group)) // (1 << 21))):
+                longest = int(size[part].max())
+                step = np.arange(longest)
+                live = step[None, :] < size[part][:, None]
+                scores = np.zeros((len(part), longest, self.crf.labels), np.float32)
+                scores[live] = value[(head[part][:, None] + step)[live]]
+                path = self.crf.decode(np.ascontiguousarray(scores.transpose(1, 0, 2)), size[part], inner[0][part], inner[1][part])
+                label[(head[part][:, None] + step)[live]] = path.T[live]
+        turn = np.flatnonzero(np.append(True, new[1:] | (label[1:] != label[:-1])))
+        end = np.append(turn[1:], len(place))
+        base = offsets[text[turn]]
+        return [(int(t), int(k), int(a), int(z)) for t, k, a, z in zip(text[turn], label[turn], place[turn] - base, place[end - 1] + 1 - base) if k]
 
     def added(self, text: str, runs: list[tuple[int, int, int]], good: list[Span], bad: list[Span]) -> list[Span]:
-        """Spans of runs (label, start, end) of a text, besides the rules' own."""
-        out = []
-        for label, a, b in runs:
+        """Spans of runs (label, start, end) of a text, besides the rules' own. Runs over
+        digits that stand close are one. The ends of a run are put right: words, numbers and
+        names joined by a dot belong to it whole. The network's kind is tried first, then
+        the kinds whose check is strict."""
+        out: list[Span] = []
+        taken: list[list[int]] = []  # union of the rules' spans
+        for _, a, b in sorted(good, key=lambda g: g[1]):
+            if taken and a <= taken[-1][1]:
+                taken[-1][1] = max(taken[-1][1], b)
+            else:
+                taken.append([a, b])
+        stops = [b for _, b in taken]
+        failed = {k: [(a, b) for w, a, b in bad if w == k] for k in KINDS}  # by start, none meet
+
+        def clear(k: str, x: int, y: int) -> bool:
+            i = bisect_right(stops, x)
+            own = failed[k]
+            j = bisect_right(own, (x, len(text))) - 1
+            return not (i < len(taken) and taken[i][0] < y) and not (out and out[-1][2] > x) and not (j >= 0 and own[j][1] >= y)
+
+        for label, a, b in _together(text, _outside(runs, taken, stops)):
             while a < b and text[a].isspace():
                 a += 1
             while b > a and (text[b - 1].isspace() or text[b - 1] in ".,;:"):
                 b -= 1
+            if a == b:
+                continue
             kind = KINDS[label - 1]
-            clear = not any(x < b and a < y for _, x, y in good) and not any(k == kind and x < b and a < y for k, x, y in bad)
-            if clear and plausible(kind, text[a:b]):
-                out.append((kind, a, b))
+            ends = [_named_whole(text, a, b)] if kind == "email" else _numbers_whole(text, a, b)
+            ways = [(k, *e) for k in dict.fromkeys((kind, "ip", "card") if kind != "email" else (kind,)) for e in ends]
+            if kind in ("card", "ip"):
+                ways += [("phone", *e) for e in ends if text[e[0]] in "+(0"]
+            for k, x, y in ways:
+                if clear(k, x, y) and plausible(k, text[x:y]):
+                    out.append((k, x, y))
+                    break
         return out
 
 
+def _outside(runs: list[tuple[int, int, int]], taken: list[list[int]], stops: list[int]) -> list[tuple[int, int, int]]:
+    """What of the runs lies outside the intervals `taken`, which end at `stops`."""
+    out = []
+    for label, a, b in runs:
+        i = bisect_right(stops, a)
+        while a < b and i < len(taken) and taken[i][0] < b:
+            if a < taken[i][0]:
+                out.append((label, a, taken[i][0]))
+            a = max(a, taken[i][1])
+            i += 1
+        if a < b:
+            out.append((label, a, b))
+    return out
+
+
+def _together(text: str, runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Runs in order; those of digit kinds with no letter and few marks between are one, of the longest's kind."""
+    out: list[tuple[int, int, int]] = []
+    widest = 0
+    for label, a, b in sorted(runs, key=lambda r: r[1]):
+        digits = KINDS[label - 1] != "email"
+        if out and digits and KINDS[out[-1][0] - 1] != "email" and _MARKS.fullmatch(text, out[-1][2], a):
+            out[-1] = (label if b - a > widest else out[-1][0], out[-1][1], b)
+            widest = max(widest, b - a)
+        else:
+            out.append((label, a, b))
+            widest = b - a
+    return out
+
+
+def _numbers_whole(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """A run over digits with its first and last number whole; then with the marks and the
+    number before it, with those after it, and with both."""
+    while a < b and text[a] not in "+(" and not "0" <= text[a] <= "9":
+        a += 1
+    while b > a and not "0" <= text[b - 1] <= "9":
+        b -= 1
+    while 0 < a < b and "0" <= text[a] <= "9" and "0" <= text[a - 1] <= "9":
+        a -= 1
+    while a < b < len(text) and "0" <= text[b] <= "9":
+        b += 1
+    if a >= b:
+        return []
+    before = _BEFORE.search(text[max(0, a - 12):a])
+    after = _AFTER.match(text, b)
+    left = a - len(before.group()) if before else a
+    right = after.end() if after else b
+    return list(dict.fromkeys([(a, b), (left, b), (a, right), (left, right)]))
+
+
+def _named_whole(text: str, a: int, b: int) -> tuple[int, int]:
+    """The ends of an address: its first and last word whole, with the name before a dot it
+    begins with and the names after dots that follow, without words that no dot joins to it."""
+    word = lambda c: c.isascii() and c.isalnum()
+    while 0 < a < b and word(text[a]) and word(text[a - 1]):
+        a -= 1
+    while a < b < len(text) and word(text[b - 1]) and word(text[b]):
+        b += 1
+    while more := _DOT_NAME.match(text, b):
+        b = more.end()
+    if _DOT_FIRST.match(text, a, b):
+        name = re.search(r"[A-Za-z0-9%+-]+\s?$", text[max(0, a - 64):a])
+        a -= len(name.group()) if name else 0
+    at = _AT.search(text, a, b)
+    local = text[a:at.start()] if at else ""
+    loose = [g.end() for g in re.finditer(r"\s+", local) if not (_DOT_LAST.search(local[:g.start()]) or _DOT_FIRST.match(local, g.end()))]
+    if loose and loose[-1] < len(local):
+        a += loose[-1]
+    return a, b
+
+
 def trained(rows: DataFrame, limit: int = TRAINING_ROWS) -> PersonalModel:
     """A model from `limit` rows of (doc_id, text) at most, four in five with digits or an @,
     chosen by a hash of the row, and of a window anywhere in each: the same on every run."""
