@@ -9,6 +9,7 @@ from tidemark.operators import validate
 from tidemark.operators.interval_join import interval_join
 from tidemark.operators.keys import dense_ids, gapped_ids
 from tidemark.operators.ranks import spread_rank
+from tidemark.plans.tpch import not_in
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -102,3 +103,16 @@ def test_check_prefers_the_answer(spark):
 def test_row_counts(spark):
     got = {r.table_name: r.passed for r in validate.row_counts({"a": spark.range(5), "b": spark.range(0)}, {"a": 5}).collect()}
     assert got == {"a": True, "b": False}
+
+
+@pytest.mark.parametrize("others", [[], [None], [1, 2], [1, None], [7]])
+def test_not_in_with_nulls(spark, others):
+    import duckdb
+
+    left = spark.createDataFrame([(1,), (2,), (3,), (3,), (None,)], "k int")
+    right = spark.createDataFrame([(x,) for x in others], "o int")
+    values = ", ".join(f"({'null' if x is None else x})" for x in others) or "(0)"
+    where = "" if others else " where false"
+    want = duckdb.sql(f"select k from (values (1), (2), (3), (3), (null)) l(k) where k not in (select o::int from (values {values}) r(o){where}) order by k").fetchall()
+    got = sorted(((r.k,) for r in not_in(left, right, "k", "o").collect()), key=lambda r: (r[0] is None, r[0] or 0))
+    assert got == want

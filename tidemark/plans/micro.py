@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import exact_mean, exact_total, ordered
-from tidemark.plans.tpch import Tables, join
+from tidemark.plans.tpch import Tables, join, not_in
 from tidemark.sources.layout import Layout, parts_for, write_table
 from tidemark.sources.shared import new_folder
 
@@ -86,8 +86,8 @@ def x12(t: Tables):
 
 
 def x13(t: Tables):
-    """Customers without orders; both keys are non-null, so NOT IN is an anti join."""
-    idle = join(t["customer"], t["orders"].select("o_custkey"), "c_custkey = o_custkey", "left_anti")
+    """Customers whose key is NOT IN those of the orders."""
+    idle = not_in(t["customer"], t["orders"].select("o_custkey"), "c_custkey", "o_custkey")
     return idle.agg(exact_total("c_acctbal", 2).alias("total_acctbal"))
 
 

@@ -23,6 +23,15 @@ def join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> Data
     return left.join(right, F.expr(on), how)
 
 
+def not_in(left: DataFrame, right: DataFrame, key: str, other: str) -> DataFrame:
+    """Rows of `left` whose key is NOT IN the column `other` of `right`, as SQL has it: none
+    where that column holds a null, and those without a key only where `right` has no rows.
+    Both are asked of a scan that the files' statistics, or its first row, end."""
+    nulls = right.filter(F.col(other).isNull()).limit(1).agg(F.count("*")).scalar()
+    rows = right.limit(1).agg(F.count("*")).scalar()
+    return join(left, right, f"{key} = {other}", "left_anti").filter((nulls == 0) & (F.col(key).isNotNull() | (rows == 0)))
+
+
 def nations_of(t: Tables, region: str) -> DataFrame:
     """The nations of one region (25 rows at any scale, so broadcast)."""
     return F.broadcast(join(t["nation"], t["region"].filter(F.col("r_name") == region), "n_regionkey = r_regionkey"))
@@ -201,8 +210,7 @@ def q16(t: Tables, brand: str = "Brand#15", kind: str = "ECONOMY BURNISHED",
         sizes: tuple[int, ...] = (9, 6, 45, 44, 47, 21, 14, 42)) -> DataFrame:
     parts = t["part"].filter((F.col("p_brand") != brand) & ~F.col("p_type").startswith(kind) & F.col("p_size").isin(*sizes))
     blamed = t["supplier"].filter(F.col("s_comment").like("%Customer%Complaints%")).select("s_suppkey")
-    # Supplier keys are never null, so NOT IN is a plain anti join.
-    clean = join(t["partsupp"], blamed, "ps_suppkey = s_suppkey", "left_anti")
+    clean = not_in(t["partsupp"], blamed, "ps_suppkey", "s_suppkey")
     out = join(clean, parts, "ps_partkey = p_partkey").groupBy("p_brand", "p_type", "p_size").agg(
         F.countDistinct("ps_suppkey").alias("supplier_cnt"))
     return ordered(out, "-supplier_cnt", "p_brand", "p_type", "p_size")
