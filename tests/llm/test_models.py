@@ -175,7 +175,8 @@ def test_spans_over_borders_of_windows(personal_model):
             assert found_in(personal_model, [text]) == [[(kind, start, start + len(span))]], (span, start)
 
 
-#: Ways of writing that training does not generate.
+#: Ways of writing that training does not generate. The rules that put ends of spans right were
+#: made in view of them, and the bound below was set after they were measured.
 FOURS = lambda s, mark: mark.join(re.findall(".{1,4}", personal.digits_of(s)))
 HELD_OUT = {
     "email": [lambda s: s.replace("@", "{at}").replace(".", "{dot}"), lambda s: s.replace("@", " <at> ").replace(".", " <dot> "), lambda s: s.replace("@", "#at#").replace(".", " dot "), lambda s: s.replace("@", " [ at ] ").replace(".", " [ dot ] ")],
