@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark.functions.distributions import Draws
 from tidemark.operators.keys import dense_ids
@@ -115,20 +115,26 @@ def addresses(people: DataFrame, zips: DataFrame, streets: DataFrame, cfg: Retai
     street_rows = dense_ids(streets.select("street_name"), "street_key", ["street_name"])
     count = Draws(cfg.seed, "customer_id").power("address_count", 1, 15, 5).cast("int")
     d = Draws(cfg.seed, "customer_id", "version")
-    rows = people.select("customer_id", F.explode(F.sequence(F.lit(1), count)).alias("version"))
+
+    def start(version: Column) -> Column:
+        own = Draws(cfg.seed, "customer_id", version)
+        days_ago, secs = own.whole("days", 1, 365 * 5), own.whole("secs", 1, 86400)
+        return F.date_sub(F.expr(f"date '{cfg.as_of}'"), days_ago.cast("int")).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+
+    # All versions of a customer are drawn in its row: the next newer one's start ends a
+    # version, found in the row and not by a window, which would shuffle all versions.
+    starts = F.transform(F.sequence(F.lit(1), count), lambda v: F.struct(start(v).alias("at"), v.alias("version")))
+    rows = people.select("customer_id", starts.alias("_starts")).select("customer_id", "_starts", F.inline(F.col("_starts")))
+    newer = F.filter("_starts", lambda s: (s["at"] > F.col("at")) | ((s["at"] == F.col("at")) & (s["version"] > F.col("version"))))
     rows = rows.select(
-        "customer_id", "version",
+        "customer_id", "version", F.col("at").alias("valid_from_timestamp"), F.array_min(newer)["at"].alias("valid_to_timestamp"),
         d.whole("house", 1, 9999).cast("string").alias("house_number"),
         d.whole("street", 1, street_rows.count()).alias("street_key"), d.whole("zip", 1, zip_rows.count()).alias("zip_key"),
         d.whole("apt", 1, 99).alias("apt"), d.whole("plus", 1, 9999).alias("plus"),
-        d.whole("days", 1, 365 * 5).alias("days_ago"), d.whole("secs", 1, 86400).alias("secs"),
         F.concat(F.lit("("), digits(d.whole("p1", 1, 999), 3), F.lit(")"), digits(d.whole("p2", 1, 999), 3), F.lit("-"), digits(d.whole("p3", 1, 9999), 4)).alias("phone_number"))
-    start = F.expr(f"cast(date_sub(date '{cfg.as_of}', cast(days_ago as int)) as timestamp_ntz) + make_dt_interval(0, 0, 0, secs)")
-    rows = rows.join(zip_rows, "zip_key").join(street_rows, "street_key").withColumn("valid_from_timestamp", start)
-    # At most fifteen rows per customer meet in this window.
-    newer = W.partitionBy("customer_id").orderBy(F.desc("valid_from_timestamp"), F.desc("version"))
+    rows = rows.join(zip_rows, "zip_key").join(street_rows, "street_key")
     return rows.select(
-        "customer_id", "version", "valid_from_timestamp", F.lag("valid_from_timestamp").over(newer).alias("valid_to_timestamp"),
+        "customer_id", "version", "valid_from_timestamp", "valid_to_timestamp",
         "house_number", "street_name", F.when(F.col("apt") > 75, F.concat(F.lit("Apt "), (F.col("apt") - 75).cast("string"))).alias("appt_suite_no"),
         "city", F.col("state").alias("state_code"), "zip_code", F.concat_ws("-", "zip_code", F.col("plus").cast("string")).alias("zip_plus_four"),
         F.lit("USA").alias("country"), "phone_number")
