@@ -153,3 +153,21 @@ def test_a_paced_replay_looks_again(spark):
     query.processAllAvailable()
     query.stop()
     assert 5 < some < 25 and fact.rows().count() == 25
+
+
+@pytest.mark.parametrize("gathered", [False, True])
+def test_rows_put_apart_by_day(spark, gathered):
+    rows = rows_from(spark, "2009-12-01 00:00:00", 400)
+    none = spark.createDataFrame([(1000, None, 1)], SCHEMA)
+    path, apart = new_folder(spark, "fact"), new_folder(spark, "apart")
+    fact = SpanFact.create_apart(rows.unionByName(none), path.rsplit("/", 1)[1].replace("-", "_"), "at", "id", GRAINS, "2010-03-15 10:00:00", path, apart, replay.DAY, gathered=gathered)
+    want = sorted(map(tuple, rows.collect()))
+    assert content(fact) == [r for r in want if r[1] < day("2010-03-15 10:00:00")] and fact.grains() == GRAINS
+    assert set(by_span(fact)) <= set(GRAINS.names())
+    held = sorted((r.id, r["at"], r.v, r[replay.DAY]) for r in spark.read.parquet(apart).collect())
+    assert held == [(*r, r[1].date()) for r in want if r[1] >= day("2010-03-15 10:00:00")] and held
+    fact.upsert(rows.filter("id = 0").withColumn("v", F.lit(5)), "again")
+    assert [r[2] for r in content(fact) if r[0] == 0] == [5]
+    # nothing to put apart
+    whole = SpanFact.create_apart(rows, f"{fact.table}_w", "at", "id", GRAINS, "2020-01-01", new_folder(spark, "fact"), empty := new_folder(spark, "apart"), replay.DAY)
+    assert content(whole) == want and replay.days_held(spark, empty) == []

@@ -34,6 +34,13 @@ CIPHER_COUPON, CIPHER_TPS, CIPHER_REF = "AKRNCPWLQV", "ikvurmsqlp", "zmeposjxya"
 
 FIRST_ORDER_ID, FIRST_SEQUENCE = 10_000_000, 213_456_789
 
+#: Rows of a list that every task may hold; a longer one is joined by shuffle.
+LIST_ROWS = 1_000_000
+#: Rows of a task that are worth one, and orders or customers of a task at most.
+FEWEST_ROWS, MOST_ORDERS, MOST_PEOPLE = 10_000, 100_000, 250_000
+#: Slots of orders in a task.
+TASK_SLOTS = 8
+
 
 @dataclass(frozen=True)
 class RetailConfig:
@@ -60,9 +67,19 @@ def digits(x, width: int):
     return F.when(F.length(text) > width, F.lit("#" * width)).otherwise(F.lpad(text, width, "0"))
 
 
+def tasks_for(spark: SparkSession, rows: int, most: int) -> int:
+    """Shuffle partitions for so many rows: as set, fewer for few rows, more where a task would have over `most`."""
+    return max(min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // FEWEST_ROWS + 1), -(-rows // most))
+
+
 # --- Dimensions ----------------------------------------------------------------
 
 
+def listed(rows: DataFrame, count: int) -> DataFrame:
+    """A list as a join takes it: sent to every task, unless it is too long."""
+    return F.broadcast(rows) if count <= LIST_ROWS else rows
+
+
 def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
     """One row per day. Bounded by the span of dates, not by the data."""
     days = spark.range(1).select(F.explode(F.expr(f"sequence(date '{first}', date '{last}')")).alias("calendar_day"))
@@ -103,8 +120,9 @@ def customers(spark: SparkSession, first_names: DataFrame, surnames: DataFrame)
 def emails(people: DataFrame, websites: DataFrame, seed: int) -> DataFrame:
     """An address at a random site for each customer."""
     sites = dense_ids(websites.select("website_name"), "site", ["website_name"])
-    pick = Draws(seed, "customer_id").whole("site", 1, sites.count())
-    return people.withColumn("site", pick).join(sites, "site").select(
+    count = sites.count()
+    pick = Draws(seed, "customer_id").whole("site", 1, count)
+    return people.withColumn("site", pick).join(listed(sites, count), "site").select(
         "customer_id", F.concat_ws("@", F.concat_ws(".", "first_name", "last_name"), "website_name").alias("email_address"))
 
 
@@ -113,6 +131,7 @@ def addresses(people: DataFrame, zips: DataFrame, streets: DataFrame, cfg: Retai
     until the next begins; the newest is open."""
     zip_rows = dense_ids(zips.select("zip_code", "city", "state"), "zip_key", ["zip_code", "city", "state"])
     street_rows = dense_ids(streets.select("street_name"), "street_key", ["street_name"])
+    n_zips, n_streets = zip_rows.count(), street_rows.count()
     count = Draws(cfg.seed, "customer_id").power("address_count", 1, 15, 5).cast("int")
     d = Draws(cfg.seed, "customer_id", "version")
 
@@ -129,10 +148,10 @@ def addresses(people: DataFrame, zips: DataFrame, streets: DataFrame, cfg: Retai
     rows = rows.select(
         "customer_id", "version", F.col("at").alias("valid_from_timestamp"), F.array_min(newer)["at"].alias("valid_to_timestamp"),
         d.whole("house", 1, 9999).cast("string").alias("house_number"),
-        d.whole("street", 1, street_rows.count()).alias("street_key"), d.whole("zip", 1, zip_rows.count()).alias("zip_key"),
+        d.whole("street", 1, n_streets).alias("street_key"), d.whole("zip", 1, n_zips).alias("zip_key"),
         d.whole("apt", 1, 99).alias("apt"), d.whole("plus", 1, 9999).alias("plus"),
         F.concat(F.lit("("), digits(d.whole("p1", 1, 999), 3), F.lit(")"), digits(d.whole("p2", 1, 999), 3), F.lit("-"), digits(d.whole("p3", 1, 9999), 4)).alias("phone_number"))
-    rows = rows.join(zip_rows, "zip_key").join(street_rows, "street_key")
+    rows = rows.join(listed(zip_rows, n_zips), "zip_key").join(listed(street_rows, n_streets), "street_key")
     return rows.select(
         "customer_id", "version", "valid_from_timestamp", "valid_to_timestamp",
         "house_number", "street_name", F.when(F.col("apt") > 75, F.concat(F.lit("Apt "), (F.col("apt") - 75).cast("string"))).alias("appt_suite_no"),
@@ -263,17 +282,27 @@ def cipher(x, alphabet: str):
     return F.translate(x.cast("string"), "0123456789", alphabet)
 
 
-def line_items(items: DataFrame, prods: DataFrame, cats: DataFrame, people: DataFrame, addrs: DataFrame, mails: DataFrame, taxes: DataFrame) -> DataFrame:
+ITEM = ("order_id", "order_item_id", "status_code", "product_id", "ship_ts", "item_return_ts", "item_refund_ts", "item_quantity", "discount_code", "coupon_no")
+
+
+def line_items(orders: DataFrame, items: DataFrame, prods: DataFrame, cats: DataFrame, people: DataFrame, addrs: DataFrame, mails: DataFrame, taxes: DataFrame) -> DataFrame:
     """Order lines with the attributes of product, customer, address and tax.
 
-    What depends on the customer is joined once into a profile of one row per
-    customer, and so for the product: the lines are shuffled twice, not seven times.
+    What depends on the customer is joined to the orders, what depends on the product to the
+    bare items. The two meet in slots of orders whose numbers follow one another, under
+    `layout.joins_by_some_keys` without a further shuffle. Numbers follow time, so the lines
+    come out gathered by time, and whole lines are never shuffled.
     """
     profile = (
         people.join(addrs.filter("valid_to_timestamp is null"), "customer_id").join(mails, "customer_id").join(F.broadcast(taxes), "state_code")
     )
     goods = prods.join(cats, "category_id")
-    rows = items.join(goods, "product_id").join(profile, "customer_id")
+    n = orders.count()
+    tasks = tasks_for(orders.sparkSession, n, MOST_ORDERS)
+    slot = F.expr(f"(order_id - {FIRST_ORDER_ID}) div {max(1, -(-n // (tasks * TASK_SLOTS)))}")
+    bought = items.select(*ITEM).join(goods, "product_id")
+    rows = orders.join(profile, "customer_id").withColumn("_slot", slot).repartition(tasks, "_slot").join(
+        bought.withColumn("_slot", slot).repartition(tasks, "_slot"), ["_slot", "order_id"])
     quantity = F.expr("case when item_quantity > 12 then item_quantity - 11 else 1 end")
     big, customer = F.col("bigrand"), F.col("customer_id")
     coupon = (

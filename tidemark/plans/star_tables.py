@@ -1,8 +1,10 @@
 """The generated retail star as stored tables.
 
 Dimensions, the order base and the order items are plain tables, each made once from those
-before it. The facts are stored in months, weeks and an open span, as far as the first load
-goes; what it holds out waits in files, a folder per day, for the replay.
+before it. Lines draw addresses, e-mails and items themselves from the customers and the
+order base, so that these are not stored for them. The facts are stored in months, weeks and an open span, as far as the first load
+goes; what it holds out waits in files, a folder per day, for the replay. A fact is written
+in one pass; orders and shipments are made from the lines where they are stored.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import retail_star
 from tidemark.plans.retail_star import RetailConfig
+from tidemark.sources.layout import joins_by_some_keys
 from tidemark.sources.shared import new_folder
-from tidemark.sources.spans import Grains, SpanFact
+from tidemark.sources.spans import CODEC, Grains, SpanFact
 from tidemark.streaming import replay
 
 #: Time and key of each fact.
@@ -42,9 +45,25 @@ MAKERS: dict[str, Callable[[StarStore], DataFrame]] = {
     "daily": lambda s: retail_star.daily_customers(s.table("lifetimes"), s.table("day_factors"), s.cfg),
     "orders_base": lambda s: retail_star.order_base(s.table("daily"), s.cfg),
     "items": lambda s: retail_star.order_items(s.table("orders_base"), s.table("products").count(), s.cfg),
-    "all_lines": lambda s: retail_star.line_items(s.table("items"), s.table("products"), s.table("categories"), s.table("customers"), s.table("addresses"), s.table("emails"), s.seeds["taxes"]),
-    "all_orders": lambda s: retail_star.orders_of(s.table("all_lines")),
-    "all_shipments": lambda s: retail_star.shipments(s.table("all_lines"), s.cfg),
+}
+
+
+def _lines(star: StarStore) -> DataFrame:
+    """What a customer's row or an order's alone tells is drawn here again and not read back."""
+    people, orders = star.table("customers"), star.table("orders_base")
+    # dealt once: the parts of a customer's profile then meet where they are drawn
+    people = people.repartition(retail_star.tasks_for(star.spark, people.count(), retail_star.MOST_PEOPLE), "customer_id")
+    addrs = retail_star.addresses(people, star.seeds["zips"], star.seeds["streets"], star.cfg)
+    mails = retail_star.emails(people, star.seeds["websites"], star.cfg.seed)
+    items = retail_star.order_items(orders, star.table("products").count(), star.cfg)
+    return retail_star.line_items(orders, items, star.table("products"), star.table("categories"), people, addrs, mails, star.seeds["taxes"])
+
+
+#: The rows of each fact, and whether they lie gathered by time.
+FACT_MAKERS: dict[str, tuple[Callable[[StarStore], DataFrame], bool]] = {
+    "lines": (_lines, True),
+    "orders": (lambda s: retail_star.orders_of(s.whole("lines")), False),
+    "shipments": (lambda s: retail_star.shipments(s.whole("lines"), s.cfg), False),
 }
 
 
@@ -65,17 +84,18 @@ class StarStore:
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             rows = MAKERS[name](self)
-            rows.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+            rows.write.mode("overwrite").option("compression", CODEC).parquet(f"{self.folder}/{name}")
             self._tables[name] = self.spark.read.schema(rows.schema).parquet(f"{self.folder}/{name}")
         return self._tables[name]
 
     def fact(self, name: str) -> SpanFact:
         """A fact as the first load leaves it; its held-out rows are put aside."""
         if name not in self._facts:
-            ts, key = FACTS[name]
-            first, later = retail_star.split_preload(self.table(f"all_{name}"), ts, self.cfg)
-            replay.hold_out(later, ts, f"{self.folder}/held-out/{name}")
-            self._facts[name] = SpanFact.create(first, _table_name(self.folder, name), ts, key, preload_grains(self.cfg), path=f"{self.folder}/facts/{name}")
+            (ts, key), (made, gathered) = FACTS[name], FACT_MAKERS[name]
+            with joins_by_some_keys(self.spark):
+                self._facts[name] = SpanFact.create_apart(
+                    made(self), _table_name(self.folder, name), ts, key, preload_grains(self.cfg), self.cfg.preload_end,
+                    f"{self.folder}/facts/{name}", f"{self.folder}/held-out/{name}", replay.DAY, gathered=gathered)
         return self._facts[name]
 
     def held_out(self, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 
 # Storage names of the old engine and what they map to.
 FORMATS = {"PARQUET": "parquet", "COLUMN": "orc", "ROW": "csv"}
@@ -117,6 +118,17 @@ def only_written_folders(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(OVERWRITE_MODE, before)
 
 
+@contextmanager
+def joins_by_some_keys(spark: SparkSession) -> Iterator[None]:
+    """A join takes its sides as they lie where both are dealt by the same part of its keys."""
+    before = spark.conf.get(ALL_KEYS)
+    spark.conf.set(ALL_KEYS, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(ALL_KEYS, before)
+
+
 def replace_partitions(rows: DataFrame, table: str, *gather: str) -> None:
     """Replaces the partitions of a stored table that `rows` has rows for; the rows of each
     are gathered by the columns `gather`. The table may be one that `rows` reads."""

@@ -55,6 +55,11 @@ def subfolders(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    fs, path = _files(spark, folder)
+    fs.mkdirs(path)
+
+
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     """Renames a folder to a path that is free. Folders above the target are made."""
     fs, path = _files(spark, target)

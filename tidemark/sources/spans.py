@@ -24,12 +24,17 @@ from dataclasses import asdict, dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.sources.layout import replace_partitions
+from tidemark.sources.shared import make_folder, move_folder, remove_folder, subfolders
 
 SPAN, BATCH = "span", "batch"
 SPANS = "spans"
 #: The batch of rows that a change of grains has brought together.
 MERGED = "merged"
+#: Beginning of the names of what is put apart while a fact is made.
+LATER = "later"
 DAYS_A_WEEK = 7
+#: Codec of the stored rows.
+CODEC = "zstd"
 
 
 @dataclass(frozen=True)
@@ -92,15 +97,39 @@ class SpanFact:
     key: str
 
     @staticmethod
-    def create(rows: DataFrame, table: str, ts: str, key: str, grains: Grains, batch: str = "preload", path: str | None = None) -> SpanFact:
-        """Stores `rows`, which have unique keys, as the first batch."""
+    def create(rows: DataFrame, table: str, ts: str, key: str, grains: Grains, batch: str = "preload", path: str | None = None, gathered: bool = False) -> SpanFact:
+        """Stores `rows`, which have unique keys, as the first batch. Rows that lie `gathered` by
+        time, as those of another fact do, are written where they are."""
         fact = SpanFact(rows.sparkSession, table, ts, key)
         tagged = rows.withColumn(SPAN, grains.name_of(ts)).withColumn(BATCH, F.lit(batch))
-        writer = tagged.hint("rebalance", SPAN).write.mode("overwrite").format("parquet").partitionBy(SPAN, BATCH)
+        writer = (tagged if gathered else tagged.hint("rebalance", SPAN)).write.mode("overwrite").format("parquet").option("compression", CODEC).partitionBy(SPAN, BATCH)
         (writer.option("path", path) if path else writer).saveAsTable(table)
         fact._set(grains)
         return fact
 
+    @staticmethod
+    def create_apart(rows: DataFrame, table: str, ts: str, key: str, grains: Grains, bound: str, path: str, apart: str, day: str,
+                     batch: str = "preload", gathered: bool = False) -> SpanFact:
+        """Stores the rows before the time `bound` as the first batch, and those from it on in
+        `apart`, a folder `day`=... each day. All are written in one pass; the folders of days
+        are then renamed to their place. Rows without a time are in neither."""
+        spark, later = rows.sparkSession, f"{LATER}_"
+        held = F.col(ts) >= F.lit(bound).cast("timestamp_ntz")
+        name = F.when(held, F.concat(F.lit(later), F.col(ts).cast("date").cast("string"))).otherwise(grains.name_of(ts))
+        tagged = rows.filter(F.col(ts).isNotNull()).withColumn(SPAN, name).withColumn(BATCH, F.lit(batch))
+        (tagged if gathered else tagged.hint("rebalance", SPAN)).write.mode("overwrite").option("compression", CODEC).partitionBy(SPAN, BATCH).parquet(path)
+        make_folder(spark, apart)
+        for folder in subfolders(spark, path):
+            if folder.startswith(f"{SPAN}={later}"):
+                move_folder(spark, f"{path}/{folder}/{BATCH}={batch}", f"{apart}/{day}={folder.removeprefix(f'{SPAN}={later}')}")
+                remove_folder(spark, f"{path}/{folder}")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tagged.schema.fields)
+        spark.sql(f"create table {table} ({columns}) using parquet options (compression '{CODEC}') partitioned by ({SPAN}, {BATCH}) location '{path}'")
+        spark.catalog.recoverPartitions(table)
+        fact = SpanFact(spark, table, ts, key)
+        fact._set(grains)
+        return fact
+
     def _open(self) -> DataFrame:
         """The table with the files it has now: a stream writes in a session of its own."""
         self.spark.catalog.refreshTable(self.table)
