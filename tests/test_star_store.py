@@ -60,6 +60,16 @@ def test_whole_lines_are_not_shuffled(spark, star):
     assert plan.count("Exchange hashpartitioning(_slot") == 2
 
 
+def test_coupons_of_all_lines_lie_in_the_fact_or_are_held_out(star):
+    coupons = lambda lines: rows_of(lines.select("order_item_id", "coupon_code", "coupon_amount", "discount_amount"))
+    bound = dt.datetime.fromisoformat(star.cfg.preload_end)
+    first, later = star.fact("lines").rows(), star.held_out("lines")
+    assert first.agg(F.max("order_datetime")).first()[0] < bound <= later.agg(F.min("order_datetime")).first()[0]
+    assert sorted(coupons(first) + coupons(later)) == coupons(star.whole("lines"))
+    days = {str(r[0]) for r in later.select(F.col("order_datetime").cast("date")).distinct().collect()}
+    assert replay.days_held(star.spark, f"{star.folder}/held-out/lines") == sorted(f"{replay.DAY}={d}" for d in days)
+
+
 def test_emails_and_addresses_by_long_lists(spark, star, monkeypatch):
     """Lists too long to be sent to every task give the same rows."""
     made = lambda: (rows_of(retail_star.emails(star.table("customers"), star.seeds["websites"], 7)),
