@@ -70,6 +70,15 @@ def test_coupons_of_all_lines_lie_in_the_fact_or_are_held_out(star):
     assert replay.days_held(star.spark, f"{star.folder}/held-out/lines") == sorted(f"{replay.DAY}={d}" for d in days)
 
 
+def test_shipments_are_made_where_lines_lie(spark, star):
+    star.fact("lines")
+    spark.sparkContext.setJobGroup(group := new_folder(spark, "group"), "")
+    star.fact("shipments")
+    spark.sparkContext.setJobGroup("", "")
+    assert "all_shipments" not in subfolders(spark, star.folder) and set(stages_of_jobs(spark, group)) == {1}
+    assert rows_of(star.whole("shipments")) == rows_of(retail_star.shipments(star.whole("lines"), star.cfg))
+
+
 def test_emails_and_addresses_by_long_lists(spark, star, monkeypatch):
     """Lists too long to be sent to every task give the same rows."""
     made = lambda: (rows_of(retail_star.emails(star.table("customers"), star.seeds["websites"], 7)),

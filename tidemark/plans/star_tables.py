@@ -63,7 +63,7 @@ def _lines(star: StarStore) -> DataFrame:
 FACT_MAKERS: dict[str, tuple[Callable[[StarStore], DataFrame], bool]] = {
     "lines": (_lines, True),
     "orders": (lambda s: retail_star.orders_of(s.whole("lines")), False),
-    "shipments": (lambda s: retail_star.shipments(s.whole("lines"), s.cfg), False),
+    "shipments": (lambda s: retail_star.shipments(s.whole("lines"), s.cfg), True),
 }
 
 
