@@ -79,6 +79,23 @@ def test_shipments_are_made_where_lines_lie(spark, star):
     assert rows_of(star.whole("shipments")) == rows_of(retail_star.shipments(star.whole("lines"), star.cfg))
 
 
+def test_a_fact_is_copied_without_a_shuffle(spark, star, monkeypatch):
+    star.fact("lines")
+    made, group = SpanFact.create, new_folder(spark, "group")
+
+    def create(*args, **named):
+        spark.sparkContext.setJobGroup(group, "")
+        try:
+            return made(*args, **named)
+        finally:
+            spark.sparkContext.setJobGroup("", "")
+
+    monkeypatch.setattr(SpanFact, "create", staticmethod(create))
+    copy = star.replayed("lines", 2, new_folder(spark, "copy"))
+    assert set(stages_of_jobs(spark, group)) == {1}
+    assert rows_of(copy.rows()) == rows_of(star.whole("lines"))
+
+
 def test_emails_and_addresses_by_long_lists(spark, star, monkeypatch):
     """Lists too long to be sent to every task give the same rows."""
     made = lambda: (rows_of(retail_star.emails(star.table("customers"), star.seeds["websites"], 7)),

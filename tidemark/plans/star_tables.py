@@ -109,7 +109,7 @@ class StarStore:
         """A copy of a fact below the folder `fresh`, to which the held-out days were delivered
         in so many steps and loaded by a stream."""
         fact, spark = self.fact(name), self.spark
-        copy = SpanFact.create(fact.rows(), _table_name(fresh, name), fact.ts, fact.key, fact.grains(), path=f"{fresh}/facts/{name}")
+        copy = SpanFact.create(fact.rows(), _table_name(fresh, name), fact.ts, fact.key, fact.grains(), path=f"{fresh}/facts/{name}", gathered=True)
         waiting, inbox = f"{fresh}/waiting/{name}", f"{fresh}/inbox/{name}"
         replay.hold_out(self.held_out(name), fact.ts, waiting)
         days = -(-len(replay.days_held(spark, waiting)) // steps)
