@@ -96,6 +96,14 @@ def test_a_fact_is_copied_without_a_shuffle(spark, star, monkeypatch):
     assert rows_of(copy.rows()) == rows_of(star.whole("lines"))
 
 
+def test_all_facts_are_replayed(star):
+    fresh = new_folder(star.spark, "fresh")
+    for name in ("orders", "shipments"):
+        assert rows_of(star.replayed(name, 3, fresh).rows()) == rows_of(star.whole(name))
+    assert rows_of(star.whole("orders")) == rows_of(retail_star.orders_of(star.whole("lines")))
+    assert "all_orders" not in subfolders(star.spark, star.folder)
+
+
 def test_emails_and_addresses_by_long_lists(spark, star, monkeypatch):
     """Lists too long to be sent to every task give the same rows."""
     made = lambda: (rows_of(retail_star.emails(star.table("customers"), star.seeds["websites"], 7)),
