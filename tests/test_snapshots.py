@@ -2,13 +2,14 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import telemetry
 from tidemark.sources.shared import new_folder
 from tidemark.streaming import loads, windows
-from tidemark.streaming.snapshots import spans_of_snapshots
+from tidemark.streaming.snapshots import _distinct, _ended, _steps, spans_of_snapshots
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "monitor string, at timestamp, sess_id long, query_no long, user_name string"
@@ -66,3 +67,29 @@ def test_a_stream_gives_the_spans_of_the_batch(spark, files):
     want = {r.sess_id: (r.query_start_time, r.query_end_time, r.snapshots) for r in whole.collect()}
     have = {r.sess_id: (r.s, r.e, r.n) for r in last.collect() if r.sess_id not in ran}
     assert have == want and len(want) > 100
+
+
+def test_rows_that_wait_are_stored_as_numbers(spark):
+    """Sixty thousand rows in one batch, before the watermark moves: bytes of the state."""
+    source, target, checkpoint = (new_folder(spark, n) for n in ("in", "out", "cp"))
+    rows = spark.range(60_000).select(F.lit("m").alias("monitor"), (F.lit(T0).cast("timestamp") + F.make_dt_interval(mins=(F.col("id") / 200).cast("int"))).alias("at"),
+                                      (F.col("id") % 200).alias("sess_id"), F.lit(1).cast("long").alias("query_no"), F.lit("somebody").alias("user_name"))
+    rows.coalesce(1).write.parquet(source)
+    run(spark, source, target, checkpoint)
+    held = spark.read.format("statestore").load(checkpoint).agg(F.sum(F.length(F.to_json("value")))).first()[0]
+    assert 0 < held < 8 * 60_000
+    windows.close_input(rows, "at", source)
+    run(spark, source, target, checkpoint)
+    assert found(spark, target) == []  # what runs in the last snapshot goes on
+
+
+def test_snapshots_are_compared_some_at_a_time():
+    rng = np.random.default_rng(3)
+    rows = _distinct([(rng.integers(0, 40, 500), rng.integers(0, 20, 500))])
+    whole, left = _ended(np.empty((4, 0), np.int64), rows)
+    for most in (1, 7, 100, 10_000):
+        parts, running = [], np.empty((4, 0), np.int64)
+        for some in _steps(*rows, most):
+            done, running = _ended(running, some)
+            parts += done.T.tolist()
+        assert sorted(parts) == sorted(whole.T.tolist()) and sorted(running.T.tolist()) == sorted(left.T.tolist())
